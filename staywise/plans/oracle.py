@@ -990,3 +990,67 @@ rates AS (
     round((r_b - r_a) / sqrt(pooled * (1 - pooled) * (1e0 / n_a + 1e0 / n_b)), 6) AS z FROM rates""",
 )
 ORACLES["stratified_split"] = "WITH " + LABELLED + " SELECT customer_id, label, split FROM labelled"
+
+# ---- preparation and streams -----------------------------------------------------------------------------
+
+_NUMERIC = ("recency_30d", "frequency_30d", "monetary_total_30d", "age")
+ORACLES["preprocess_numeric"] = _with(
+    CUSTOMERS,
+    TRANSACTIONS,
+    rfm("base", LABEL_DATE, (30,)),
+    f"""
+parts AS (
+  SELECT customer_id, CASE WHEN substr(md5(customer_id || '42'), 1, 8) < 'b3333333' THEN 'train'
+         WHEN substr(md5(customer_id || '42'), 1, 8) < 'cccccccc' THEN 'val' ELSE 'test' END AS split,
+         {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _NUMERIC)}
+  FROM base),
+medians AS (SELECT {', '.join(f'quantile_cont({c}, 0.5) AS {c}_median' for c in _NUMERIC)} FROM parts WHERE split = 'train'),
+filled AS (
+  SELECT customer_id, split, {', '.join(f'coalesce({c}, {c}_median) AS {c}' for c in _NUMERIC)} FROM parts, medians),
+stats AS (
+  SELECT {', '.join(f'avg({c}) AS {c}_mean, stddev_pop({c}) AS {c}_dev' for c in _NUMERIC)}
+  FROM filled WHERE split = 'train')""",
+    select=f"""SELECT customer_id, split, {', '.join(f'round(({c} - {c}_mean) / {c}_dev, 6) AS {c}' for c in _NUMERIC)}
+    FROM filled, stats""",
+)
+
+
+def _slots(column: str) -> str:
+    return f"""(SELECT string_agg(CASE WHEN known = l.{column} THEN '1' ELSE '0' END, ',' ORDER BY known)
+         FROM (SELECT DISTINCT {column} AS known FROM labelled WHERE split = 'train')) AS {column}"""
+
+
+ORACLES["preprocess_onehot"] = (
+    "WITH "
+    + LABELLED
+    + f"\nSELECT customer_id, {', '.join(_slots(c) for c in ('city_type', 'subscription_tier', 'value_tier'))}"
+    + " FROM labelled l"
+)
+ORACLES["stream_engagement_daily"] = _with(
+    EVENTS,
+    select="""SELECT customer_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, count(*) AS events,
+    CAST(sum(coalesce(duration_minutes, 0)) AS DOUBLE) AS minutes FROM ev GROUP BY ALL""",
+)
+ORACLES["stream_scores"] = (
+    "WITH "
+    + scoring()
+    + f"""
+SELECT event_id AS request_id, e.customer_id, round(probability, 4) AS churn_probability, {_RISK3} AS risk_level
+FROM ev e JOIN inputs i ON i.customer_id = e.customer_id"""
+)
+ORACLES["stream_score_dedup"] = (
+    "WITH "
+    + scoring()
+    + """
+SELECT customer_id, round(probability, 4) AS churn_probability FROM inputs
+WHERE customer_id IN (SELECT customer_id FROM ev)"""
+)
+ORACLES["stream_serving_metrics"] = _with(
+    EVENTS,
+    LOG,
+    select="""SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute, count(*) AS requests,
+    round(count(*) FILTER (cache_hit) / count(*), 4) AS cache_hit_rate,
+    round(count(*) FILTER (error) / count(*), 4) AS error_rate,
+    round(CAST(sum(CAST(response_ms AS DECIMAL(18,6))) AS DOUBLE) / count(*), 6) AS avg_response_time_ms
+    FROM log GROUP BY date_trunc('minute', ts)""",
+)
