@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MEASURE, MEMBER = 0, 1
@@ -40,12 +40,9 @@ def within(rows: DataFrame, date_column: str, as_of: date, days: int) -> DataFra
     return rows.filter((F.col(date_column) >= F.date_sub(end, days)) & (F.col(date_column) <= end))
 
 
-def band(age: Column, edges: Sequence[int]) -> Column:
-    """The smallest edge that is not below the age."""
-    result = None
-    for edge in edges:
-        result = F.when(age <= edge, edge) if result is None else result.when(age <= edge, edge)
-    return result
+def band(age: str, edges: Sequence[int]) -> str:
+    """SQL for the smallest edge that is not below the age."""
+    return "CASE " + " ".join(f"WHEN {age} <= {edge} THEN {edge}" for edge in edges) + " END"
 
 
 def band_records(
@@ -54,74 +51,59 @@ def band_records(
     date_column: str,
     as_of: date,
     edges: Sequence[int],
-    measures: dict[str, Column],
-    facts: dict[str, Column],
-    members: dict[str, Column],
+    measures: dict[str, str],
+    facts: dict[str, str],
+    members: dict[str, str],
 ) -> DataFrame:
     """One record per (key, band) with the given facts and, per member kind, how many members are newest there.
 
+    All expressions are SQL text.
+
     measures  row-level inputs of the facts, by name
     facts     aggregates over the measures (``age`` is available too)
     members   member kind -> text value of the row (NULL where the row has no such member); kinds must not
               overlap on a row
     """
-    selected = within(rows, date_column, as_of, edges[-1])
-    age = F.datediff(F.lit(as_of), F.col(date_column))
-    kind, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, column in members.items():
-        kind = F.when(column.isNotNull(), F.lit(name)).otherwise(kind)
-        value = F.coalesce(column, value)
-    narrow = selected.select(
-        F.col(key),
-        age.alias("age"),
-        band(age, edges).alias("band"),
-        kind.alias("kind"),
-        value.alias("member"),
-        *[column.alias(name) for name, column in measures.items()],
+    kind = "CASE " + " ".join(f"WHEN {value} IS NOT NULL THEN '{name}'" for name, value in members.items()) + " END"
+    aged = within(rows, date_column, as_of, edges[-1]).selectExpr(
+        key,
+        f"datediff(DATE '{as_of.isoformat()}', {date_column}) AS age",
+        f"{kind} AS kind",
+        f"coalesce({', '.join(members.values())}) AS member",
+        *[f"{value} AS {name}" for name, value in measures.items()],
     )
+    narrow = aged.selectExpr("*", f"{band('age', edges)} AS band")
     # Two copies of each row, one per role; a copy carries only what its role needs.
     types = dict(narrow.dtypes)
-    nothing = {name: F.lit(None).cast(types[name]).alias(name) for name in ["age", "kind", "member", *measures]}
-    as_measure = F.struct(
-        F.lit(MEASURE).alias("role"),
-        F.col("band").alias("group_band"),
-        nothing["kind"],
-        nothing["member"],
-        F.col("band").alias("seen"),
-        F.col("age").alias("age"),
-        *[F.col(name).alias(name) for name in measures],
-    )
-    as_member = F.struct(
-        F.lit(MEMBER).alias("role"),
-        F.lit(None).cast("int").alias("group_band"),
-        F.col("kind").alias("kind"),
-        F.col("member").alias("member"),
-        F.col("band").alias("seen"),
-        nothing["age"],
-        *[nothing[name] for name in measures],
-    )
-    if members:
-        copies = narrow.select(key, F.inline(F.array(as_measure, as_member))).filter(
-            (F.col("role") == MEASURE) | F.col("member").isNotNull()
-        )
-    else:
-        copies = narrow.select(key, F.inline(F.array(as_measure)))
+    nothing = {name: f"CAST(NULL AS {types[name]})" for name in ("age", "kind", "member", "band", *measures)}
+    as_measure = [
+        f"'role', {MEASURE}, 'group_band', band, 'kind', {nothing['kind']}, 'member', {nothing['member']}",
+        "'seen', band, 'age', age",
+        *[f"'{name}', {name}" for name in measures],
+    ]
+    as_member = [
+        f"'role', {MEMBER}, 'group_band', {nothing['band']}, 'kind', kind, 'member', member",
+        f"'seen', band, 'age', {nothing['age']}",
+        *[f"'{name}', {nothing[name]}" for name in measures],
+    ]
+    copies = narrow.selectExpr(
+        key, f"inline(array(named_struct({', '.join(as_measure)}), named_struct({', '.join(as_member)})))"
+    ).filter(f"role = {MEASURE} OR member IS NOT NULL")
     first = copies.groupBy(key, "role", "group_band", "kind", "member").agg(
-        F.min("seen").alias("newest"), *[fact.alias(name) for name, fact in facts.items()]
+        F.min("seen").alias("newest"), *[F.expr(f"{fact} AS {name}") for name, fact in facts.items()]
     )
     # Facts of the member role are dropped here; each (key, band) has exactly one measure record.
-    is_measure = F.col("role") == MEASURE
     return first.groupBy(key, F.col("newest").alias("band")).agg(
-        *[F.max(F.when(is_measure, F.col(name))).alias(name) for name in facts],
-        *[F.count_if(F.col("kind") == name).alias(name) for name in members],
+        *[F.expr(f"max(CASE WHEN role = {MEASURE} THEN {name} END) AS {name}") for name in facts],
+        *[F.expr(f"count_if(kind = '{name}') AS {name}") for name in members],
     )
 
 
-def over_windows(records: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
+def over_windows(records: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     """Combine the band records of each key: a bounded number of rows per key, wide columns built locally."""
-    return records.repartition(key).groupBy(key).agg(*[column.alias(name) for name, column in columns.items()])
+    return records.repartition(key).groupBy(key).agg(*[F.expr(f"{sql} AS {name}") for name, sql in columns.items()])
 
 
-def up_to(days: int, column: str) -> Column:
-    """Sum of a fact over the bands of one window; NULL if the key has no band there."""
-    return F.sum(F.when(F.col("band") <= days, F.col(column)))
+def up_to(days: int, column: str) -> str:
+    """SQL for the sum of a fact over the bands of one window; NULL if the key has no band there."""
+    return f"sum(CASE WHEN band <= {days} THEN {column} END)"

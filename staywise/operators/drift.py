@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from staywise import config
 from staywise.operators.ranking import exact_quantiles, running_totals
+from staywise.session import written
 
 SHARE_FLOOR = 1e-4
 DECILES = tuple(i / 10 for i in range(1, 10))
@@ -31,7 +32,9 @@ def psi(stacked: DataFrame, shares: Sequence[float] = DECILES) -> DataFrame:
     """Population stability index per feature.
 
     Bins are cut at the baseline deciles with open ends; NULLs form a bin of their own; a share is at least 1e-4.
+    The rows are needed twice, for the edges and for the bins, so they are written once.
     """
+    stacked = written(stacked, "drift")
     edges = (
         exact_quantiles(stacked.filter(F.col("side") == BASELINE), ["feature"], "value", shares)
         .groupBy("feature")

@@ -24,6 +24,16 @@ EVENT_COUNTS = {
     "reviews": "review_submission",
 }
 
+# The five components, each in [0, 1]; without tickets support counts as neutral.
+COMPONENTS = {
+    "login_engagement": "least(login_count_30d / 30D, 1D)",
+    "feature_engagement": "least(features_used_30d / 10D, 1D)",
+    "support_engagement": """CASE WHEN support_tickets_30d > 0
+        THEN least(CAST(support_resolved_30d AS DOUBLE) / support_tickets_30d, 1D) ELSE 0.5D END""",
+    "community_engagement": "least((forum_posts_30d + reviews_30d) / 5D, 1D)",
+    "content_engagement": "least(content_minutes_30d / 300D, 1D)",
+}
+
 
 def engagement_columns(days: int) -> list[str]:
     """Feature names of one window, in output order."""
@@ -46,32 +56,28 @@ def engagement_windows(
 ) -> DataFrame:
     """All windowed engagement features of the customers with an event in the longest window."""
     edges = bands.band_edges(windows)
-    kind = F.col("event_type")
     records = bands.band_records(
         events,
         KEY,
         "event_date",
         as_of,
         edges,
-        measures={
-            "event": kind,
-            "minutes": F.when(kind == "content_view", F.col("duration_minutes")).otherwise(0),
-        },
+        measures={"event": "event_type", "minutes": "IF(event_type = 'content_view', duration_minutes, 0)"},
         facts={
-            **{name: F.count_if(F.col("event") == event) for name, event in EVENT_COUNTS.items()},
-            "content_minutes": F.sum("minutes"),
+            **{name: f"count_if(event = '{event}')" for name, event in EVENT_COUNTS.items()},
+            "content_minutes": "sum(minutes)",
         },
         members={
-            "active_days": F.when(kind == "login", F.col("event_date").cast("string")),
-            "features_used": F.when(kind == "feature_usage", F.col("feature_name")),
-            "unique_content": F.when(kind == "content_view", F.col("content_id").cast("string")),
+            "active_days": "IF(event_type = 'login', CAST(event_date AS STRING), NULL)",
+            "features_used": "IF(event_type = 'feature_usage', feature_name, NULL)",
+            "unique_content": "IF(event_type = 'content_view', CAST(content_id AS STRING), NULL)",
         },
     )
-    columns: dict[str, Column] = {}
+    columns = {}
     for days in windows:
         for name in engagement_columns(days):
             total = bands.up_to(days, name.rsplit("_", 1)[0])
-            columns[name] = total.cast("double") if name.startswith("content_minutes") else total
+            columns[name] = f"CAST({total} AS DOUBLE)" if name.startswith("content_minutes") else total
     return bands.over_windows(records, KEY, columns)
 
 
@@ -88,22 +94,8 @@ def with_engagement_score(features: DataFrame, previous: Column | None = None) -
     ``previous``; without one, 0.9 of the score itself stands in for it.
     """
     features = features.fillna(0, subset=[name for name in features.columns if name.endswith("_30d")])
-    count = lambda name: F.col(name).cast("double")
-    tickets = count("support_tickets_30d")
-    components = {
-        "login_engagement": F.least(count("login_count_30d") / 30.0, F.lit(1.0)),
-        "feature_engagement": F.least(count("features_used_30d") / 10.0, F.lit(1.0)),
-        "support_engagement": F.when(
-            tickets > 0, F.least(F.try_divide(count("support_resolved_30d"), tickets), F.lit(1.0))
-        ).otherwise(0.5),
-        "community_engagement": F.least((count("forum_posts_30d") + count("reviews_30d")) / 5.0, F.lit(1.0)),
-        "content_engagement": F.least(count("content_minutes_30d") / 300.0, F.lit(1.0)),
-    }
-    features = features.withColumns(components)
-    score = None
-    for name, weight in config.ENGAGEMENT_WEIGHTS.items():
-        part = F.col(name) * weight
-        score = part if score is None else score + part
-    features = features.withColumn("engagement_score", score)
+    features = features.selectExpr("*", *[f"{sql} AS {name}" for name, sql in COMPONENTS.items()])
+    score = " + ".join(f"{name} * {weight}D" for name, weight in config.ENGAGEMENT_WEIGHTS.items())
+    features = features.selectExpr("*", f"{score} AS engagement_score")
     before = F.col("engagement_score") * 0.9 if previous is None else previous
     return features.withColumn("engagement_trend_30_90", customer_trend(F.col("engagement_score"), before))

@@ -49,15 +49,20 @@ def key_report(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     return result.withColumn("is_unique", F.col("duplicate_keys") == 0)
 
 
-def merged(existing: DataFrame, updates: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Newest row per key of both tables; on equal versions the update wins.
+def newest(df: DataFrame, keys: Sequence[str], *version: str) -> DataFrame:
+    """The row with the highest version per key.
 
     Spark keeps only the best row per key of each map task before the shuffle, so a key with very many
     versions does not travel whole.
     """
+    latest_first = Window.partitionBy(*keys).orderBy(*[F.desc(v) for v in version])
+    return df.withColumn("_place", F.row_number().over(latest_first)).filter("_place = 1").drop("_place")
+
+
+def merged(existing: DataFrame, updates: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """Newest row per key of both tables; on equal versions the update wins."""
     both = existing.withColumn("_update", F.lit(0)).unionByName(updates.withColumn("_update", F.lit(1)))
-    newest = Window.partitionBy(*keys).orderBy(F.desc(version), F.desc("_update"))
-    return both.withColumn("_place", F.row_number().over(newest)).filter("_place = 1").drop("_place", "_update")
+    return newest(both, keys, version, "_update").drop("_update")
 
 
 def merge_write(updates: DataFrame, path: str, target: str, keys: Sequence[str], version: str) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from staywise import config
 from staywise.operators.ranking import exact_quantiles, running_totals
+from staywise.session import written
 
 LABEL, PREDICTION, PROBABILITY = "label", "prediction", "probability"
 
@@ -108,6 +109,7 @@ def roc_auc(df: DataFrame, group: Sequence[str] = ()) -> DataFrame:
 def overfit_gaps(df: DataFrame, group: Sequence[str], split: str = "split") -> DataFrame:
     """Accuracy and AUC on train and validation rows and their differences, per group."""
     by = [*group, split]
+    df = written(df.select(*by, LABEL, PREDICTION, PROBABILITY), "predictions")
     scores = classification_scores(df, by).select(*by, "accuracy").join(roc_auc(df, by), by)
     pick = lambda name, part: F.max(F.when(F.col(split) == part, F.col(name)))
     wide = scores.groupBy(*group).agg(
@@ -131,7 +133,7 @@ def business_metrics(
     """Money view of the confusion matrix, plus the score that still catches 90 % of the churners."""
     group = list(group)
     by = [*group, "_all"]
-    plain = df.withColumn("_all", F.lit(0))
+    plain = written(df.select(*group, F.lit(0).alias("_all"), LABEL, PREDICTION, PROBABILITY), "predictions")
     counts = confusion_counts(plain, by)
     cut = exact_quantiles(plain.filter(F.col(LABEL) == 1), by, PROBABILITY, [0.1]).select(
         *by, F.col("quantile").alias("precision_threshold_90")

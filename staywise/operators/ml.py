@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from staywise import config
 from staywise.operators import metrics, quality
 from staywise.operators.ranking import exact_quantiles
+from staywise.session import written
 
 logger = logging.getLogger(__name__)
 
@@ -258,9 +259,11 @@ def train_and_compare(
     The winner has the highest validation accuracy, the earlier model on a tie. A model that fails is recorded
     with its error and the others go on. Everything collected here is a handful of metrics per model.
     """
+    df = written(df, "training")
     columns = choose_columns(df.filter(F.col(split) == "train"), target, [split, *ignore])
     labelled = indexed_target(df, target)
     prepared = preparation(columns).fit(labelled.filter(F.col(split) == "train"))
+    # Iterative training reads these rows many times; a lost executor rebuilds its part from the written table.
     ready = prepared.transform(labelled).select(split, "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     train, val = ready.filter(F.col(split) == "train"), ready.filter(F.col(split) == "val")
     rows, width = train.count(), len(slot_names(prepared, columns))

@@ -117,20 +117,19 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, shares: Seq
     counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
     placed = running_totals(counted, group, [value], ["n"])
     wanted = F.array(*[F.lit(float(s)) for s in shares])
-    spread = placed.withColumn("share", F.explode(wanted))
-    target = F.col("share") * (F.col("n_all") - 1)
     # 0-based positions covered by this value: [n_upto - n, n_upto - 1]
     first, last = F.col("n_upto") - F.col("n"), F.col("n_upto") - 1
-    holds_low = F.floor(target).between(first, last)
-    holds_high = F.ceil(target).between(first, last)
-    numeric = F.col(value).cast("double")
+    target = lambda share: share * (F.col("n_all") - 1)
+    holds_low = lambda share: F.floor(target(share)).between(first, last)
+    holds_high = lambda share: F.ceil(target(share)).between(first, last)
+    hits = placed.withColumn("share", F.explode(F.filter(wanted, lambda s: holds_low(s) | holds_high(s))))
+    share, numeric = F.col("share"), F.col(value).cast("double")
     return (
-        spread.filter(holds_low | holds_high)
-        .groupBy(*group, "share")
+        hits.groupBy(*group, "share")
         .agg(
-            F.max(F.when(holds_low, numeric)).alias("_low"),
-            F.max(F.when(holds_high, numeric)).alias("_high"),
-            F.max(target - F.floor(target)).alias("_fraction"),
+            F.max(F.when(holds_low(share), numeric)).alias("_low"),
+            F.max(F.when(holds_high(share), numeric)).alias("_high"),
+            F.max(target(share) - F.floor(target(share))).alias("_fraction"),
         )
         .select(*group, "share", (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_fraction")).alias("quantile"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staywise import config
@@ -16,7 +16,7 @@ from staywise.session import written
 
 KEY = "customer_id"
 
-# Two values that differ by less than this share of the mean are treated as equal when moments are merged.
+# Squared deviations below this share of the squared values are rounding noise: all amounts are equal.
 EQUAL_SPREAD = 1e-12
 
 
@@ -42,26 +42,24 @@ def transaction_windows(
     A customer without a row in some window has NULL in its columns.
     """
     edges = bands.band_edges(windows, halves=True)
-    amount = F.col("amount")
     records = bands.band_records(
         transactions,
         KEY,
         "transaction_date",
         as_of,
         edges,
-        measures={"amount": F.col("transaction_amount")},
+        measures={"amount": "transaction_amount"},
         facts={
-            "newest_age": F.min("age"),
-            "n": F.count("age"),
-            "priced": F.count(amount),
-            "spend": F.sum(amount),
-            "centre": F.avg(amount).cast("double"),
-            "spread": F.var_pop(amount) * F.count(amount),
+            "newest_age": "min(age)",
+            "n": "count(age)",
+            "priced": "count(amount)",
+            "spend": "sum(amount)",
+            "centre": "CAST(avg(amount) AS DOUBLE)",
+            "spread": "var_pop(amount) * count(amount)",
         },
-        members={"categories": F.col("product_category")},
+        members={"categories": "product_category"},
     )
-    records = records.withColumn("lift", F.col("priced") * F.col("centre") * F.col("centre"))
-    totals: dict[str, Column] = {"newest_age": F.min("newest_age")}
+    totals = {"newest_age": "min(newest_age)"}
     for edge in edges:
         totals[f"n_{edge}"] = bands.up_to(edge, "n")
         totals[f"spend_{edge}"] = bands.up_to(edge, "spend")
@@ -69,34 +67,32 @@ def transaction_windows(
         totals[f"priced_{days}"] = bands.up_to(days, "priced")
         totals[f"categories_{days}"] = bands.up_to(days, "categories")
         totals[f"spread_{days}"] = bands.up_to(days, "spread")
-        totals[f"lift_{days}"] = bands.up_to(days, "lift")
+        totals[f"lift_{days}"] = bands.up_to(days, "priced * centre * centre")
     wide = bands.over_windows(records, KEY, totals)
-    return wide.select(KEY, *[column for days in windows for column in _window_features(days)])
+    means = wide.selectExpr(
+        "*", *[f"try_divide(CAST(spend_{w} AS DOUBLE), CAST(priced_{w} AS DOUBLE)) AS mean_{w}" for w in windows]
+    )
+    return means.selectExpr(KEY, *[column for days in windows for column in _window_features(days)])
 
 
-def _window_features(days: int) -> list[Column]:
+def _window_features(days: int) -> list[str]:
     half = days // 2
-    n, priced = F.col(f"n_{days}"), F.col(f"priced_{days}").cast("double")
-    total = F.col(f"spend_{days}").cast("double")
-    mean = F.when(priced > 0, F.try_divide(total, priced))
-    # Merge the moments of the bands: inside each band, plus between the bands.
-    squares = priced * mean * mean
-    between = F.col(f"lift_{days}") - squares
-    merged = F.col(f"spread_{days}") + F.when(F.abs(between) > EQUAL_SPREAD * squares, between).otherwise(0.0)
-    deviation = F.when(priced > 1, F.sqrt(F.greatest(merged, F.lit(0.0)) / F.greatest(priced - 1, F.lit(1.0))))
-    n_half, spend_half = F.coalesce(F.col(f"n_{half}"), F.lit(0)), F.col(f"spend_{half}").cast("double")
-    recent = F.when(n > n_half, F.coalesce(spend_half, F.lit(0.0))).otherwise(spend_half)
+    # Moments merged over the bands: spread inside each band plus spread between the bands.
+    squares = f"priced_{days} * mean_{days} * mean_{days}"
+    merged = f"(spread_{days} + lift_{days} - {squares})"
     values = [
-        F.when(F.col("newest_age") <= days, F.col("newest_age")),
-        n,
-        total,
-        mean,
-        F.col(f"categories_{days}"),
-        deviation,
-        n.cast("double") / float(days),
-        recent,
+        f"IF(newest_age <= {days}, newest_age, NULL)",
+        f"n_{days}",
+        f"CAST(spend_{days} AS DOUBLE)",
+        f"mean_{days}",
+        f"categories_{days}",
+        f"IF(priced_{days} > 1, sqrt(IF({merged} > {EQUAL_SPREAD} * {squares}, {merged}, 0D)"
+        f" / greatest(priced_{days} - 1, 1)), NULL)",
+        f"CAST(n_{days} AS DOUBLE) / {days}D",
+        # All rows in the newer half: their sum, NULL if none of them has an amount. Otherwise older rows add 0.
+        f"CAST(IF(n_{days} > coalesce(n_{half}, 0), coalesce(spend_{half}, 0), spend_{half}) AS DOUBLE)",
     ]
-    return [value.alias(name) for value, name in zip(values, rfm_columns(days), strict=True)]
+    return [f"{value} AS {name}" for value, name in zip(values, rfm_columns(days), strict=True)]
 
 
 def with_transaction_windows(

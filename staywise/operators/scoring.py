@@ -15,12 +15,8 @@ INPUT_FIELDS = ("customer_id", *config.SCORING_RANGES, "value_tier")
 
 def formula_probability() -> Column:
     """Fixed churn formula on recency, frequency and engagement, held inside [0, 1]."""
-    raw = (
-        (F.col("recency_30d") / 100.0) * 0.3
-        + (1.0 / (F.col("frequency_30d") + 1.0)) * 0.3
-        + (1.0 - F.col("engagement_score")) * 0.4
-    )
-    return F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0))
+    raw = "(recency_30d / 100D) * 0.3D + (1D / (frequency_30d + 1D)) * 0.3D + (1D - engagement_score) * 0.4D"
+    return F.expr(f"least(greatest({raw}, 0D), 1D)")
 
 
 def checked_inputs(inputs: DataFrame) -> DataFrame:

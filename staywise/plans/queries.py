@@ -22,13 +22,12 @@ from staywise.operators.engagement import (
 from staywise.operators.rfm import rfm_columns, with_rfm_scores, with_transaction_windows
 from staywise.plans import features as feature_plans
 from staywise.plans import frames
-from staywise.session import fresh_path
+from staywise.session import fresh_path, written
 from staywise.sources import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 AS_OF = frames.AS_OF
-BASELINE = F.lit(config.BASELINE_ACCURACY)
 
 
 def query(function: Query) -> Query:
@@ -36,6 +35,10 @@ def query(function: Query) -> Query:
     return function
 
 
+def _baseline():
+    return F.lit(config.BASELINE_ACCURACY)
+
+
 def _text(name: str):
     return F.col(name).cast("string").alias(name)
 
@@ -585,8 +588,8 @@ def performance_drift(spark: SparkSession, folder: str) -> DataFrame:
         "subscription_tier",
         "n",
         "current_accuracy",
-        BASELINE.alias("baseline_accuracy"),
-        drift.performance_drift(F.col("current_accuracy"), BASELINE).alias("performance_drift"),
+        _baseline().alias("baseline_accuracy"),
+        drift.performance_drift(F.col("current_accuracy"), _baseline()).alias("performance_drift"),
     )
 
 
@@ -613,17 +616,17 @@ def drift_alerts(spark: SparkSession, folder: str) -> DataFrame:
 def retrain_decision(spark: SparkSession, folder: str) -> DataFrame:
     """Decision per subscription tier; the data drift is the largest KS gap of any feature."""
     worst = drift.ks(_drift_rows(spark, folder)).agg(F.max("ks").alias("drift_score"))
-    rows = _accuracy_by_tier(spark, folder).withColumn("baseline_accuracy", BASELINE)
+    rows = _accuracy_by_tier(spark, folder).withColumn("baseline_accuracy", _baseline())
     # One row per tier next to a single value.
     joined = rows.withColumn("_one", F.lit(1)).join(F.broadcast(worst.withColumn("_one", F.lit(1))), "_one").drop("_one")
     return drift.retrain_decision(joined)
 
 
 def _validated(spark: SparkSession, folder: str) -> DataFrame:
-    rows = frames.candidate_rows(spark, folder).filter(F.col("split") == "test")
+    rows = written(frames.candidate_rows(spark, folder).filter(F.col("split") == "test"), "predictions")
     scores_by_model = metrics.classification_scores(rows, ["model"]).select("model", "n", "accuracy")
     joined = scores_by_model.join(metrics.roc_auc(rows, ["model"]), "model")
-    return drift.candidate_validation(joined.withColumn("baseline_accuracy", BASELINE))
+    return drift.candidate_validation(joined.withColumn("baseline_accuracy", _baseline()))
 
 
 @query

@@ -37,8 +37,7 @@ def trained(spark: SparkSession, folder: str, preset: ml.Preset = ml.TINY) -> ml
     """Models trained on the labelled frame, once per session and folder. ``TINY`` keeps the demonstration short."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _TRAINED:
-        rows = written(training_frame(spark, folder), "training")
-        _TRAINED[key] = ml.train_and_compare(rows, "churned", preset, ignore=["customer_id"])
+        _TRAINED[key] = ml.train_and_compare(training_frame(spark, folder), "churned", preset, ignore=["customer_id"])
     return _TRAINED[key]
 
 

@@ -18,8 +18,18 @@ SIGNUP_START = date(2020, 1, 1)
 SIGNUP_SPAN = 1480
 
 
+# Columns read from each raw table. A stated schema spares the footer pass that would find it out.
+RAW_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_extendedprice DOUBLE",
+    "part": "p_partkey BIGINT, p_type STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def customer_key(number: Column) -> Column:
@@ -54,14 +64,13 @@ def transactions(
     spark: SparkSession, folder: str, since: date | None = None, until: date | None = None
 ) -> DataFrame:
     """Order lines as transactions, optionally restricted to ``since <= transaction_date <= until``."""
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = table(spark, folder, "orders")
     shift = timedelta(days=ORDER_SHIFT_DAYS)
     if since is not None:
         orders = orders.filter(F.col("o_orderdate") >= _ntz(since - shift))
     if until is not None:
         orders = orders.filter(F.col("o_orderdate") < _ntz(until - shift + timedelta(days=1)))
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
-    parts = table(spark, folder, "part").select("p_partkey", "p_type")
+    lines, parts = table(spark, folder, "lineitem"), table(spark, folder, "part")
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))

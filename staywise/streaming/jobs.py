@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from staywise.functions import rules
 from staywise.operators import scoring
-from staywise.operators.feature_store import merged
+from staywise.operators.feature_store import newest
 from staywise.schemas import RAW_EVENTS
 from staywise.session import fresh_path
 from staywise.sources.adapters import engagement_columns
@@ -150,4 +150,4 @@ def run_upsert(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
 def newest_rows(spark: SparkSession, path: str, like: DataFrame, keys: Sequence[str]) -> DataFrame:
     columns = ", ".join(f"{n} {t}" for n, t in like.dtypes)
     stored = spark.read.schema(f"{columns}, batch_id BIGINT").parquet(path)
-    return merged(stored.limit(0), stored, keys, "batch_id").drop("batch_id")
+    return newest(stored, keys, "batch_id").drop("batch_id")
