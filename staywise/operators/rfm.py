@@ -54,7 +54,6 @@ def transaction_windows(
             "n": "count(age)",
             "priced": "count(amount)",
             "spend": "sum(amount)",
-            "centre": "CAST(avg(amount) AS DOUBLE)",
             "spread": "var_pop(amount) * count(amount)",
         },
         members={"categories": "product_category"},
@@ -67,7 +66,7 @@ def transaction_windows(
         totals[f"priced_{days}"] = bands.up_to(days, "priced")
         totals[f"categories_{days}"] = bands.up_to(days, "categories")
         totals[f"spread_{days}"] = bands.up_to(days, "spread")
-        totals[f"lift_{days}"] = bands.up_to(days, "priced * centre * centre")
+        totals[f"lift_{days}"] = bands.up_to(days, "try_divide(CAST(spend AS DOUBLE) * CAST(spend AS DOUBLE), priced)")
     wide = bands.over_windows(records, KEY, totals)
     means = wide.selectExpr(
         "*", *[f"try_divide(CAST(spend_{w} AS DOUBLE), CAST(priced_{w} AS DOUBLE)) AS mean_{w}" for w in windows]
