@@ -11,6 +11,7 @@ Shuffles, with what each of them carries:
 
 1. (key, role, band or member): raw rows, already combined on the map side, once for the measures and once
    for the members. A key that owns a third of all rows leaves each map task as a handful of records.
+   Without members this is (key, band) and step 2 falls away.
 2. (key, band): one record per member of step 1, combined again before the exchange.
 3. (key): at most one record per band. The wide per-window columns exist only behind this exchange, so they
    are never shuffled; the result is partitioned by the key, ready for the join with the customer table.
@@ -64,15 +65,15 @@ def band_records(
     members   member kind -> text value of the row (NULL where the row has no such member); kinds must not
               overlap on a row
     """
-    kind = "CASE " + " ".join(f"WHEN {value} IS NOT NULL THEN '{name}'" for name, value in members.items()) + " END"
     aged = within(rows, date_column, as_of, edges[-1]).selectExpr(
         key,
         f"datediff(DATE '{as_of.isoformat()}', {date_column}) AS age",
-        f"{kind} AS kind",
-        f"coalesce({', '.join(members.values())}) AS member",
-        *[f"{value} AS {name}" for name, value in measures.items()],
+        *[f"{value} AS {name}" for name, value in {**_member_columns(members), **measures}.items()],
     )
     narrow = aged.selectExpr("*", f"{band('age', edges)} AS band")
+    aggregates = [F.expr(f"{fact} AS {name}") for name, fact in facts.items()]
+    if not members:
+        return narrow.groupBy(key, "band").agg(*aggregates)
     # Two copies of each row, one per role; a copy carries only what its role needs.
     types = dict(narrow.dtypes)
     nothing = {name: f"CAST(NULL AS {types[name]})" for name in ("age", "kind", "member", "band", *measures)}
@@ -90,7 +91,7 @@ def band_records(
         key, f"inline(array(named_struct({', '.join(as_measure)}), named_struct({', '.join(as_member)})))"
     ).filter(f"role = {MEASURE} OR member IS NOT NULL")
     first = copies.groupBy(key, "role", "group_band", "kind", "member").agg(
-        F.min("seen").alias("newest"), *[F.expr(f"{fact} AS {name}") for name, fact in facts.items()]
+        F.min("seen").alias("newest"), *aggregates
     )
     # Facts of the member role are dropped here; each (key, band) has exactly one measure record.
     return first.groupBy(key, F.col("newest").alias("band")).agg(
@@ -99,6 +100,13 @@ def band_records(
     )
 
 
+def _member_columns(members: dict[str, str]) -> dict[str, str]:
+    if not members:
+        return {}
+    kinds = " ".join(f"WHEN {value} IS NOT NULL THEN '{name}'" for name, value in members.items())
+    return {"kind": f"CASE {kinds} END", "member": f"coalesce({', '.join(members.values())})"}
+
+
 def over_windows(records: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     """Combine the band records of each key: a bounded number of rows per key, wide columns built locally."""
     return records.repartition(key).groupBy(key).agg(*[F.expr(f"{sql} AS {name}") for name, sql in columns.items()])

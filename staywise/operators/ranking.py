@@ -3,7 +3,9 @@
 A window without a partition key sends every row to one task. Here the rows are range-partitioned in the
 required order and sorted inside their partitions; the position of a row is then its place in its partition plus
 the number of rows in the partitions before. Only one record per partition is needed for the second part, so
-the table that is broadcast has as many rows as there are shuffle partitions (times groups), whatever the data size.
+the offset table has one row per shuffle partition and group in it, whatever the number of data rows.
+
+With very many groups that table may grow; it is read with a row limit first and joined the ordinary way beyond it.
 
 The sorted rows are checkpointed before partition numbers are used: a recomputed partition would otherwise be
 free to come back with other boundaries.
@@ -21,6 +23,19 @@ from staywise.session import checkpointed
 _ROW_BITS = 33  # monotonically_increasing_id() = partition number << 33 | row number in the partition
 
 
+# Most offset rows that may be sent to every executor.
+OFFSET_LIMIT = 100_000
+
+
+def _with_offsets(placed: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join the offsets: as a local table if they are few, otherwise by a shuffle."""
+    rows = offsets.limit(OFFSET_LIMIT + 1).toArrow()
+    if rows.num_rows > OFFSET_LIMIT:
+        return placed.join(offsets, list(keys))
+    local = placed.sparkSession.createDataFrame(rows)
+    return placed.join(F.broadcast(local), list(keys))
+
+
 def global_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], total: str = "group_rows") -> DataFrame:
     """Adds ``position`` (1-based, per group, NULLs first) and the number of rows of the group.
 
@@ -42,7 +57,7 @@ def global_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], total
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         F.sum("_rows").over(everything).alias(total),
     )
-    return placed.join(F.broadcast(offsets), [*group, "_part"]).select(
+    return _with_offsets(placed, offsets, [*group, "_part"]).select(
         *columns, (F.col("_before") + F.col("_place") - F.col("_first") + 1).alias("position"), total
     )
 
@@ -97,14 +112,11 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], va
         *[F.sum(f"_{v}").over(everything).alias(f"{v}_all") for v in values],
     )
     local = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        placed.select("*", *[F.sum(v).over(local).alias(f"_{v}_local") for v in values])
-        .join(F.broadcast(offsets), [*group, "_part"])
-        .select(
-            *columns,
-            *[(F.col(f"_{v}_before") + F.col(f"_{v}_local")).alias(f"{v}_upto") for v in values],
-            *[f"{v}_all" for v in values],
-        )
+    totals = placed.select("*", *[F.sum(v).over(local).alias(f"_{v}_local") for v in values])
+    return _with_offsets(totals, offsets, [*group, "_part"]).select(
+        *columns,
+        *[(F.col(f"_{v}_before") + F.col(f"_{v}_local")).alias(f"{v}_upto") for v in values],
+        *[f"{v}_all" for v in values],
     )
 
 

@@ -20,9 +20,9 @@ KEY = "customer_id"
 EQUAL_SPREAD = 1e-12
 
 
-def rfm_columns(days: int) -> list[str]:
+def rfm_columns(days: int, diversity: bool = True) -> list[str]:
     """Feature names of one window, in output order."""
-    return [
+    names = [
         f"recency_{days}d",
         f"frequency_{days}d",
         f"monetary_total_{days}d",
@@ -32,14 +32,19 @@ def rfm_columns(days: int) -> list[str]:
         f"purchase_frequency_{days}d",
         f"recent_spending_{days}d",
     ]
+    return names if diversity else [n for n in names if not n.startswith("category_diversity")]
 
 
 def transaction_windows(
-    transactions: DataFrame, as_of: date, windows: Sequence[int] = config.TRANSACTION_WINDOWS
+    transactions: DataFrame,
+    as_of: date,
+    windows: Sequence[int] = config.TRANSACTION_WINDOWS,
+    diversity: bool = True,
 ) -> DataFrame:
     """All windowed transaction features of the customers who bought in the longest window.
 
-    A customer without a row in some window has NULL in its columns.
+    A customer without a row in some window has NULL in its columns. Without ``diversity`` the distinct
+    categories are left out, which saves a copy of the rows and a shuffle.
     """
     edges = bands.band_edges(windows, halves=True)
     records = bands.band_records(
@@ -56,7 +61,7 @@ def transaction_windows(
             "spend": "sum(amount)",
             "spread": "var_pop(amount) * count(amount)",
         },
-        members={"categories": "product_category"},
+        members={"categories": "product_category"} if diversity else {},
     )
     totals = {"newest_age": "min(newest_age)"}
     for edge in edges:
@@ -64,17 +69,18 @@ def transaction_windows(
         totals[f"spend_{edge}"] = bands.up_to(edge, "spend")
     for days in windows:
         totals[f"priced_{days}"] = bands.up_to(days, "priced")
-        totals[f"categories_{days}"] = bands.up_to(days, "categories")
+        if diversity:
+            totals[f"categories_{days}"] = bands.up_to(days, "categories")
         totals[f"spread_{days}"] = bands.up_to(days, "spread")
         totals[f"lift_{days}"] = bands.up_to(days, "try_divide(CAST(spend AS DOUBLE) * CAST(spend AS DOUBLE), priced)")
     wide = bands.over_windows(records, KEY, totals)
     means = wide.selectExpr(
         "*", *[f"try_divide(CAST(spend_{w} AS DOUBLE), CAST(priced_{w} AS DOUBLE)) AS mean_{w}" for w in windows]
     )
-    return means.selectExpr(KEY, *[column for days in windows for column in _window_features(days)])
+    return means.selectExpr(KEY, *[column for days in windows for column in _window_features(days, diversity)])
 
 
-def _window_features(days: int) -> list[str]:
+def _window_features(days: int, diversity: bool) -> list[str]:
     half = days // 2
     # Moments merged over the bands: spread inside each band plus spread between the bands.
     squares = f"priced_{days} * mean_{days} * mean_{days}"
@@ -84,14 +90,14 @@ def _window_features(days: int) -> list[str]:
         f"n_{days}",
         f"CAST(spend_{days} AS DOUBLE)",
         f"mean_{days}",
-        f"categories_{days}",
+        *([f"categories_{days}"] if diversity else []),
         f"IF(priced_{days} > 1, sqrt(IF({merged} > {EQUAL_SPREAD} * {squares}, {merged}, 0D)"
         f" / greatest(priced_{days} - 1, 1)), NULL)",
         f"CAST(n_{days} AS DOUBLE) / {days}D",
         # All rows in the newer half: their sum, NULL if none of them has an amount. Otherwise older rows add 0.
         f"CAST(IF(n_{days} > coalesce(n_{half}, 0), coalesce(spend_{half}, 0), spend_{half}) AS DOUBLE)",
     ]
-    return [f"{value} AS {name}" for value, name in zip(values, rfm_columns(days), strict=True)]
+    return [f"{value} AS {name}" for value, name in zip(values, rfm_columns(days, diversity), strict=True)]
 
 
 def with_transaction_windows(
@@ -99,9 +105,10 @@ def with_transaction_windows(
     transactions: DataFrame,
     as_of: date,
     windows: Sequence[int] = config.TRANSACTION_WINDOWS,
+    diversity: bool = True,
 ) -> DataFrame:
     """One row per customer, bought or not."""
-    return customers.join(transaction_windows(transactions, as_of, windows), KEY, "left")
+    return customers.join(transaction_windows(transactions, as_of, windows, diversity), KEY, "left")
 
 
 def with_rfm_scores(features: DataFrame, inactive_recency: str = "best") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staywise import config
@@ -122,6 +122,27 @@ def batch_summary(scored: DataFrame) -> DataFrame:
     )
 
 
+# Number of tasks that merge the newest rows of all partitions before the last one does.
+MERGE_TASKS = 64
+
+
+def newest_requests(log: DataFrame, rows: int) -> DataFrame:
+    """The newest rows of the log, by time and id.
+
+    Every partition keeps at most ``rows`` before the shuffle, the merge tasks do the same, so the last task sees no more
+    than ``MERGE_TASKS * rows`` rows, however many partitions the log has.
+    """
+    latest = [F.desc("ts"), F.desc("request_id")]
+    lane = Window.partitionBy("_lane").orderBy(*latest)
+    kept = (
+        log.withColumn("_lane", F.spark_partition_id() % MERGE_TASKS)
+        .withColumn("_place", F.row_number().over(lane))
+        .filter(F.col("_place") <= rows)
+        .drop("_lane", "_place")
+    )
+    return kept.orderBy(*latest).limit(rows)
+
+
 def serving_metrics(log: DataFrame, buffer: int = config.LATENCY_BUFFER) -> DataFrame:
     """Totals and rates of the whole log, mean latency of the newest ``buffer`` requests."""
     totals = log.agg(
@@ -130,7 +151,7 @@ def serving_metrics(log: DataFrame, buffer: int = config.LATENCY_BUFFER) -> Data
         F.count_if("error").alias("_errors"),
         F.max("ts").alias("last_prediction"),
     )
-    newest = log.orderBy(F.desc("ts"), F.desc("request_id")).limit(buffer).agg(F.avg("response_ms").alias("_latency"))
+    newest = newest_requests(log, buffer).agg(F.avg("response_ms").alias("_latency"))
     requests = F.greatest(F.col("total_predictions"), F.lit(1)).cast("double")
     # Two one-row tables laid over each other.
     both = totals.unionByName(newest, allowMissingColumns=True)

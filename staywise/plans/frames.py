@@ -41,10 +41,11 @@ def windowed(
     as_of: date = AS_OF,
     windows: tuple[int, ...] = (30, 365),
     engagement_windows: tuple[int, ...] = (30,),
+    diversity: bool = False,
 ) -> DataFrame:
     """Customers with transaction and engagement windows, nothing filled."""
     customers = adapters.customers(spark, folder, as_of)
-    bought = with_transaction_windows(customers, history(spark, folder, as_of, max(windows)), as_of, windows)
+    bought = with_transaction_windows(customers, history(spark, folder, as_of, max(windows)), as_of, windows, diversity)
     return with_engagement_windows(bought, adapters.engagement(spark, folder), as_of, engagement_windows)
 
 
@@ -69,6 +70,7 @@ def scoring_inputs(spark: SparkSession, folder: str, as_of: date = AS_OF) -> Dat
         rules.value_tier(F.col("monetary_total_365d")).alias("value_tier"),
         "city_type",
         "subscription_tier",
+        "signup_date",
     )
 
 

@@ -55,7 +55,7 @@ def customers_adapter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def customer_trend(spark: SparkSession, folder: str) -> DataFrame:
     df = with_transaction_windows(
-        adapters.customers(spark, folder), frames.history(spark, folder, days=90), AS_OF, (30, 90)
+        adapters.customers(spark, folder), frames.history(spark, folder, days=90), AS_OF, (30, 90), False
     )
     current, previous = F.col("purchase_frequency_30d"), F.col("purchase_frequency_90d")
     return df.select(
@@ -67,7 +67,9 @@ def customer_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _clv(spark: SparkSession, folder: str, variant: str) -> DataFrame:
-    df = with_transaction_windows(adapters.customers(spark, folder), frames.history(spark, folder), AS_OF, (90, 365))
+    df = with_transaction_windows(
+        adapters.customers(spark, folder), frames.history(spark, folder), AS_OF, (90, 365), False
+    )
     return df.select("customer_id", profile.predicted_clv(variant).alias("predicted_clv"))
 
 
@@ -199,7 +201,7 @@ def rfm_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def _thirty_days(spark: SparkSession, folder: str) -> DataFrame:
     return with_transaction_windows(
-        adapters.customers(spark, folder), frames.history(spark, folder, days=30), AS_OF, (30,)
+        adapters.customers(spark, folder), frames.history(spark, folder, days=30), AS_OF, (30,), False
     )
 
 
@@ -282,7 +284,7 @@ def customer_features(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def importance_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Rule-based importance of every windowed feature, with the number of customers that have a value."""
-    df = frames.windowed(spark, folder, windows=(30,))
+    df = frames.windowed(spark, folder, windows=(30,), diversity=True)
     names = [*rfm_columns(30), *engagement_columns(30)]
     counts = df.agg(*[F.count(c).alias(c) for c in names])
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("filled_rows")) for c in names])
@@ -357,10 +359,8 @@ def feature_lookup_asof(spark: SparkSession, folder: str) -> DataFrame:
 
 def _labelled_features(spark: SparkSession, folder: str) -> DataFrame:
     """Scoring inputs with label and creation date; customers without any tenure have no label yet."""
-    df = frames.scored_inputs(spark, folder)
-    signup = adapters.customers(spark, folder).select("customer_id", "signup_date")
     return (
-        df.join(signup, "customer_id")
+        frames.scored_inputs(spark, folder)
         .withColumn(
             "churned", F.when(F.col("customer_tenure_months") > 0, (F.col("probability") > 0.5).cast("int"))
         )
@@ -479,7 +479,7 @@ def recommendations_v2(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def score_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every request of the log answered, each distinct record scored once."""
-    inputs = frames.scoring_inputs(spark, folder).select(*scoring.INPUT_FIELDS)
+    inputs = written(frames.scoring_inputs(spark, folder).select(*scoring.INPUT_FIELDS), "inputs")
     requests = adapters.request_log(spark, folder).select("request_id", "customer_id", "ts")
     answered = scoring.score_once(
         requests.join(inputs, "customer_id"),

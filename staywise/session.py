@@ -14,6 +14,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # One query with checkpoints compiles close to a hundred classes; the default cache holds a hundred in all.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # Recording the Python call site of every column expression costs more than planning the query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
