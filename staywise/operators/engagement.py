@@ -52,9 +52,15 @@ def engagement_columns(days: int) -> list[str]:
 
 
 def engagement_windows(
-    events: DataFrame, as_of: date, windows: Sequence[int] = config.ENGAGEMENT_WINDOWS
+    events: DataFrame,
+    as_of: date,
+    windows: Sequence[int] = config.ENGAGEMENT_WINDOWS,
+    weight: str = "1",
 ) -> DataFrame:
-    """All windowed engagement features of the customers with an event in the longest window."""
+    """All windowed engagement features of the customers with an event in the longest window.
+
+    ``weight`` is the number of events a row stands for, for rows that are already partial sums.
+    """
     edges = bands.band_edges(windows)
     records = bands.band_records(
         events,
@@ -62,9 +68,9 @@ def engagement_windows(
         "event_date",
         as_of,
         edges,
-        measures={"event": "event_type", "minutes": "IF(event_type = 'content_view', duration_minutes, 0)"},
+        measures={"event": "event_type", "events": f"CAST({weight} AS BIGINT)", "minutes": "IF(event_type = 'content_view', duration_minutes, 0)"},
         facts={
-            **{name: f"count_if(event = '{event}')" for name, event in EVENT_COUNTS.items()},
+            **{name: f"sum(IF(event = '{event}', events, 0L))" for name, event in EVENT_COUNTS.items()},
             "content_minutes": "sum(minutes)",
         },
         members={

@@ -145,14 +145,3 @@ def recent_labelled(features: DataFrame, as_of: date, days: int = 30) -> DataFra
         """,
         features=features,
     )
-
-
-def write_prepared(df: DataFrame, path: str, ds: str) -> None:
-    """Write prepared rows as partition ``ds``; other partitions stay untouched."""
-    (
-        df.withColumn("ds", F.lit(ds))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ds")
-        .parquet(path)
-    )

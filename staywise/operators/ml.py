@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from staywise import config
 from staywise.operators import metrics, quality
-from staywise.operators.ranking import exact_quantiles
+from staywise.operators.ranking import exact_quantiles, global_rank
 from staywise.session import written
 
 logger = logging.getLogger(__name__)
@@ -129,6 +129,22 @@ class FeatureColumns:
         return [*self.numeric, *self.categorical]
 
 
+def exact_split(
+    df: DataFrame, key: str, label: str, shares: Sequence[tuple[str, float]], seed: int = config.SPLIT_SEED
+) -> DataFrame:
+    """Adds ``split`` with exact shares per label: rows are ranked by a digest of their key inside each label.
+
+    ``rules.hash_split`` needs no shuffle and is near these shares on large data; this one is for small or rare labels.
+    """
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
+    ranked = global_rank(df.select(key, label, digest.alias("_digest")), [label], ["_digest", key], "_rows")
+    place, reached, split = F.col("position") / F.col("_rows"), 0.0, None
+    for name, share in shares[:-1]:
+        reached = round(reached + share, 12)
+        split = F.when(place <= reached, name) if split is None else split.when(place <= reached, name)
+    return df.join(ranked.select(key, split.otherwise(shares[-1][0]).alias("split")), key)
+
+
 def choose_columns(df: DataFrame, target: str, ignore: Sequence[str] = (), limit: int = config.MAX_CATEGORIES):
     """Columns by type; categorical columns with more than ``limit`` distinct values are left out."""
     if target not in df.columns:

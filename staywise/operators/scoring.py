@@ -55,11 +55,12 @@ def aligned(df: DataFrame, expected: Sequence[str], keep: Sequence[str] = ()) ->
     return df.select(*keep, *[F.col(c) if c in present else F.lit(0).alias(c) for c in expected if c not in keep])
 
 
-def decided(df: DataFrame, probability: str = "probability") -> DataFrame:
+def decided(df: DataFrame, probability: str = "probability", keep: Sequence[str] = ()) -> DataFrame:
     """Scored records. Decisions use the unrounded probability; reported numbers have 4 places."""
     p = F.col(probability)
     return df.select(
         "customer_id",
+        *keep,
         F.round(p, 4).alias("churn_probability"),
         (p > 0.5).alias("churn_prediction"),
         rules.risk_level(p).alias("risk_level"),
@@ -109,11 +110,15 @@ def score_once(
     )
 
 
-def batch_summary(scored: DataFrame) -> DataFrame:
-    """One row: batch size, rows per risk level, mean of the reported probabilities, number above 0.7."""
+def batch_summary(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Batch size, rows per risk level and mean of the reported probabilities: one row.
+
+    With ``by`` columns: one row per value and, as in a rollup, the subtotals with NULL in their place.
+    """
     level = F.col("risk_level")
     total = F.sum(F.col("churn_probability").cast("decimal(10,4)")).cast("double")
-    return scored.agg(
+    rows = scored.rollup(*by) if by else scored.groupBy()
+    return rows.agg(
         F.count("*").alias("batch_size"),
         F.count_if(level == "HIGH").alias("high_risk_count"),
         F.count_if(level == "MEDIUM").alias("medium_risk_count"),

@@ -1054,3 +1054,31 @@ ORACLES["stream_serving_metrics"] = _with(
     round(CAST(sum(CAST(response_ms AS DECIMAL(18,6))) AS DOUBLE) / count(*), 6) AS avg_response_time_ms
     FROM log GROUP BY date_trunc('minute', ts)""",
 )
+ORACLES["stream_behavior_features"] = _with(
+    EVENTS.replace("CAST(CAST(ts AS DATE) - CAST((event_id % 4) * 30 AS INTEGER) AS DATE)", "CAST(ts AS DATE)"),
+    "users AS (SELECT DISTINCT customer_id FROM ev)",
+    engaged("active", "users", AS_OF, config.ENGAGEMENT_WINDOWS),
+    select="SELECT * FROM active WHERE login_count_90d IS NOT NULL",
+)
+ORACLES["stratified_split_exact"] = (
+    "WITH "
+    + LABELLED
+    + """
+SELECT customer_id, label, CASE WHEN place <= 0.7e0 THEN 'train' WHEN place <= 0.8e0 THEN 'val' ELSE 'test' END AS split
+FROM (
+  SELECT customer_id, label,
+         CAST(row_number() OVER (PARTITION BY label ORDER BY md5(customer_id || '42'), customer_id) AS DOUBLE)
+           / count(*) OVER (PARTITION BY label) AS place
+  FROM labelled)"""
+)
+ORACLES["score_summary_by_tier"] = (
+    "WITH "
+    + scoring()
+    + f"""
+SELECT coalesce(subscription_tier, 'all') AS subscription_tier, count(*) AS batch_size,
+       count(*) FILTER (risk = 'HIGH') AS high_risk_count, count(*) FILTER (risk = 'MEDIUM') AS medium_risk_count,
+       count(*) FILTER (risk = 'LOW') AS low_risk_count,
+       round(CAST(sum(CAST(p AS DECIMAL(10,4))) AS DOUBLE) / count(*), 4) AS average_churn_probability
+FROM (SELECT subscription_tier, round(probability, 4) AS p, {_RISK3} AS risk FROM inputs)
+GROUP BY ROLLUP (subscription_tier)"""
+)

@@ -23,7 +23,7 @@ from staywise.operators.rfm import rfm_columns, with_rfm_scores, with_transactio
 from staywise.plans import features as feature_plans
 from staywise.plans import frames
 from staywise.session import fresh_path, written
-from staywise.sources import adapters
+from staywise.sources import adapters, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -406,7 +406,7 @@ def prepared_data(spark: SparkSession, folder: str) -> DataFrame:
         "customer_tenure_months", "support_tickets_30d", "age", "value_tier", "label", "split",
     )
     path, ds = fresh_path(spark, "prepared"), AS_OF.isoformat()
-    feature_store.write_prepared(df, path, ds)
+    sinks.write_partition(df, path, "ds", ds)
     stored = spark.read.schema(f"{_ddl(df)}, ds STRING").parquet(path)
     return stored.filter(F.col("ds") == ds)
 
@@ -500,6 +500,14 @@ def score_summary(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.batch_summary(scored)
 
 
+@query
+def score_summary_by_tier(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch summary per subscription tier with the total under 'all'."""
+    inputs = frames.scored_inputs(spark, folder)
+    scored = scoring.decided(inputs, keep=["subscription_tier"])
+    return scoring.batch_summary(scored, ["subscription_tier"]).fillna("all", ["subscription_tier"])
+
+
 @query
 def serving_metrics(spark: SparkSession, folder: str) -> DataFrame:
     df = scoring.serving_metrics(adapters.request_log(spark, folder))

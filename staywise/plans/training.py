@@ -70,6 +70,13 @@ def preprocess_onehot(spark: SparkSession, folder: str) -> DataFrame:
     return slots.select("customer_id", *[as_text(c).alias(c) for c in names])
 
 
+@query
+def stratified_split_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Split with exact shares inside each label, by rank of a digest."""
+    rows = written(frames.labelled(spark, folder).select("customer_id", "label"), "labels")
+    return ml.exact_split(rows, "customer_id", "label", frames.SPLITS)
+
+
 @query
 def train_models(spark: SparkSession, folder: str) -> DataFrame:
     """Chosen parameters and headline metrics per model."""
@@ -112,23 +119,33 @@ def score_with_trained_model(spark: SparkSession, folder: str) -> DataFrame:
 # ---- streams ---------------------------------------------------------------------------------------------
 
 
+def _daily(spark: SparkSession, folder: str) -> DataFrame:
+    partials = jobs.daily_engagement(jobs.event_stream(spark, folder))
+    return jobs.run_upsert(partials, fresh_path(spark, "daily"), jobs.DAILY_KEYS)
+
+
 @query
 def stream_engagement_daily(spark: SparkSession, folder: str) -> DataFrame:
-    partials = jobs.daily_engagement(jobs.event_stream(spark, folder))
-    stored = jobs.run_upsert(partials, "daily", ["customer_id", "day_start", "event_type"])
-    return stored.select(
-        "customer_id",
-        jobs.plain_time(F.col("day_start")).cast("date").cast("string").alias("day"),
-        "event_type",
-        "events",
-        F.col("minutes").cast("double").alias("minutes"),
+    day = jobs.plain_time(F.col("day_start")).cast("date").cast("string")
+    return (
+        _daily(spark, folder)
+        .groupBy("customer_id", day.alias("day"), "event_type")
+        .agg(F.sum("events").alias("events"), F.sum("minutes").cast("double").alias("minutes"))
     )
 
 
+@query
+def stream_behavior_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Windowed engagement features kept up to date by the stream of daily partials."""
+    return jobs.features_from_daily(_daily(spark, folder), AS_OF)
+
+
 @query
 def stream_scores(spark: SparkSession, folder: str) -> DataFrame:
     inputs = written(frames.scoring_inputs(spark, folder).select(*scoring.INPUT_FIELDS), "inputs")
-    return jobs.run_append(jobs.scored_stream(jobs.request_stream(spark, folder), inputs), "scores")
+    return jobs.run_append(
+        jobs.scored_stream(jobs.request_stream(spark, folder), inputs), fresh_path(spark, "scores")
+    )
 
 
 @query
@@ -136,13 +153,14 @@ def stream_score_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Records scored once within the reuse time; all requests arrive in one micro-batch here."""
     inputs = written(frames.scoring_inputs(spark, folder).select(*scoring.INPUT_FIELDS), "inputs")
     first = jobs.first_requests(jobs.request_stream(spark, folder), inputs, scoring.INPUT_FIELDS)
-    stored = jobs.run_append(first, "first")
+    stored = jobs.run_append(first, fresh_path(spark, "first"))
     return stored.select("customer_id", F.round(scoring.formula_probability(), 4).alias("churn_probability"))
 
 
 @query
 def stream_serving_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    stored = jobs.run_upsert(jobs.minute_metrics(jobs.request_stream(spark, folder)), "minutes", ["minute_start"])
+    counters = jobs.minute_metrics(jobs.request_stream(spark, folder))
+    stored = jobs.run_upsert(counters, fresh_path(spark, "minutes"), ["minute_start"])
     n = F.col("requests").cast("double")
     return stored.select(
         F.substring(jobs.plain_time(F.col("minute_start")).cast("string"), 1, 16).alias("minute"),

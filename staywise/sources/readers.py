@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staywise import schemas
+
 FORMATS = ("parquet", "orc", "json", "csv")
 
 
@@ -27,6 +29,17 @@ def stream_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
+INPUTS = {"customers": schemas.CUSTOMERS, "transactions": schemas.TRANSACTIONS, "engagement": schemas.ENGAGEMENT}
+
+
+def read_input(
+    spark: SparkSession, name: str, path: str, fmt: str = "parquet", streaming: bool = False, **options: str
+) -> DataFrame:
+    """One of the three canonical inputs, as a batch or a stream."""
+    read = stream_typed if streaming else read_typed
+    return read(spark, path, INPUTS[name], fmt, **options)
+
+
 def from_rows(spark: SparkSession, rows: Iterable[tuple], names: list[str]) -> DataFrame:
     """Small literal tables, for examples and tests."""
     return spark.createDataFrame(list(rows), names)

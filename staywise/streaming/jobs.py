@@ -8,15 +8,17 @@ they reach the state store; the size of a micro-batch is set with ``maxFilesPerT
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staywise import config
 from staywise.functions import rules
 from staywise.operators import scoring
+from staywise.operators.engagement import engagement_windows
 from staywise.operators.feature_store import newest
 from staywise.schemas import RAW_EVENTS
-from staywise.session import fresh_path
 from staywise.sources.adapters import engagement_columns
 from staywise.sources.readers import stream_typed
 
@@ -54,19 +56,41 @@ def request_stream(spark: SparkSession, folder: str, **options: str) -> DataFram
     )
 
 
+DAILY_KEYS = ("customer_id", "day_start", "event_type", "feature_name", "content_id")
+
+
 def daily_engagement(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Partials per customer, day and event type: 7, 30 and 90-day features are sums of these."""
+    """Partials per customer, day, event type and member (feature or content item).
+
+    The 7, 30 and 90-day features, distinct counts included, can be derived from these alone, so the stream needs no
+    state older than the watermark.
+    """
+    keys = ("customer_id", F.window("at", "1 day").alias("span"), "event_type", "feature_name", "content_id")
     return (
         events.withWatermark("at", lateness)
-        .groupBy("customer_id", F.window("at", "1 day").alias("span"), "event_type")
+        .groupBy(*keys)
         .agg(
             F.count("*").alias("events"),
             F.sum(F.coalesce("duration_minutes", F.lit(0))).alias("minutes"),
         )
-        .select("customer_id", F.col("span.start").alias("day_start"), "event_type", "events", "minutes")
+        .select("customer_id", F.col("span.start").alias("day_start"), *DAILY_KEYS[2:], "events", "minutes")
     )
 
 
+def features_from_daily(
+    daily: DataFrame, as_of: date, windows: Sequence[int] = config.ENGAGEMENT_WINDOWS
+) -> DataFrame:
+    """Windowed engagement features from the daily partials, equal to those from the raw events."""
+    rows = daily.select(
+        "customer_id",
+        plain_time(F.col("day_start")).cast("date").alias("event_date"),
+        *DAILY_KEYS[2:],
+        F.col("minutes").alias("duration_minutes"),
+        "events",
+    )
+    return engagement_windows(rows, as_of, windows, weight="events")
+
+
 def minute_metrics(log: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     """Serving counters per minute."""
     return (
@@ -109,10 +133,11 @@ def first_requests(requests: DataFrame, inputs: DataFrame, fields: Sequence[str]
     )
 
 
-def run_append(stream: DataFrame, name: str) -> DataFrame:
-    """Process everything available into a Parquet folder and return that folder as a table."""
-    spark = stream.sparkSession
-    path = fresh_path(spark, name)
+def run_append(stream: DataFrame, path: str) -> DataFrame:
+    """Process everything available into a Parquet folder and return that folder as a table.
+
+    Called again with the same path it continues where it stopped.
+    """
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -121,17 +146,15 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
         .start(path)
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def run_upsert(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+def run_upsert(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Process everything available in update mode and return the newest row per key.
 
     Each micro-batch overwrites its own ``batch_id`` folder, so a repeated batch leaves no duplicates; readers take
-    the row of the highest batch.
+    the row of the highest batch. Called again with the same path it continues where it stopped.
     """
-    spark = stream.sparkSession
-    path = fresh_path(spark, name)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -144,10 +167,6 @@ def run_upsert(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return newest_rows(spark, path, stream, keys)
-
-
-def newest_rows(spark: SparkSession, path: str, like: DataFrame, keys: Sequence[str]) -> DataFrame:
-    columns = ", ".join(f"{n} {t}" for n, t in like.dtypes)
-    stored = spark.read.schema(f"{columns}, batch_id BIGINT").parquet(path)
+    columns = ", ".join(f"{name} {kind}" for name, kind in stream.dtypes)
+    stored = stream.sparkSession.read.schema(f"{columns}, batch_id BIGINT").parquet(path)
     return newest(stored, keys, "batch_id").drop("batch_id")

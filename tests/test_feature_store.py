@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from staywise.operators import feature_store as fs
 from staywise.plans import features as plans
-from staywise.sources import readers
+from staywise.sources import readers, sinks
 
 START = date(2024, 1, 1)
 
@@ -73,13 +73,39 @@ def test_as_of_lookup_equals_brute_force(spark):
 
 def test_prepared_partitions_are_overwritten_one_by_one(spark, tmp_path):
     path = str(tmp_path / "p")
-    fs.write_prepared(spark.range(3), path, "2024-01-01")
-    fs.write_prepared(spark.range(5), path, "2024-01-02")
-    fs.write_prepared(spark.range(1), path, "2024-01-01")
+    sinks.write_partition(spark.range(3), path, "ds", "2024-01-01")
+    sinks.write_partition(spark.range(5), path, "ds", "2024-01-02")
+    sinks.write_partition(spark.range(1), path, "ds", "2024-01-01")
     got = {str(r.ds): r["count"] for r in spark.read.parquet(path).groupBy("ds").count().collect()}
     assert got == {"2024-01-01": 1, "2024-01-02": 5}
 
 
+def test_log_is_appended_by_day_and_read_by_day(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = spark.range(48).select("id", (F.lit(START).cast("timestamp") + F.make_dt_interval(hours="id")).alias("ts"))
+    sinks.append_log(log, path)
+    sinks.append_log(log.limit(1), path)
+    recent = spark.read.schema("id long, ts timestamp, day string").parquet(path).filter("day >= '2024-01-02'")
+    assert recent.count() == 24
+    assert "PartitionFilters: [isnotnull(day" in recent._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    base = spark.range(500).select(F.col("id").cast("string").alias("customer_id"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("bucketed_a", "bucketed_b"):
+            location = str(tmp_path / name)
+            sinks.save_bucketed(base, name, ["customer_id"], 4, location)
+        joined = spark.table("bucketed_a").join(spark.table("bucketed_b"), "customer_id")
+        assert joined.count() == 500
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bucketed_a", "bucketed_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_recent_labelled_filter_reaches_the_scan(spark, tmp_path):
     schema = (
         "customer_id string, recency_30d double, frequency_30d double, monetary_total_30d double,"
@@ -123,3 +149,10 @@ def test_typed_readers(spark, tmp_path, fmt):
     assert readers.read_typed(spark, path, schema, fmt).agg(F.sum("n")).first()[0] == 3
     stream = readers.stream_typed(spark, path, schema, fmt)
     assert stream.isStreaming and stream.schema == schema
+
+
+def test_canonical_inputs_round_trip(spark, tmp_path):
+    path = str(tmp_path / "tx")
+    spark.createDataFrame([("a", START, None, "x")], readers.INPUTS["transactions"]).write.parquet(path)
+    df = readers.read_input(spark, "transactions", path)
+    assert df.count() == 1 and df.dtypes == readers.read_input(spark, "transactions", path, streaming=True).dtypes
