@@ -35,3 +35,27 @@ def test_work_folder_is_read_from_the_session(spark):
     before = work_folder(spark)
     assert work_folder(spark) == before
     assert frames.LABEL_DATE == frames.AS_OF - timedelta(days=90)
+
+
+class _Cluster:
+    """A session on a cluster without a shared folder."""
+
+    class _Settings(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    def __init__(self):
+        self.conf = self._Settings()
+        self.sparkContext = self
+        self.master = "spark://host:7077"
+
+    def getConf(self):
+        return self.conf
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError):
+        work_folder(_Cluster())
