@@ -7,8 +7,8 @@ the offset table has one row per shuffle partition and group in it, whatever the
 
 With very many groups that table may grow; it is read with a row limit first and joined the ordinary way beyond it.
 
-The sorted rows are checkpointed before partition numbers are used: a recomputed partition would otherwise be
-free to come back with other boundaries.
+The sorted rows are written, with their place, before partition numbers are used: a recomputed partition would
+otherwise be free to come back with other boundaries.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staywise.session import checkpointed
+from staywise.session import written
 
 _ROW_BITS = 33  # monotonically_increasing_id() = partition number << 33 | row number in the partition
 
@@ -44,7 +44,7 @@ def global_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], total
     keys = [*group, *order]
     columns = df.columns
     sorted_rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = checkpointed(sorted_rows.select(*columns, F.monotonically_increasing_id().alias("_place")))
+    placed = written(sorted_rows.select(*columns, F.monotonically_increasing_id().alias("_place")), "ranked")
     placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
     parts = placed.groupBy(*group, "_part").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
     # One row per (group, partition) from here on.
@@ -101,7 +101,7 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], va
     keys = [*group, *order]
     columns = df.columns
     sorted_rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = checkpointed(sorted_rows.select(*columns, F.spark_partition_id().alias("_part")))
+    placed = written(sorted_rows.select(*columns, F.spark_partition_id().alias("_part")), "ordered")
     parts = placed.groupBy(*group, "_part").agg(*[F.sum(v).alias(f"_{v}") for v in values])
     everything = Window.partitionBy(*group)
     before = everything.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

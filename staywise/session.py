@@ -1,4 +1,4 @@
-"""Session settings and the shared work folder used for checkpoints and written intermediate tables."""
+"""Session settings and the shared work folder for written intermediate tables."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # One query with checkpoints compiles close to a hundred classes; the default cache holds a hundred in all.
+    # A query with several written tables compiles close to a hundred classes; the default cache holds a hundred in all.
     "spark.sql.codegen.cache.maxEntries": "2000",
     # Recording the Python call site of every column expression costs more than planning the query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -65,9 +65,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the work folder; rows and partition contents stay fixed afterwards."""
-    work_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
