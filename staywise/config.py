@@ -1,6 +1,6 @@
-"""Fixed values of the workload: windows, weights, thresholds and labels, all in one place.
+"""Fixed values of the workload: windows, weights, thresholds, labels and texts, all in one place.
 
-Everything here must agree with the published behaviour, so the values are written out plainly.
+Results depend on every one of them, so they are written out plainly.
 """
 
 from __future__ import annotations
@@ -61,6 +61,23 @@ RISK_BANDS = ((0.7, "HIGH"), (0.4, "MEDIUM"))
 RISK_BANDS_FOUR = ((0.8, "CRITICAL"), (0.6, "HIGH"), (0.4, "MEDIUM"))
 RISK_DEFAULT = "LOW"
 
+# Texts of the recommended actions, by the rule that adds them, in the order they are listed.
+ACTIONS = {
+    "high_low_engagement": ("Immediate personal outreach required", "Assign dedicated account manager"),
+    "high_inactive": ("Send win-back campaign with special offer", "Schedule product usage consultation"),
+    "high_many_tickets": ("Priority support queue assignment", "Product training session"),
+    "medium": ("Enroll in loyalty program", "Send usage analytics and insights"),
+    "medium_infrequent": ("Promote high-value features",),
+    "medium_valuable": ("VIP customer engagement program",),
+    "low": ("Continue standard engagement", "Upsell additional features"),
+}
+# Texts of the shorter rule list.
+ACTIONS_SHORT = {
+    "high_low_engagement": ("Immediate engagement campaign", "Personal account manager assignment"),
+    "high_inactive": ("Win-back offer with discount", "Product usage training session"),
+    "medium": ("Loyalty program enrollment", "Usage analytics and insights sharing"),
+}
+
 # Importance of a feature by what its name contains; the first matching row wins.
 IMPORTANCE_RULES = (
     (("rfm_score", "clv"), 0.9),

@@ -72,48 +72,42 @@ def rule_importance(feature_name: Column) -> Column:
     return result.otherwise(config.IMPORTANCE_DEFAULT)
 
 
-def _picked(rules: Sequence[tuple[Column, str]]) -> Column:
-    return F.array_compact(F.array(*[F.when(condition, F.lit(text)) for condition, text in rules]))
+def _actions(texts: dict[str, tuple[str, ...]], conditions: dict[str, Column]) -> Column:
+    """The texts of all rules that apply, in the order of the text table."""
+    entries = [F.when(conditions[rule], F.lit(text)) for rule, lines in texts.items() for text in lines]
+    return F.array_compact(F.array(*entries))
 
 
 def recommended_actions(
     probability: Column, engagement: Column, recency: Column, tickets: Column, frequency: Column, tier: Column
 ) -> Column:
     """Actions in fixed order. A high-risk customer who meets no further rule gets an empty array."""
-    high = probability > 0.7
-    medium = (probability > 0.4) & ~high
-    low = ~(probability > 0.4)
-    return _picked(
-        [
-            (high & (engagement < 0.3), "Immediate personal outreach required"),
-            (high & (engagement < 0.3), "Assign dedicated account manager"),
-            (high & (recency > 60), "Send win-back campaign with special offer"),
-            (high & (recency > 60), "Schedule product usage consultation"),
-            (high & (tickets > 5), "Priority support queue assignment"),
-            (high & (tickets > 5), "Product training session"),
-            (medium, "Enroll in loyalty program"),
-            (medium, "Send usage analytics and insights"),
-            (medium & (frequency < 2), "Promote high-value features"),
-            (medium & tier.isin("high_value", "premium"), "VIP customer engagement program"),
-            (low, "Continue standard engagement"),
-            (low, "Upsell additional features"),
-        ]
+    level = risk_level(probability)
+    high, medium = level == "HIGH", level == "MEDIUM"
+    return _actions(
+        config.ACTIONS,
+        {
+            "high_low_engagement": high & (engagement < 0.3),
+            "high_inactive": high & (recency > 60),
+            "high_many_tickets": high & (tickets > 5),
+            "medium": medium,
+            "medium_infrequent": medium & (frequency < 2),
+            "medium_valuable": medium & tier.isin("high_value", "premium"),
+            "low": level == config.RISK_DEFAULT,
+        },
     )
 
 
 def recommended_actions_short(probability: Column, engagement: Column, recency_days: Column) -> Column:
     """The shorter rule list: bands at 0.7 and 0.5, nothing for the rest."""
     high = probability > 0.7
-    medium = (probability > 0.5) & ~high
-    return _picked(
-        [
-            (high & (engagement < 0.3), "Immediate engagement campaign"),
-            (high & (engagement < 0.3), "Personal account manager assignment"),
-            (high & (recency_days > 60), "Win-back offer with discount"),
-            (high & (recency_days > 60), "Product usage training session"),
-            (medium, "Loyalty program enrollment"),
-            (medium, "Usage analytics and insights sharing"),
-        ]
+    return _actions(
+        config.ACTIONS_SHORT,
+        {
+            "high_low_engagement": high & (engagement < 0.3),
+            "high_inactive": high & (recency_days > 60),
+            "medium": (probability > 0.5) & ~high,
+        },
     )
 
 

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staywise import schemas
+from staywise.operators.engagement import engagement_columns
+from staywise.operators.rfm import rfm_columns
+
 
 @dataclass(frozen=True)
 class FeatureTable:
@@ -19,7 +23,6 @@ class FeatureTable:
     primary_keys: tuple[str, ...]
     schema: T.StructType
     description: str = ""
-    partition_by: tuple[str, ...] = field(default_factory=tuple)
 
     def create(self, spark: SparkSession, path: str) -> None:
         """Write the empty table, so that readers find the schema."""
@@ -30,6 +33,31 @@ class FeatureTable:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
 
+# The three stored tables of the 30-day features.
+TABLES = {
+    table.name: table
+    for table in (
+        FeatureTable(
+            "demographics", ("customer_id",), schemas.DEMOGRAPHIC_FEATURES, "customer demographics and profile"
+        ),
+        FeatureTable(
+            "behavior",
+            ("customer_id",),
+            schemas.windowed_features(engagement_columns(30), ("content_minutes",)),
+            "engagement counts",
+        ),
+        FeatureTable(
+            "transactions",
+            ("customer_id",),
+            schemas.windowed_features(
+                rfm_columns(30), ("monetary", "spending", "purchase_frequency", "recent_spending")
+            ),
+            "purchases and spend",
+        ),
+    )
+}
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")

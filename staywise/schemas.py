@@ -74,3 +74,22 @@ RAW_EVENTS = T.StructType(
         T.StructField("props", T.StringType()),
     ]
 )
+
+# Stored feature tables. Counts are long, amounts and shares double, one version date per row.
+DEMOGRAPHIC_FEATURES = T.StructType(
+    [
+        T.StructField("customer_id", T.StringType(), False),
+        T.StructField("age", T.IntegerType()),
+        T.StructField("city_type", T.StringType()),
+        T.StructField("subscription_tier", T.StringType()),
+        T.StructField("signup_date", T.DateType()),
+        T.StructField("version_date", T.DateType()),
+    ]
+)
+
+
+def windowed_features(names: list[str], doubles: tuple[str, ...]) -> T.StructType:
+    """Schema of a table of windowed features; names starting with one of ``doubles`` are double, others long."""
+    fields = [T.StructField("customer_id", T.StringType(), False)]
+    fields += [T.StructField(n, T.DoubleType() if n.startswith(doubles) else T.LongType()) for n in names]
+    return T.StructType([*fields, T.StructField("version_date", T.DateType())])

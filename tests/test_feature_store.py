@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staywise.operators import feature_store as fs
+from staywise.operators.rfm import transaction_windows
 from staywise.plans import features as plans
 from staywise.sources import readers, sinks
 
@@ -156,3 +157,16 @@ def test_canonical_inputs_round_trip(spark, tmp_path):
     spark.createDataFrame([("a", START, None, "x")], readers.INPUTS["transactions"]).write.parquet(path)
     df = readers.read_input(spark, "transactions", path)
     assert df.count() == 1 and df.dtypes == readers.read_input(spark, "transactions", path, streaming=True).dtypes
+
+
+def test_stored_tables_hold_their_features(spark, tmp_path):
+    day = date(2024, 1, 31)
+    tx = spark.createDataFrame([("a", day, 5.0, "x")], "customer_id string, transaction_date date, transaction_amount double, product_category string")
+    rows = transaction_windows(tx, day, (30,)).withColumn("version_date", F.lit(day))
+    table = fs.TABLES["transactions"]
+    assert set(fs.TABLES) == {"demographics", "behavior", "transactions"}
+    first, second = str(tmp_path / "1"), str(tmp_path / "2")
+    table.create(spark, first)
+    fs.merge_write(table.conform(rows), first, second, table.primary_keys, "version_date")
+    got = spark.read.parquet(second).first()
+    assert (got.frequency_30d, got.monetary_total_30d, got.purchase_frequency_30d) == (1, 5.0, 1 / 30)
