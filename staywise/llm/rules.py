@@ -19,7 +19,7 @@ from .text import let
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
-LETTER = r"\p{L}"
+MARK = r"[\x21-\x40\x5B-\x60\x7B-\x7E]"  # ASCII digits and punctuation
 CAPITAL = r"\p{Lu}"
 
 # Frequent function words of English, French, German and Spanish.
@@ -54,9 +54,9 @@ RULES = BASE_RULES + (
     Rule("symbols_per_word", ratio("n_symbols", "n_words"), most=0.5),
     Rule("repeated_lines", ratio("n_dup_lines", "n_lines"), most=0.5),
     Rule("stop_words", ratio("n_stop_words", "n_words"), least=0.04),
-    Rule("capitals", ratio("n_capitals", "n_letters"), most=0.5),
+    Rule("capitals", ratio("n_capitals", "word_chars"), most=0.4),
     Rule("word_length", ratio("word_chars", "n_words"), least=2.0, most=20.0),
-    Rule("letters", ratio("n_letters", "word_chars"), least=0.5),
+    Rule("marks", ratio("n_marks", "word_chars"), most=0.4),
 )
 
 
@@ -69,33 +69,34 @@ def repeat_words(words: Column) -> Column:
 
     def over(w: Column) -> Column:
         n = F.size(w) - 2
-        bits = F.length(F.bin(n.cast("long"))) + 1
-        keys = F.sort_array(
-            F.transform(
-                F.sequence(F.lit(0), n - 1),
-                lambda i: F.call_function("shiftleft", F.xxhash64(w[i], w[i + 1], w[i + 2]), bits).bitwiseOR(
-                    i.cast("long")
-                ),
-            )
+        return let(F.struct(n.alias("n"), (F.length(F.bin(n.cast("long"))) + 1).alias("bits")), lambda z: keyed(w, z))
+
+    def keyed(w: Column, z: Column) -> Column:
+        low = F.call_function("shiftleft", F.lit(1).cast("long"), z["bits"]) - 1
+        masks = F.struct(low.alias("low"), F.bitwise_not(low).alias("high"))
+        return let(masks, lambda m: sorted_keys(w, z, m["low"], m["high"]))
+
+    def sorted_keys(w: Column, z: Column, low: Column, high: Column) -> Column:
+        keys = F.transform(
+            F.slice(w, F.lit(1), z["n"]),
+            lambda x, i: F.xxhash64(x, w[i + 1], w[i + 2]).bitwiseAND(high).bitwiseOR(i.cast("long")),
         )
-        return let(keys, lambda k: _marked(w, _candidates(k, bits, n)))
+        return let(F.sort_array(keys), lambda k: let(_candidates(k, low, high), lambda ps: _marked(w, ps)))
 
     return F.when(F.size(words) < 3, F.lit(0)).otherwise(let(words, over)).cast("long")
 
 
-def _candidates(keys: Column, bits: Column, n: Column) -> Column:
+def _candidates(keys: Column, low: Column, high: Column) -> Column:
     """Positions whose window has the hash bits of a neighbour in sorted order."""
 
-    def head(i: Column) -> Column:
-        return F.call_function("shiftright", keys[i], bits)
+    def agree(other: int) -> Column:
+        return F.filter(keys, lambda x, i: x.bitwiseXOR(F.get(keys, i + other)).bitwiseAND(high) == 0)
 
-    at = F.filter(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: ((i > 0) & (head(i) == head(F.greatest(i - 1, F.lit(0)))))
-        | ((i < n - 1) & (head(i) == head(F.least(i + 1, n - 1)))),
-    )
-    low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-    return F.transform(at, lambda i: keys[i].bitwiseAND(low).cast("int"))
+    def both(later: Column) -> Column:
+        found = F.array_distinct(F.concat(later, agree(1)))
+        return F.when(F.size(later) == 0, F.lit(None)).otherwise(F.transform(found, lambda x: x.bitwiseAND(low).cast("int")))
+
+    return let(agree(-1), both)
 
 
 def _marked(words: Column, positions: Column) -> Column:
@@ -131,7 +132,7 @@ def _marked(words: Column, positions: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(positions) == 0, F.lit(0)).otherwise(let(windows, covered))
+    return F.when(positions.isNull(), F.lit(0)).otherwise(let(windows, covered))
 
 
 def measures(text: Column) -> Column:
@@ -147,7 +148,7 @@ def measures(text: Column) -> Column:
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             repeat_words(words).alias("n_repeat_words"),
             F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
-            F.regexp_count(text, F.lit(LETTER)).cast("long").alias("n_letters"),
+            F.regexp_count(text, F.lit(MARK)).cast("long").alias("n_marks"),
             F.regexp_count(text, F.lit(CAPITAL)).cast("long").alias("n_capitals"),
         )
 
