@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import rules
+from . import jaccard, pii, rules, secrets
 from .oracle import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,20 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+@query("op4_ngram_jaccard")
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"), width=4, percent=85)
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return secrets.report(docs, secrets.train(docs))
+
+
+@query("op7_private_data")
+def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pii.report(docs, pii.train(docs))
