@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, pii, rules, secrets
+from . import jaccard, pii, qda, rules, secrets
 from .oracle import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return pii.report(docs, pii.train(docs))
+
+
+@query("op9_quality_discriminant")
+def op9_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    return qda.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
