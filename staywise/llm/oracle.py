@@ -45,3 +45,63 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
         or coalesce(n_marks / nullif(word_chars, 0) > 0.4, false)) as kept
 from b
 """
+
+ORACLES["op2_chat_format"] = r"""
+with c as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), ''))
+        as loss_sha256,
+    sum(24 + length(replace(regexp_replace(role, '<(\|+)', '<|\1', 'g'), chr(10), '<|n|>'))
+        + length(regexp_replace(text, '<(\|+)', '<|\1', 'g')))::bigint as formatted_chars
+from c group by conv_id
+"""
+
+
+def _raking(sweeps: int) -> str:
+    steps, last = [], "k0"
+    powers = {"source": 0.7, "lang": 0.7, "topic": 0.5}
+    for name, power in powers.items():
+        steps.append(
+            f"g_{name} as (select {name}, t / sum(t) over () as goal from "
+            f"(select {name}, pow(sum(tokens), {power}) as t from cells group by {name}))"
+        )
+    for k in range(sweeps):
+        for name in powers:
+            new = f"k{k}_{name}"
+            steps.append(
+                f"{new} as materialized (select source, lang, topic, tokens, w * goal / sum(w) over (partition by {name}) as w "
+                f"from {last} join g_{name} using ({name}))"
+            )
+            last = new
+    return ",\n".join(steps) + f",\nraked as (select * from {last})"
+
+
+ORACLES["op10_mixture"] = rf"""
+with d as (
+    select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang,
+        case when regexp_matches(coalesce(text, ''), '[Ll]icense|[Cc]opyright|rights reserved') then 'legal'
+            when regexp_matches(coalesce(text, ''), '[0-9]{{4}}') then 'data'
+            when regexp_matches(coalesce(text, ''), '\n[^\n]*\n[^\n]*\n[^\n]*\n[^\n]*\n') then 'list'
+            else 'prose' end as topic,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as n_tokens
+    from documents
+),
+cells as (select source, lang, topic, sum(n_tokens)::double as tokens from d group by all having sum(n_tokens) > 0),
+k0 as (select *, tokens as w from cells),
+{_raking(25)},
+p as (select source, lang, topic, 0.5 * sum(tokens) over () * w / tokens as e from raked),
+j as (
+    select doc_id, d.topic, n_tokens, case when n_tokens > 0 then coalesce(e, 0.0) else 0.0 end as e,
+        ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 13))::bigint::double / 4503599627370496.0 as u
+    from d left join p using (source, lang, topic)
+)
+select doc_id, topic, n_tokens, round(e, 6) as probability,
+    (floor(e) + case when u < e - floor(e) then 1 else 0 end)::bigint as copies
+from j
+"""
