@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staywise.session import written
+from staywise.session import fresh_path, written
 
-from . import chat, jaccard, mixing, pii, qda, rules, secrets
+from . import chat, jaccard, mixing, pii, qda, rules, secrets, warc
 from .oracle import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,10 @@ def op10_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.drawn(slim, mixing.expectations(slim)).select(
         "doc_id", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "copies"
     )
+
+
+@query("op1_warc_archive")
+def op1_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "archive")
+    warc.write_archive(table(spark, folder, "pages"), path)
+    return warc.read_records(spark, path)
