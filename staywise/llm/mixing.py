@@ -2,7 +2,7 @@
 
 Documents are counted once into cells (source, language, topic) with their tokens; hot sources are combined on the map side. Raking then scales the
 cells' weights to the source, language and topic targets in turn until no factor differs from 1. Cells are a table of their own size,
-never a driver array: each sweep is three sums and joins, and every few sweeps are written to the work folder. Documents are drawn with the calibrated expectation of
+never a driver array: each sweep is three sums and joins, written to the work folder. Documents are drawn with the calibrated expectation of
 their cell: budget x weight / tokens of the cell. Expectations above 1 give whole copies and one more by chance.
 
 Chance is the md5 of the id, so a draw can be repeated anywhere; rows with one id share it. Null ids share one draw as well.
@@ -23,7 +23,6 @@ from staywise.session import written
 
 DIMENSIONS = ("source", "lang", "topic")
 MOST_SWEEPS = 50
-SWEEPS_A_TABLE = 3
 TOLERANCE = 1e-9
 # A table of so many cells is below 1 MB an executor can hold; more cells are joined by a shuffle.
 BROADCAST_CELLS = 20_000
@@ -83,26 +82,28 @@ def rake(cells: DataFrame, targets: Targets = Targets()) -> DataFrame:
     for name in DIMENSIONS:
         goal = _targets(cells, name, targets).select(F.col("value").alias(name), F.col("goal").alias(f"goal_{name}"))
         now = now.join(goal, name)
-    now = written(now, "cells")
-    for _ in range(0, MOST_SWEEPS, SWEEPS_A_TABLE):
-        for _ in range(SWEEPS_A_TABLE):
-            now = _sweep(now)
-        now = written(now, "cells")
+    now = written(now.withColumn("moved", F.lit(0.0)), "cells")
+    few = now.count() <= BROADCAST_CELLS
+    for _ in range(MOST_SWEEPS):
+        now = written(_sweep(now, few), "cells")
         moved = now.agg(F.max("moved")).first()[0]
         if moved is None or moved < TOLERANCE:
             break
     return now.select(*DIMENSIONS, "tokens", "weight")
 
 
-def _sweep(now: DataFrame) -> DataFrame:
-    """Each dimension scaled to its goals once; ``moved`` is the largest step away from a factor of 1."""
+def _sweep(now: DataFrame, few: bool) -> DataFrame:
+    """Each dimension scaled to its goals once; ``moved`` is the largest step away from a factor of 1.
+
+    ``few``: there are no more sums than ``BROADCAST_CELLS``, so they may be sent to the cells.
+    """
     goals = [f"goal_{name}" for name in DIMENSIONS]
     now = now.select(*DIMENSIONS, "tokens", "weight", *goals, F.lit(0.0).alias("moved"))
     for name in DIMENSIONS:
         sums = now.groupBy(name).agg(F.sum("weight").alias("had"))
         factor = F.when(F.col("had") > 0, F.col(f"goal_{name}") / F.col("had")).otherwise(F.lit(0.0))
         step = F.when(F.col("weight") > 0, F.abs(factor - 1)).otherwise(F.lit(0.0))
-        now = now.join(sums, name).select(
+        now = now.join(F.broadcast(sums) if few else sums, name).select(
             *DIMENSIONS, "tokens", (F.col("weight") * factor).alias("weight"), *goals, F.greatest("moved", step).alias("moved")
         )
     return now

@@ -108,7 +108,7 @@ from j
 
 ORACLES["op1_warc_archive"] = r"""
 with p as (select page_id, coalesce(html, '') as html from pages),
-d as (select page_id, octet_length(html::blob)::bigint as payload_bytes, sha1(html) as payload_digest from p),
+d as (select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as payload_digest from p),
 k as (select *, max(page_id) over (partition by payload_bytes, payload_digest) as kept from d)
 select page_id, payload_bytes, payload_digest,
     case when payload_bytes >= 1000 and page_id is distinct from kept then 'revisit' else 'response' end as record_type,

@@ -128,10 +128,11 @@ class Parser:
         self.held = self.held + data if self.held else data
         while self.held:
             if self.fields is None:
+                self.held = self.held.lstrip(b"\r\n")
                 end = self.held.find(b"\r\n\r\n")
                 if end < 0:
                     return
-                lines = self.held[:end].decode("utf-8", "surrogateescape").strip("\r\n").split("\r\n")
+                lines = self.held[:end].decode("utf-8", "surrogateescape").split("\r\n")
                 self.held = self.held[end + 4 :]
                 if not lines[0].startswith("WARC/"):
                     raise ValueError(f"no WARC record starts with {lines[0][:60]!r}")
