@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staywise.session import fresh_path, written
 
-from . import chat, jaccard, mixing, pii, qda, rules, secrets, warc
+from . import chat, decontaminate, jaccard, mixing, paragraphs, pii, qda, rules, secrets, warc
 from .oracle import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,13 @@ def op1_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "archive")
     warc.write_archive(table(spark, folder, "pages"), path)
     return warc.read_records(spark, path)
+
+
+@query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op5_repeated_paragraphs")
+def op5_repeated_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeats(table(spark, folder, "documents"))

@@ -138,3 +138,33 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over a value that is worked out once."""
     return F.transform(F.array(value), body)[0]
+
+
+def rewrite(df: DataFrame, change: Callable[[str], str | None], text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """All rows and columns with ``change`` applied to the text; None drops the row. A narrow pass.
+
+    A text that ``change`` returns unaltered stays as it was (null too). ``length_col`` gets the new number of code points.
+    """
+    names = df.columns
+    at = names.index(text_col)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                old = batch.column(at).to_pylist()
+                new = [change(t or "") for t in old]
+                keep = pa.array([n is not None for n in new])
+                altered = [n is not None and n != (o or "") for o, n in zip(old, new, strict=True)]
+                if any(altered):
+                    merged = [n if a else o for o, n, a in zip(old, new, altered, strict=True)]
+                    columns = batch.columns
+                    columns[at] = pa.array(merged, columns[at].type)
+                    if length_col is not None:
+                        k = names.index(length_col)
+                        sizes = zip(columns[k].to_pylist(), merged, altered, strict=True)
+                        columns[k] = pa.array([len(m) if a else s for s, m, a in sizes], columns[k].type)
+                    batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+                yield batch.filter(keep)
+
+    return df.mapInArrow(stream, df.schema)
