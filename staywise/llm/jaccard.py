@@ -270,3 +270,19 @@ def jaccard_components(
     )
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return labelled.join(least, "component").select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of one document of each component, the one with the smallest id, all columns as they are.
+
+    Of rows that repeat an id one stays. Rows with a null id stay: no link can name them.
+    """
+    labelled = written(jaccard_components(docs, width, percent, id_col, text_col), "components")
+    gone = labelled.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    again = labelled.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    again = again.select(F.col("doc_id").alias("_again"))
+    left = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    single = left.join(again, F.col(id_col) == F.col("_again"), "left_anti")
+    return single.union(left.join(again, F.col(id_col) == F.col("_again"), "left_semi").dropDuplicates([id_col]))
