@@ -9,7 +9,8 @@
    and common passages stand last. One shuffle by token counts frequencies; everything after it is small.
 4. Tiles: a token and a size band. Sizes of linked sets differ by the threshold at most, so a tile meets itself and the next.
    First each set is compared with the tile's leader only (linear in the tile), and links found are merged into components. Then
-   sets of one tile that are still in different components are compared. A group of near copies thus costs its size, not its square.
+   sets of one tile that are still in different components are compared: in small tiles as joined pairs, in larger ones inside tasks, chunk by
+   chunk, where only pairs that the bitmaps allow become rows. A group of linked near copies thus costs its size, not its square.
 5. A pair is tested first by its bitmaps: each bit in which they differ is at least one element in which the sets differ, which
    bounds the overlap from above. Bitmaps are folded to the narrower width. Only then the sorted arrays are intersected.
 
@@ -34,6 +35,8 @@ from staywise.session import written
 from .components import components
 from .text import as_bytes, id_and_text, map_rows, mix, shingle_hashes, signed, word_bounds, word_hashes
 
+SMALL_TILE = 16  # larger tiles are compared inside tasks
+CHUNK = 1024
 KEY_ZONE = 0.2  # share of the hash space whose tokens serve as join keys; a wider zone only costs more rows
 
 
@@ -43,8 +46,8 @@ def shingle_set(text: str, width: int) -> np.ndarray:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """One bit a hashed element; the width is the power of two at or above the size, 64 at least."""
-    width = 1 << max(6, (len(tokens) - 1).bit_length())
+    """One bit a hashed element; the width is a power of two of four to eight bits an element, 64 at least."""
+    width = 1 << max(6, (4 * len(tokens) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(tokens >> np.uint64(8)) & np.uint64(width - 1)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -196,6 +199,88 @@ def _near_sizes(n: str, m: str, percent: int) -> Column:
     return F.lit(100) * F.least(F.col(n), F.col(m)) >= F.lit(percent) * F.greatest(F.col(n), F.col(m))
 
 
+def _offered(labelled: DataFrame) -> DataFrame:
+    """Rows of each tile: those of its own band, and those of the next band as the other side only; with the tile's size."""
+    own = labelled.withColumn("own", F.lit(True))
+    offered = own.union(labelled.withColumn("band", F.col("band") - 1).withColumn("own", F.lit(False)))
+    sizes = offered.groupBy("token", "band").agg(F.count("*").alias("many"), F.max("own").alias("any_own"))
+    return offered.join(sizes.where("many > 1 and any_own").drop("any_own"), ["token", "band"])
+
+
+def _small_tiles(labelled: DataFrame, percent: int) -> DataFrame:
+    """Pairs of tiles of up to ``SMALL_TILE`` rows: at most so many partners a row."""
+    small = _offered(labelled).where(F.col("many") <= SMALL_TILE)
+    left = small.where("own").select("token", "band", *(F.col(c).alias(f"{c}_a") for c in ("row", "n", "part")))
+    right = small.select("token", "band", "own", *(F.col(c).alias(f"{c}_b") for c in ("row", "n", "part")))
+    return (
+        left.join(right, ["token", "band"])
+        .where("part_a <> part_b and (not own or row_a < row_b)")
+        .where(_near_sizes("n_a", "n_b", percent))
+        .select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b"))
+    )
+
+
+def _large_tiles(labelled: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """Pairs of larger tiles that their bitmaps allow. A tile is dealt to tasks as pairs of chunks of ``CHUNK`` rows.
+
+    Pairs are compared inside the tasks and only those that may be links become rows.
+    """
+    large = _offered(labelled).where(F.col("many") > SMALL_TILE)
+    k = F.ceil(F.col("many") / CHUNK).cast("int")
+    dealt = large.join(heads.select("row", "bits"), "row").select(
+        "token", "band", "row", "n", "part", "own", "bits", k.alias("k"), F.pmod(F.xxhash64("row"), k).cast("int").alias("c")
+    )
+    cells = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")).select(
+        "token", "band", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"),
+        "c", "row", "n", "part", "own", "bits",
+    )
+    key = ["token", "band", "x", "y"]
+    placed = cells.repartition(*key).sortWithinPartitions(*key)
+    return map_rows(placed, _cell_pairs(percent), "a long, b long")
+
+
+def _cell_pairs(percent: int):
+    from itertools import groupby
+
+    def fits(n: np.ndarray, m: int, apart: np.ndarray) -> np.ndarray:
+        most = (n + m - apart) // 2
+        return 100 * most >= percent * (n + m - most)
+
+    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
+        for (_, _, x, y), group in groupby(source, key=lambda r: r[:4]):
+            # By bitmap width, so that bitmaps of one width are compared as one array.
+            sides: dict[int, list[tuple]] = {}
+            members = list(group)
+            for r in members:
+                sides.setdefault(len(r[9]), []).append(r)
+            packed = []
+            for width, side in sides.items():
+                bits = np.frombuffer(b"".join(r[9] for r in side), np.uint8).reshape(len(side), width)
+                packed.append((width, bits, *(np.array([r[k] for r in side]) for k in (4, 5, 6, 7, 8))))
+            for _, _, _, _, c, row, n, part, own, data in members:
+                if not own:
+                    continue
+                mine = np.frombuffer(data, np.uint8)
+                for width, bits, cs, ids, sizes, parts, owns in packed:
+                    # Two rows of one chunk meet in that chunk's own cell only; own pairs are met once.
+                    ask = np.flatnonzero(
+                        (parts != part) & ((cs != c) if x != y else True) & (~owns | (ids > row))
+                        & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+                    )
+                    if not len(ask):
+                        continue
+                    theirs, ours = bits[ask], mine
+                    if width > len(ours):
+                        theirs = np.bitwise_or.reduce(theirs.reshape(len(ask), -1, len(ours)), axis=1)
+                    elif width < len(ours):
+                        ours = np.bitwise_or.reduce(ours.reshape(-1, width), axis=0)
+                    apart = np.bitwise_count(theirs ^ ours).sum(axis=1, dtype=np.int64)
+                    for other in ids[ask[fits(sizes[ask], n, apart)]].tolist():
+                        yield min(row, other), max(row, other)
+
+    return rows
+
+
 def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(class members: row, head), (component of linked heads: node, component)."""
     whole = signed_sets.where("n > 0")
@@ -226,17 +311,7 @@ def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) ->
     )
     open_tokens = labelled.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q")
     labelled = written(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
-    left = labelled.select("token", "band", *(F.col(c).alias(f"{c}_a") for c in ("row", "n", "part")))
-    # Either the same band or the next one: the other side is offered to both, each pair is met once.
-    right = labelled.select("token", "band", *(F.col(c).alias(f"{c}_b") for c in ("row", "n", "part")), F.lit(True).alias("same"))
-    lower = right.select("token", (F.col("band") - 1).alias("band"), "row_b", "n_b", "part_b", F.lit(False).alias("same"))
-    rest = (
-        left.join(right.union(lower), ["token", "band"])
-        .where("part_a <> part_b and (not same or row_a < row_b)")
-        .where(_near_sizes("n_a", "n_b", percent))
-        .select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b"))
-        .distinct()
-    )
+    rest = _small_tiles(labelled, percent).union(_large_tiles(labelled, slim, percent)).distinct()
     more = _verified(rest, slim, texts, width, percent)
     edges = merged.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more.select("a", "b"))
     return members, components(edges)
