@@ -1,7 +1,7 @@
 """Benchmark decontamination: a BM25 inverted index of test items, searched by block-max WAND with every training passage.
 
 Index. Items are cut into words, counted and weighted by Spark; the index is built in blocks whose size is bounded (``BLOCK_POSTINGS``). Each
-block is sent to the tasks once and all texts are searched against it, so any number of items is searched whole. Impacts are divided by
+block is sent to the tasks, ``BLOCKS_A_PASS`` at a time, and all texts are searched against it, so any number of items is searched whole. Impacts are divided by
 the item's score against itself: a passage that holds the item's words scores 1, whatever the item's length. Inside a block items lie in ranges
 (``RANGE`` items of similar weight); every term has a maximal impact per range, the block maxima.
 
@@ -24,6 +24,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,10 +37,12 @@ from .text import id_and_text, map_rows
 K1, B = 1.2, 0.75
 HALF = 32
 RANGE = 16
+FINE = 4  # items of a narrow range, whose maxima are asked only for windows that the wide ranges leave
 THRESHOLD = 0.5
 OVERLAP = 0.6
 SHORT = 8
-BLOCK_POSTINGS = 500_000
+BLOCK_POSTINGS = 20_000
+BLOCKS_A_PASS = 16
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -85,10 +88,11 @@ class Index:
         self.lists = [([p for p, _ in row], [w for _, w in row]) for row in postings]
         self.most = [max(w) for _, w in self.lists]
         n_ranges = -(-len(items) // RANGE)
-        self.maxima = np.zeros((len(postings), n_ranges), np.float32)
+        self.fine = np.zeros((len(postings), n_ranges * (RANGE // FINE)), np.float32)
         for k, row in enumerate(postings):
             for at, impact in row:
-                self.maxima[k, at // RANGE] = max(self.maxima[k, at // RANGE], np.float32(impact) * np.float32(1.000001))
+                self.fine[k, at // FINE] = max(self.fine[k, at // FINE], np.float32(impact) * np.float32(1.000001))
+        self.maxima = self.fine.reshape(len(postings), n_ranges, RANGE // FINE).max(axis=2)
 
     def search(self, terms: list[int]) -> list[tuple[int, float]]:
         """(item position, score) of all items at or above the threshold; block-max WAND over ``terms`` without repeats."""
@@ -144,13 +148,13 @@ class Index:
         edges = np.searchsorted(cells, np.arange(int(cells[-1]) + 3))
         for k in np.flatnonzero(both >= self.threshold - 1e-4):
             low, high = edges[max(0, k - 1)], edges[min(k + 1, len(edges) - 1)]
-            yield max(0, k - 1) * HALF, sorted(set(terms[low:high].tolist()))
+            inside = np.unique(terms[low:high])
+            if self.fine[inside].sum(axis=0).max() >= self.threshold - 1e-4:
+                yield max(0, k - 1) * HALF, inside.tolist()
 
-    def hits(self, text: str) -> list[tuple[int | None, int, float, float, float]]:
+    def hits(self, words: list[str]) -> list[tuple[int | None, int, float, float, float]]:
         """(item id, first word of the best window, score, question overlap, answer overlap) of verified items."""
-        words = words_of(text)
-        get = self.terms.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        ids = np.fromiter(map(self.terms.get, words, repeat(-1)), np.int64, len(words))
         best: dict[int, tuple[float, float, float, int]] = {}
         for start, terms in self.windows(ids):
             for item, score in self.search(terms):
@@ -220,13 +224,15 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
     """(doc_id, item_id, first_word, score, question_overlap, answer_overlap) of every verified pair."""
     schema = "doc_id long, item_id long, first_word long, score double, question_overlap double, answer_overlap double"
     texts, out = id_and_text(docs), None
-    for index in index_blocks(items, threshold):
-        held = docs.sparkSession.sparkContext.broadcast(index)
+    for indexes in batched(index_blocks(items, threshold), BLOCKS_A_PASS):
+        held = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def rows(source: Iterator[tuple], held=held) -> Iterator[tuple]:
             for doc, text in source:
-                for hit in held.value.hits(text):
-                    yield doc, *hit
+                words = words_of(text)
+                for index in held.value:
+                    for hit in index.hits(words):
+                        yield doc, *hit
 
         found = map_rows(texts, rows, schema)
         out = found if out is None else out.union(found)
@@ -237,7 +243,12 @@ def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     """The rows whose text holds no item; a narrow pass a block, every column stays as it is."""
     from .text import rewrite
 
-    for index in index_blocks(items, threshold):
-        held = docs.sparkSession.sparkContext.broadcast(index)
-        docs = rewrite(docs, lambda text, held=held: None if held.value.hits(text) else text, text_col)
+    for indexes in batched(index_blocks(items, threshold), BLOCKS_A_PASS):
+        held = docs.sparkSession.sparkContext.broadcast(indexes)
+
+        def clean(text: str, held=held) -> str | None:
+            words = words_of(text)
+            return None if any(index.hits(words) for index in held.value) else text
+
+        docs = rewrite(docs, clean, text_col)
     return docs
