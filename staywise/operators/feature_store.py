@@ -96,11 +96,20 @@ def merged(existing: DataFrame, updates: DataFrame, keys: Sequence[str], version
 def merge_write(updates: DataFrame, path: str, target: str, keys: Sequence[str], version: str) -> None:
     """Merge into the table at ``path`` and write the result to ``target``.
 
+    The stored table is read with its own schema: columns that the updates lack keep their stored values, new ones are added.
     A Parquet table cannot be overwritten while it is read, so each merge writes a new folder; the caller
     points readers to it afterwards.
     """
-    existing = updates.sparkSession.read.schema(updates.schema).parquet(path)
-    merged(existing, updates, keys, version).write.mode("overwrite").parquet(target)
+    existing = updates.sparkSession.read.parquet(path)
+    kept = [c for c in existing.columns if c not in updates.columns]
+    fresh = [c for c in updates.columns if c not in existing.columns]
+    stored = newest(existing, keys, version)
+    for name in fresh:
+        stored = stored.withColumn(name, F.lit(None).cast(updates.schema[name].dataType))
+    rows = merged(stored.drop(*kept), updates, keys, version)
+    if kept:
+        rows = rows.join(stored.select(*keys, *kept), list(keys), "left")
+    rows.write.mode("overwrite").parquet(target)
 
 
 def looked_up(tables: Sequence[DataFrame], key: str, ids: DataFrame | Sequence[str] | None = None) -> DataFrame:

@@ -293,7 +293,7 @@ def train_and_compare(
             search = CrossValidator(
                 estimator=estimator,
                 estimatorParamMaps=maps,
-                evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
+                evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
                 numFolds=preset.folds,
                 seed=seed,
                 parallelism=preset.parallelism,
@@ -320,7 +320,7 @@ def train_and_compare(
                 best, best_accuracy = name, run["val_accuracy"]
         except Exception as problem:  # noqa: BLE001 - one model must not stop the comparison
             logger.exception("training of %s failed", name)
-            runs.append({"model": name, "params": None, "error": str(problem)[:500], "metrics": {}})
+            runs.append({"model": name, "params": None, "error": str(problem), "metrics": {}})
     ready.unpersist()
     test = prepared.transform(labelled.filter(F.col(split) == "test"))
     return TrainingResult(columns, prepared, models, runs, best, test)

@@ -141,7 +141,7 @@ def with_rfm_scores(features: DataFrame, inactive_recency: str = "best") -> Data
     )
     composite = F.col("recency_score") * 100 + F.col("frequency_score") * 10 + F.col("monetary_score")
     return (
-        features.join(scores, KEY)
+        features.join(scores, KEY, "left")  # a customer without an id has no rank, but stays
         .withColumn("rfm_score", composite)
         .withColumn("customer_segment", rules.customer_segment(F.col("rfm_score")))
     )

@@ -953,7 +953,8 @@ ORACLES["model_registry"] = (
     + f""",
 registry AS (
   SELECT 'v_' || model || '_{AS_OF.replace("-", "")}' AS model_version, '{AS_OF}' AS deployment_date,
-         accuracy AS baseline_accuracy, model AS model_type, n AS training_samples, validation_passed AS promoted
+         accuracy AS baseline_accuracy, model AS model_type,
+         (SELECT count(*) FROM rows_of r WHERE r.model = validated.model) AS training_samples, validation_passed AS promoted
   FROM validated)
 SELECT *, coalesce(model_version = (SELECT model_version FROM registry WHERE promoted
                                     ORDER BY deployment_date DESC, baseline_accuracy DESC, model_version DESC LIMIT 1),

@@ -631,21 +631,24 @@ def retrain_decision(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _validated(spark: SparkSession, folder: str) -> DataFrame:
-    rows = written(frames.candidate_rows(spark, folder).filter(F.col("split") == "test"), "predictions")
+    prepared = written(frames.candidate_rows(spark, folder), "predictions")
+    rows = prepared.filter(F.col("split") == "test")
     scores_by_model = metrics.classification_scores(rows, ["model"]).select("model", "n", "accuracy")
     joined = scores_by_model.join(metrics.roc_auc(rows, ["model"]), "model")
+    joined = joined.join(prepared.groupBy("model").agg(F.count("*").alias("samples")), "model")
     return drift.candidate_validation(joined.withColumn("baseline_accuracy", _baseline()))
 
 
 @query
 def candidate_validation(spark: SparkSession, folder: str) -> DataFrame:
-    return _validated(spark, folder).withColumn("rejection_reasons", F.array_join("rejection_reasons", "; "))
+    checked = _validated(spark, folder).drop("samples")
+    return checked.withColumn("rejection_reasons", F.array_join("rejection_reasons", "; "))
 
 
 @query
 def model_registry(spark: SparkSession, folder: str) -> DataFrame:
     """Registry rows of all candidates, written to the registry table and read back with the current version."""
-    rows = registry.registry_rows(_validated(spark, folder), AS_OF.isoformat())
+    rows = registry.registry_rows(_validated(spark, folder), AS_OF.isoformat(), "samples")
     path = fresh_path(spark, "registry")
     registry.append_rows(rows, path)
     return registry.with_current(spark.read.schema(rows.schema).parquet(path))

@@ -37,9 +37,12 @@ def plain_time(column: Column) -> Column:
     return F.timestamp_add("SECOND", F.unix_seconds(column), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
 
 
-def event_stream(spark: SparkSession, folder: str, files: str = "events.parquet", **options: str) -> DataFrame:
-    """Engagement events as a stream, with their instant as ``at``."""
-    raw = stream_typed(spark, folder, RAW_EVENTS, pathGlobFilter=files, **options)
+def event_stream(spark: SparkSession, folder: str, files: str = "events.parque[t]", **options: str) -> DataFrame:
+    """Engagement events as a stream, with their instant as ``at``.
+
+    The stream source takes no plain file; a pattern that matches the table's name reads one file and a folder of files alike.
+    """
+    raw = stream_typed(spark, f"{folder}/{files}", RAW_EVENTS, **options)
     return engagement_columns(raw).withColumn("at", instant(F.col("ts")))
 
 
