@@ -45,7 +45,7 @@ STAGES = [
     ("mixture", mixture),
 ]
 
-# Decoding a trained field cannot be said in SQL; the whole run is held against a plain version in the tests.
+# Decoding a trained field cannot be said in SQL; the tests hold each stage's operator against a plain version.
 ORACLE_SQL = None
 
 
