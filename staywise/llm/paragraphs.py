@@ -146,8 +146,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ).distinct()
     ties = written(ties, "ties")
     nodes = ties.select(F.col("a").alias("print")).union(ties.select("b")).distinct()
-    places = members.select("print", "id", "start", "end").union(members.select("leader.print", "leader.id", "leader.start", "leader.end"))
-    examples = places.join(nodes, "print", "left_semi").groupBy("print").agg(F.min(F.struct("id", "start", "end")).alias("p"))
+    # A leader is a member of its own key, so members hold an example of every node. Reduced first: a hot print leaves each task as one row.
+    examples = members.groupBy("print").agg(F.min(F.struct("id", "start", "end")).alias("p")).join(nodes, "print", "left_semi")
     wanted = examples.select("print", F.col("p.id").alias("id"), F.col("p.start").alias("start"), F.col("p.end").alias("end"))
     # Of several texts with one id, those without the paragraph give no set.
     sets = written(
