@@ -112,6 +112,11 @@ def over_windows(records: DataFrame, key: str, columns: dict[str, str]) -> DataF
     return records.repartition(key).groupBy(key).agg(*[F.expr(f"{sql} AS {name}") for name, sql in columns.items()])
 
 
-def up_to(days: int, column: str) -> str:
-    """SQL for the sum of a fact over the bands of one window; NULL if the key has no band there."""
-    return f"sum(CASE WHEN band <= {days} THEN {column} END)"
+def up_to(days: int, column: str, combine: str = "sum") -> str:
+    """SQL for the sum (or other aggregate) of a fact over the bands of one window; NULL if the key has no band there."""
+    return f"{combine}(CASE WHEN band <= {days} THEN {column} END)"
+
+
+def only(edge: int, column: str) -> str:
+    """SQL for a fact of one band; NULL if the key has no such band."""
+    return f"max(CASE WHEN band = {edge} THEN {column} END)"

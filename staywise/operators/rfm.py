@@ -16,9 +16,6 @@ from staywise.session import written
 
 KEY = "customer_id"
 
-# Squared deviations below this share of the squared values are rounding noise: all amounts are equal.
-EQUAL_SPREAD = 1e-12
-
 
 def rfm_columns(days: int, diversity: bool = True) -> list[str]:
     """Feature names of one window, in output order."""
@@ -60,6 +57,8 @@ def transaction_windows(
             "priced": "count(amount)",
             "spend": "sum(amount)",
             "spread": "var_pop(amount) * count(amount)",
+            "low": "min(amount)",
+            "high": "max(amount)",
         },
         members={"categories": "product_category"} if diversity else {},
     )
@@ -67,32 +66,37 @@ def transaction_windows(
     for edge in edges:
         totals[f"n_{edge}"] = bands.up_to(edge, "n")
         totals[f"spend_{edge}"] = bands.up_to(edge, "spend")
+        totals[f"own_priced_{edge}"] = bands.only(edge, "priced")
+        totals[f"own_mean_{edge}"] = bands.only(edge, "try_divide(CAST(spend AS DOUBLE), CAST(priced AS DOUBLE))")
     for days in windows:
         totals[f"priced_{days}"] = bands.up_to(days, "priced")
         if diversity:
             totals[f"categories_{days}"] = bands.up_to(days, "categories")
         totals[f"spread_{days}"] = bands.up_to(days, "spread")
-        totals[f"lift_{days}"] = bands.up_to(days, "try_divide(CAST(spend AS DOUBLE) * CAST(spend AS DOUBLE), priced)")
+        totals[f"low_{days}"] = bands.up_to(days, "low", "min")
+        totals[f"high_{days}"] = bands.up_to(days, "high", "max")
     wide = bands.over_windows(records, KEY, totals)
     means = wide.selectExpr(
         "*", *[f"try_divide(CAST(spend_{w} AS DOUBLE), CAST(priced_{w} AS DOUBLE)) AS mean_{w}" for w in windows]
     )
-    return means.selectExpr(KEY, *[column for days in windows for column in _window_features(days, diversity)])
+    return means.selectExpr(KEY, *[column for days in windows for column in _window_features(days, edges, diversity)])
 
 
-def _window_features(days: int, diversity: bool) -> list[str]:
+def _window_features(days: int, edges: Sequence[int], diversity: bool) -> list[str]:
     half = days // 2
-    # Moments merged over the bands: spread inside each band plus spread between the bands.
-    squares = f"priced_{days} * mean_{days} * mean_{days}"
-    merged = f"(spread_{days} + lift_{days} - {squares})"
+    # Moments merged over the bands without cancelling: spread inside each band plus spread of the band means.
+    between = " + ".join(
+        f"coalesce(own_priced_{e} * power(own_mean_{e} - mean_{days}, 2), 0D)" for e in edges if e <= days
+    )
+    merged = f"(spread_{days} + {between})"
     values = [
         f"IF(newest_age <= {days}, newest_age, NULL)",
         f"n_{days}",
         f"CAST(spend_{days} AS DOUBLE)",
         f"mean_{days}",
         *([f"categories_{days}"] if diversity else []),
-        f"IF(priced_{days} > 1, sqrt(IF({merged} > {EQUAL_SPREAD} * {squares}, {merged}, 0D)"
-        f" / greatest(priced_{days} - 1, 1)), NULL)",
+        # Equal amounts have no spread at all, whatever their means were rounded to.
+        f"IF(priced_{days} > 1, IF(low_{days} = high_{days}, 0D, sqrt({merged} / greatest(priced_{days} - 1, 1))), NULL)",
         f"CAST(n_{days} AS DOUBLE) / {days}D",
         # All rows in the newer half: their sum, NULL if none of them has an amount. Otherwise older rows add 0.
         f"CAST(IF(n_{days} > coalesce(n_{half}, 0), coalesce(spend_{half}, 0), spend_{half}) AS DOUBLE)",

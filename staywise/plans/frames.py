@@ -30,9 +30,11 @@ DRIFT_FEATURES = (
 CANDIDATES = ("blend", "recency", "frequency", "engagement")
 
 
-def history(spark: SparkSession, folder: str, as_of: date = AS_OF, days: int = 365) -> DataFrame:
+def history(
+    spark: SparkSession, folder: str, as_of: date = AS_OF, days: int = 365, category: bool = True
+) -> DataFrame:
     """Transactions dated in ``[as_of - days, as_of]``, filtered at the scan."""
-    return adapters.transactions(spark, folder, as_of - timedelta(days=days), as_of)
+    return adapters.transactions(spark, folder, as_of - timedelta(days=days), as_of, category)
 
 
 def windowed(
@@ -45,7 +47,8 @@ def windowed(
 ) -> DataFrame:
     """Customers with transaction and engagement windows, nothing filled."""
     customers = adapters.customers(spark, folder, as_of)
-    bought = with_transaction_windows(customers, history(spark, folder, as_of, max(windows)), as_of, windows, diversity)
+    rows = history(spark, folder, as_of, max(windows), category=diversity)
+    bought = with_transaction_windows(customers, rows, as_of, windows, diversity)
     return with_engagement_windows(bought, adapters.engagement(spark, folder), as_of, engagement_windows)
 
 
@@ -80,7 +83,7 @@ def scored_inputs(spark: SparkSession, folder: str, as_of: date = AS_OF) -> Data
 
 def buyers_after(spark: SparkSession, folder: str, start: date, days: int) -> DataFrame:
     """Customers with a purchase in ``(start, start + days]``."""
-    bought = adapters.transactions(spark, folder, start + timedelta(days=1), start + timedelta(days=days))
+    bought = adapters.transactions(spark, folder, start + timedelta(days=1), start + timedelta(days=days), False)
     return bought.select("customer_id").distinct()
 
 

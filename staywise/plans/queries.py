@@ -55,7 +55,7 @@ def customers_adapter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def customer_trend(spark: SparkSession, folder: str) -> DataFrame:
     df = with_transaction_windows(
-        adapters.customers(spark, folder), frames.history(spark, folder, days=90), AS_OF, (30, 90), False
+        adapters.customers(spark, folder), frames.history(spark, folder, days=90, category=False), AS_OF, (30, 90), False
     )
     current, previous = F.col("purchase_frequency_30d"), F.col("purchase_frequency_90d")
     return df.select(
@@ -68,7 +68,7 @@ def customer_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 def _clv(spark: SparkSession, folder: str, variant: str) -> DataFrame:
     df = with_transaction_windows(
-        adapters.customers(spark, folder), frames.history(spark, folder), AS_OF, (90, 365), False
+        adapters.customers(spark, folder), frames.history(spark, folder, category=False), AS_OF, (90, 365), False
     )
     return df.select("customer_id", profile.predicted_clv(variant).alias("predicted_clv"))
 
@@ -114,7 +114,7 @@ def _snapshot(spark: SparkSession, folder: str) -> DataFrame:
     recent = lambda days: (day >= F.date_sub(today, days)) & (day <= today)
     money = lambda days: F.coalesce(F.sum(F.when(recent(days), amount)), F.lit(0)).cast("double")
     totals = (
-        adapters.transactions(spark, folder)
+        adapters.transactions(spark, folder, category=False)
         .groupBy("customer_id")
         .agg(
             F.max(day).alias("last_purchase_date"),
@@ -147,14 +147,15 @@ def _snapshot(spark: SparkSession, folder: str) -> DataFrame:
 # ---- windowed features -----------------------------------------------------------------------------------
 
 
-def _rfm_windows(spark: SparkSession, folder: str) -> DataFrame:
-    return with_transaction_windows(adapters.customers(spark, folder), frames.history(spark, folder), AS_OF)
+def _rfm_windows(spark: SparkSession, folder: str, diversity: bool) -> DataFrame:
+    rows = frames.history(spark, folder, category=diversity)
+    return with_transaction_windows(adapters.customers(spark, folder), rows, AS_OF, diversity=diversity)
 
 
 @query
 def rfm_windows(spark: SparkSession, folder: str) -> DataFrame:
     names = [c for w in config.TRANSACTION_WINDOWS for c in rfm_columns(w) if not c.startswith("category_div")]
-    return _rfm_windows(spark, folder).select(
+    return _rfm_windows(spark, folder, diversity=False).select(
         "customer_id",
         *[F.round(c, 4).alias(c) if c.startswith("spending_variance") else c for c in names],
     )
@@ -162,7 +163,7 @@ def rfm_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def rfm_distinct(spark: SparkSession, folder: str) -> DataFrame:
-    return _rfm_windows(spark, folder).select(
+    return _rfm_windows(spark, folder, diversity=True).select(
         "customer_id", *[f"category_diversity_{w}d" for w in config.TRANSACTION_WINDOWS]
     )
 
@@ -201,7 +202,7 @@ def rfm_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def _thirty_days(spark: SparkSession, folder: str) -> DataFrame:
     return with_transaction_windows(
-        adapters.customers(spark, folder), frames.history(spark, folder, days=30), AS_OF, (30,), False
+        adapters.customers(spark, folder), frames.history(spark, folder, days=30, category=False), AS_OF, (30,), False
     )
 
 

@@ -61,27 +61,31 @@ def customers(spark: SparkSession, folder: str, as_of: date = AS_OF) -> DataFram
 
 
 def transactions(
-    spark: SparkSession, folder: str, since: date | None = None, until: date | None = None
+    spark: SparkSession, folder: str, since: date | None = None, until: date | None = None, category: bool = True
 ) -> DataFrame:
-    """Order lines as transactions, optionally restricted to ``since <= transaction_date <= until``."""
+    """Order lines as transactions, optionally restricted to ``since <= transaction_date <= until``.
+
+    Without ``category`` the parts are not read, which saves a shuffle of all lines.
+    """
     orders = table(spark, folder, "orders")
     shift = timedelta(days=ORDER_SHIFT_DAYS)
     if since is not None:
         orders = orders.filter(F.col("o_orderdate") >= _ntz(since - shift))
     if until is not None:
         orders = orders.filter(F.col("o_orderdate") < _ntz(until - shift + timedelta(days=1)))
-    lines, parts = table(spark, folder, "lineitem"), table(spark, folder, "part")
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            customer_key(F.col("o_custkey")).alias("customer_id"),
-            F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS).alias("transaction_date"),
-            (F.col("l_extendedprice").cast("decimal(12,2)") * F.lit("0.01").cast("decimal(3,2)"))
-            .cast("decimal(16,4)")
-            .alias("transaction_amount"),
-            F.col("p_type").alias("product_category"),
-        )
+    bought = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    columns = [
+        customer_key(F.col("o_custkey")).alias("customer_id"),
+        F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS).alias("transaction_date"),
+        (F.col("l_extendedprice").cast("decimal(12,2)") * F.lit("0.01").cast("decimal(3,2)"))
+        .cast("decimal(16,4)")
+        .alias("transaction_amount"),
+    ]
+    if not category:
+        return bought.select(*columns)
+    parts = table(spark, folder, "part")
+    return bought.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        *columns, F.col("p_type").alias("product_category")
     )
 
 

@@ -3,7 +3,7 @@
 import compare
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import ORACLES, QUERIES, entry, oracle_sql, queries
 
 SLOW_WITHOUT_SQL = {
     "train_models", "training_runs", "feature_importance_topk", "final_report", "score_with_trained_model",
@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, folder, connection, name):
 
 
 def test_every_query_has_sql_or_is_a_model_job():
-    assert set(queries()) - set(oracle_sql()) == SLOW_WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == SLOW_WITHOUT_SQL
 
 
 def test_entry(spark, folder):

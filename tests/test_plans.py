@@ -24,6 +24,11 @@ def test_no_python_stage_no_cross_join_no_single_task_exchange(spark, folder, na
         assert word not in plan, word
 
 
+@pytest.mark.parametrize("build", (frames.scored_inputs, frames.labelled))
+def test_parts_are_read_only_for_categories(spark, folder, build):
+    assert "part.parquet" not in plan_of(build(spark, folder))
+
+
 def test_transaction_windows_scan_once_and_shuffle_three_times(spark, folder):
     df = transaction_windows(frames.history(spark, folder), frames.AS_OF)
     plan = plan_of(df)

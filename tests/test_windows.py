@@ -69,6 +69,20 @@ def test_transaction_windows_equal_plain_aggregates(spark):
                 assert close(row[name], expected), (customer, name, row[name], expected)
 
 
+@pytest.mark.parametrize("age", (1, 60))
+@pytest.mark.parametrize(
+    "low, high, spread", (("1000000.00", "1000000.50", 0.35355339), ("1000.0000", "1000.0010", 0.00070711), ("0.1", "0.1", 0.0))
+)
+def test_a_small_spread_is_not_lost(spark, low, high, spread, age):
+    """Both amounts in one band, or in two; equal amounts have exactly none."""
+    tx = spark.createDataFrame(
+        [("a", day(1), Decimal(low), "x"), ("a", day(age), Decimal(high), "x")],
+        "customer_id string, transaction_date date, transaction_amount decimal(16,4), product_category string"
+    )
+    got = transaction_windows(tx, AS_OF).first()["spending_variance_90d"]
+    assert got == pytest.approx(spread, abs=1e-8) and (got == 0) == (low == high)
+
+
 def test_windows_nest_and_every_customer_has_one_row(spark):
     tx = transactions(spark)
     customers = tx.select("customer_id").distinct()
