@@ -1043,8 +1043,10 @@ ORACLES["stream_score_dedup"] = (
     "WITH "
     + scoring()
     + """
-SELECT customer_id, round(probability, 4) AS churn_probability FROM inputs
-WHERE customer_id IN (SELECT customer_id FROM ev)"""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS reuse_start, i.customer_id,
+       arg_min(event_id, (ts, event_id)) AS request_id, count(*) AS requests,
+       round(any_value(probability), 4) AS churn_probability
+FROM ev e JOIN inputs i ON i.customer_id = e.customer_id GROUP BY date_trunc('hour', ts), i.customer_id"""
 )
 ORACLES["stream_serving_metrics"] = _with(
     EVENTS,

@@ -120,8 +120,9 @@ def score_with_trained_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _daily(spark: SparkSession, folder: str) -> DataFrame:
-    partials = jobs.daily_engagement(jobs.event_stream(spark, folder))
-    return jobs.run_upsert(partials, fresh_path(spark, "daily"), jobs.DAILY_KEYS)
+    path = fresh_path(spark, "daily")
+    jobs.run_upsert(jobs.daily_engagement(jobs.event_stream(spark, folder)), path, jobs.DAILY_KEYS)
+    return jobs.backfill(jobs.daily_engagement(jobs.event_batch(spark, folder)), path, jobs.DAILY_KEYS)
 
 
 @query
@@ -150,17 +151,27 @@ def stream_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_score_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Records scored once within the reuse time; all requests arrive in one micro-batch here."""
+    """Records scored once per hour of requests, late ones included."""
     inputs = written(frames.scoring_inputs(spark, folder).select(*scoring.INPUT_FIELDS), "inputs")
-    first = jobs.first_requests(jobs.request_stream(spark, folder), inputs, scoring.INPUT_FIELDS)
-    stored = jobs.run_append(first, fresh_path(spark, "first"))
-    return stored.select("customer_id", F.round(scoring.formula_probability(), 4).alias("churn_probability"))
+    path = fresh_path(spark, "first")
+    job = lambda requests: jobs.first_requests(requests, inputs, scoring.INPUT_FIELDS)
+    jobs.run_upsert(job(jobs.request_stream(spark, folder)), path, jobs.REUSE_KEYS)
+    stored = jobs.backfill(job(jobs.as_requests(jobs.event_batch(spark, folder))), path, jobs.REUSE_KEYS)
+    return stored.select(
+        F.substring(jobs.plain_time(F.col("reuse_start")).cast("string"), 1, 16).alias("reuse_start"),
+        "customer_id",
+        "request_id",
+        "requests",
+        F.round(scoring.formula_probability(), 4).alias("churn_probability"),
+    )
 
 
 @query
 def stream_serving_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    counters = jobs.minute_metrics(jobs.request_stream(spark, folder))
-    stored = jobs.run_upsert(counters, fresh_path(spark, "minutes"), ["minute_start"])
+    path = fresh_path(spark, "minutes")
+    jobs.run_upsert(jobs.minute_metrics(jobs.request_stream(spark, folder)), path, ["minute_start"])
+    late = jobs.minute_metrics(jobs.as_requests(jobs.event_batch(spark, folder)))
+    stored = jobs.backfill(late, path, ["minute_start"])
     n = F.col("requests").cast("double")
     return stored.select(
         F.substring(jobs.plain_time(F.col("minute_start")).cast("string"), 1, 16).alias("minute"),

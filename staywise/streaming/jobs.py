@@ -1,7 +1,7 @@
 """Structured Streaming jobs: daily engagement partials, request deduplication, scoring, serving counters.
 
 State is kept per window and key and bounded by the watermark. Rows later than the watermark are dropped from the
-stream; a batch run over the same files picks them up. Hot keys are combined on the map side before
+stream; ``backfill`` with a batch run over the same table puts them in. Hot keys are combined on the map side before
 they reach the state store; the size of a micro-batch is set with ``maxFilesPerTrigger`` on the source.
 """
 
@@ -19,7 +19,8 @@ from staywise.operators import scoring
 from staywise.operators.engagement import engagement_windows
 from staywise.operators.feature_store import newest
 from staywise.schemas import RAW_EVENTS
-from staywise.sources.adapters import engagement_columns
+from staywise.session import written
+from staywise.sources.adapters import engagement_columns, table
 from staywise.sources.readers import stream_typed
 
 LATENESS = "3 days"
@@ -46,9 +47,18 @@ def event_stream(spark: SparkSession, folder: str, files: str = "events.parque[t
     return engagement_columns(raw).withColumn("at", instant(F.col("ts")))
 
 
+def event_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows as a batch."""
+    return engagement_columns(table(spark, folder, "events")).withColumn("at", instant(F.col("ts")))
+
+
 def request_stream(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """Events seen as scoring requests, the streaming twin of the request log."""
-    return event_stream(spark, folder, **options).select(
+    return as_requests(event_stream(spark, folder, **options))
+
+
+def as_requests(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("request_id"),
         "customer_id",
         "ts",
@@ -122,17 +132,28 @@ def scored_stream(
     )
 
 
-def first_requests(requests: DataFrame, inputs: DataFrame, fields: Sequence[str], reuse: str = REUSE) -> DataFrame:
-    """One request per distinct record within the reuse time; the others may reuse its result.
+REUSE_KEYS = ("reuse_start", "fingerprint")
+
 
-    A result is kept for at least ``reuse``; where records arrive slowly the watermark can hold it longer.
+def first_requests(
+    requests: DataFrame, inputs: DataFrame, fields: Sequence[str], reuse: str = REUSE, lateness: str = LATENESS
+) -> DataFrame:
+    """The earliest request per distinct record and reuse period, with the number of requests it serves.
+
+    Periods are fixed (whole hours by default) and a result is reused up to the end of its period only, so the outcome
+    does not depend on micro-batches. Requests for a hot record are reduced in each map task.
     """
     return (
         requests.select("request_id", "customer_id", "at")
         .join(inputs, "customer_id")
         .withColumn("fingerprint", scoring.fingerprint(fields))
-        .withWatermark("at", reuse)
-        .dropDuplicatesWithinWatermark(["fingerprint"])
+        .withWatermark("at", lateness)
+        .groupBy(F.window("at", reuse).alias("span"), "fingerprint")
+        .agg(
+            F.min_by(F.struct("request_id", *fields), F.struct("at", "request_id")).alias("earliest"),
+            F.count("*").alias("requests"),
+        )
+        .select(F.col("span.start").alias("reuse_start"), "fingerprint", "earliest.*", "requests")
     )
 
 
@@ -153,7 +174,7 @@ def run_append(stream: DataFrame, path: str) -> DataFrame:
 
 
 def run_upsert(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Process everything available in update mode and return the newest row per key.
+    """Process everything available in update mode and return the newest row per key; no input gives an empty table.
 
     Each micro-batch overwrites its own ``batch_id`` folder, so a repeated batch leaves no duplicates; readers take
     the row of the highest batch. Called again with the same path it continues where it stopped.
@@ -162,6 +183,7 @@ def run_upsert(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{path}/batch_id=-1")
     query = (
         stream.writeStream.foreachBatch(store)
         .outputMode("update")
@@ -170,6 +192,30 @@ def run_upsert(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    columns = ", ".join(f"{name} {kind}" for name, kind in stream.dtypes)
-    stored = stream.sparkSession.read.schema(f"{columns}, batch_id BIGINT").parquet(path)
-    return newest(stored, keys, "batch_id").drop("batch_id")
+    return _newest_stored(_stored(stream, path), keys)
+
+
+def backfill(batch: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Put what a batch run of the same job found into the table that ``run_upsert`` keeps; return the newest row per key.
+
+    Rows behind the watermark are in the batch only. Rows that differ from the stored ones are added to the newest
+    ``batch_id`` and go before it. A later micro-batch goes before them in turn: it holds only periods that are still open,
+    of which the stream dropped nothing. Run it while the stream is stopped.
+    """
+    stored = _stored(batch, path)
+    current = _newest_stored(stored, keys)
+    changed = written(batch.select(*current.columns).subtract(current), "backfill")
+    last = stored.agg(F.max("batch_id")).first()[0]
+    target = f"{path}/batch_id={-1 if last is None else last}"
+    changed.withColumn("backfilled", F.lit(True)).write.mode("append").parquet(target)
+    return _newest_stored(_stored(batch, path), keys)
+
+
+def _stored(like: DataFrame, path: str) -> DataFrame:
+    columns = ", ".join(f"{name} {kind}" for name, kind in like.dtypes)
+    return like.sparkSession.read.schema(f"{columns}, backfilled BOOLEAN, batch_id BIGINT").parquet(path)
+
+
+def _newest_stored(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of one batch a backfilled row goes first: NULL sorts last."""
+    return newest(stored, keys, "batch_id", "backfilled").drop("batch_id", "backfilled")

@@ -78,6 +78,34 @@ def test_rows_behind_the_watermark_are_dropped(spark, folder_of, out):
     stream = jobs.event_stream(spark, path, files="*.parquet", maxFilesPerTrigger="1")
     got = jobs.run_upsert(jobs.daily_engagement(stream), out, jobs.DAILY_KEYS)
     assert sorted(r.events for r in got.collect()) == [1, 2]
+    raw = adapters.engagement_columns(spark.read.schema(SCHEMA).parquet(path)).withColumn("at", jobs.instant(F.col("ts")))
+    plain = jobs.daily_engagement(raw)
+    for _ in range(2):
+        filled = jobs.backfill(plain, out, jobs.DAILY_KEYS)
+        assert sorted(map(tuple, filled.collect())) == sorted(map(tuple, plain.collect()))
+    write_files(spark, path, [[event(5, 10 * day + 2)]])  # the stream goes on from its own state
+    got = jobs.run_upsert(jobs.daily_engagement(stream), out, jobs.DAILY_KEYS)
+    assert sorted(r.events for r in got.collect()) == [2, 3]
+
+
+def test_a_stream_without_rows_gives_an_empty_table(spark, folder_of, out):
+    path = folder_of([[]])
+    stream = jobs.event_stream(spark, path, files="*.parquet")
+    assert jobs.run_upsert(jobs.daily_engagement(stream), out, jobs.DAILY_KEYS).count() == 0
+
+
+@pytest.mark.parametrize("files", (1, 4))
+def test_reuse_does_not_depend_on_batches(spark, folder_of, out, files):
+    rows = [event(i, i * 37 % 400, user=1 + i % 2) for i in range(60)]
+    path = folder_of([rows[f::files] for f in range(files)])
+    requests = jobs.request_stream(spark, path, files="*.parquet", maxFilesPerTrigger="1")
+    got = jobs.run_upsert(jobs.first_requests(requests, inputs(spark), scoring.INPUT_FIELDS), out, jobs.REUSE_KEYS)
+    expected = {}
+    for i, at, user, *_ in rows:
+        key = (user, at.replace(minute=0))
+        expected[key] = min(expected.get(key, (at, i)), (at, i))
+    assert sorted(r.request_id for r in got.collect()) == sorted(i for _, i in expected.values())
+    assert got.agg(F.sum("requests")).first()[0] == 60
 
 
 def inputs(spark):
@@ -94,14 +122,16 @@ def test_scores_and_reuse(spark, folder_of, out):
     scored = jobs.run_append(jobs.scored_stream(requests, inputs(spark)), out)
     assert scored.count() == 10
     assert {r.risk_level for r in scored.filter("customer_id = 'C000000002'").collect()} == {"HIGH"}
-    first = jobs.run_append(jobs.first_requests(requests, inputs(spark), scoring.INPUT_FIELDS), f"{out}-first")
+    first = jobs.run_upsert(
+        jobs.first_requests(requests, inputs(spark), scoring.INPUT_FIELDS), f"{out}-first", jobs.REUSE_KEYS
+    )
     assert sorted(r.customer_id for r in first.collect()) == ["C000000001", "C000000002"]
 
 
 def test_a_result_is_not_reused_long_after_it_expired(spark, folder_of, out):
     path = folder_of([[event(1, 0)], [event(2, 30)], [event(3, 300, user=2)], [event(4, 301, user=2)], [event(5, 600)]])
     requests = jobs.request_stream(spark, path, files="*.parquet", maxFilesPerTrigger="1")
-    first = jobs.run_append(jobs.first_requests(requests, inputs(spark), scoring.INPUT_FIELDS), out)
+    first = jobs.run_upsert(jobs.first_requests(requests, inputs(spark), scoring.INPUT_FIELDS), out, jobs.REUSE_KEYS)
     assert sorted(r.request_id for r in first.collect()) == [1, 3, 5]
 
 
