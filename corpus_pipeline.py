@@ -14,7 +14,8 @@ from staywise.session import written
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return rules.apply_rules(docs).where("kept").select("row.*")
+    # Written first: a filter right behind the projection would work out all counts anew for every rule that it names.
+    return written(rules.apply_rules(docs).select("row", "kept"), "verdicts").where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
