@@ -2,7 +2,7 @@
 
 Known differences from single-machine libraries, none of which can be removed here: boosted trees are first order
 and sample columns per node; the minimum leaf size counts rows; there is no minimum split size; the neural network
-has sigmoid units and no weight penalty; the scaler inside the pipeline divides by the sample deviation. The
+has sigmoid units and no weight penalty. The
 regularisation of the logistic regression is converted with ``regParam = 1 / (C * n)``.
 """
 
@@ -25,10 +25,8 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
-    StandardScaler,
     StringIndexer,
     VectorAssembler,
 )
@@ -165,22 +163,17 @@ def indexed_target(df: DataFrame, target: str) -> DataFrame:
     return df.withColumn("label", F.col(target).cast("double"))
 
 
-def preparation(columns: FeatureColumns) -> Pipeline:
+def preparation(columns: FeatureColumns, fit: NumericFit | None = None) -> Pipeline:
     """Median imputation and scaling of numbers, 'missing' and one-hot slots for categories, one feature vector.
 
-    A category unseen in training gets all zeros.
+    ``fit`` holds the statistics of the numeric columns. A category unseen in training gets all zeros.
     """
-    numbers = [f"CAST(`{c}` AS DOUBLE) AS `num_{c}`" for c in columns.numeric]
+    numbers = [f"{_scaled_text(c, fit)} AS `num_{c}`" for c in columns.numeric]
     texts = [f"coalesce(CAST(`{c}` AS STRING), 'missing') AS `cat_{c}`" for c in columns.categorical]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(numbers + texts)} FROM __THIS__")]
     parts = []
     if columns.numeric:
-        inputs, filled = [f"num_{c}" for c in columns.numeric], [f"fill_{c}" for c in columns.numeric]
-        stages += [
-            Imputer(strategy="median", relativeError=1e-4, inputCols=inputs, outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="numbers"),
-            StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-        ]
+        stages.append(VectorAssembler(inputCols=[f"num_{c}" for c in columns.numeric], outputCol="scaled"))
         parts.append("scaled")
     if columns.categorical:
         codes, slots = [f"code_{c}" for c in columns.categorical], [f"slot_{c}" for c in columns.categorical]
@@ -278,7 +271,8 @@ def train_and_compare(
     df = written(df, "training")
     columns = choose_columns(df.filter(F.col(split) == "train"), target, [split, *ignore])
     labelled = indexed_target(df, target)
-    prepared = preparation(columns).fit(labelled.filter(F.col(split) == "train"))
+    train = labelled.filter(F.col(split) == "train")
+    prepared = preparation(columns, fit_numeric(train, columns.numeric)).fit(train)
     # Iterative training reads these rows many times; a lost executor rebuilds its part from the written table.
     ready = prepared.transform(labelled).select(split, "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     train, val = ready.filter(F.col(split) == "train"), ready.filter(F.col(split) == "val")
@@ -413,12 +407,25 @@ class NumericFit:
     deviation: dict[str, float]
 
 
+def _number(column: str) -> str:
+    """A numeric column as a double; NaN counts as missing."""
+    return f"nanvl(CAST(`{column}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def _scaled_text(column: str, fit: NumericFit) -> str:
+    """One imputed and scaled column in SQL; a constant column is only centred."""
+    median, mean, deviation = fit.median.get(column, 0.0), fit.mean[column] or 0.0, fit.deviation[column] or 1.0
+    return f"(coalesce({_number(column)}, {median!r}D) - {mean!r}D) / {deviation!r}D"
+
+
 def fit_numeric(train: DataFrame, columns: Sequence[str]) -> NumericFit:
     """Exact statistics for imputation and scaling, all columns in one stacked pass."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
+    if not columns:
+        return NumericFit({}, {}, {})
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.expr(_number(c)).alias("value")) for c in columns])
     stacked = train.select(F.inline(pairs))
     median = {r["name"]: r["quantile"] for r in exact_quantiles(stacked, ["name"], "value", [0.5]).collect()}
-    filled = [F.coalesce(F.col(c).cast("double"), F.lit(median.get(c, 0.0))).alias(c) for c in columns]
+    filled = [F.coalesce(F.expr(_number(c)), F.lit(median.get(c, 0.0))).alias(c) for c in columns]
     row = (
         train.select(*filled)
         .agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns])
@@ -428,11 +435,5 @@ def fit_numeric(train: DataFrame, columns: Sequence[str]) -> NumericFit:
 
 
 def apply_numeric(df: DataFrame, fit: NumericFit) -> DataFrame:
-    """Imputed and scaled columns; a constant column is only centred."""
-    return df.withColumns(
-        {
-            c: (F.coalesce(F.col(c).cast("double"), F.lit(fit.median.get(c, 0.0))) - F.lit(fit.mean[c]))
-            / F.lit(fit.deviation[c] or 1.0)
-            for c in fit.mean
-        }
-    )
+    """Imputed and scaled columns, by the expressions that ``preparation`` uses."""
+    return df.withColumns({c: F.expr(_scaled_text(c, fit)) for c in fit.mean})

@@ -5,7 +5,7 @@ required order and sorted inside their partitions; the position of a row is then
 the number of rows in the partitions before. Only one record per partition is needed for the second part, so
 the offset table has one row per shuffle partition and group in it, whatever the number of data rows.
 
-With very many groups that table may grow; it is read with a row limit first and joined the ordinary way beyond it.
+With very many groups that table may grow; Spark broadcasts it below its own threshold and shuffles it beyond.
 
 The sorted rows are written, with their place, before partition numbers are used: a recomputed partition would
 otherwise be free to come back with other boundaries.
@@ -23,17 +23,9 @@ from staywise.session import written
 _ROW_BITS = 33  # monotonically_increasing_id() = partition number << 33 | row number in the partition
 
 
-# Most offset rows that may be sent to every executor.
-OFFSET_LIMIT = 100_000
-
-
 def _with_offsets(placed: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join the offsets: as a local table if they are few, otherwise by a shuffle."""
-    rows = offsets.limit(OFFSET_LIMIT + 1).toArrow()
-    if rows.num_rows > OFFSET_LIMIT:
-        return placed.join(offsets, list(keys))
-    local = placed.sparkSession.createDataFrame(rows)
-    return placed.join(F.broadcast(local), list(keys))
+    """Join the offsets. They are written first, so Spark knows their size when it chooses between broadcast and shuffle."""
+    return placed.join(written(offsets, "offsets"), list(keys))
 
 
 def global_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], total: str = "group_rows") -> DataFrame:

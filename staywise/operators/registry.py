@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,11 +27,10 @@ def current_version(registry: DataFrame) -> DataFrame:
 
 
 def with_current(registry: DataFrame) -> DataFrame:
-    """Registry with a flag on the version in use. The registry holds one row per model, not data rows."""
-    everything = Window.partitionBy(F.lit(0))
-    version = F.when(F.col("promoted"), F.col("model_version"))
-    current = F.max_by(version, F.when(F.col("promoted"), F.struct(*_NEWEST))).over(everything)
-    return registry.withColumn("is_current", F.coalesce(F.col("model_version") == current, F.lit(False)))
+    """Registry with a flag on the version in use."""
+    current = current_version(registry).withColumn("is_current", F.lit(True))  # one row
+    joined = registry.join(F.broadcast(current), registry["model_version"] == current["current_version"], "left")
+    return joined.drop("current_version").withColumn("is_current", F.coalesce("is_current", F.lit(False)))
 
 
 def append_rows(rows: DataFrame, path: str) -> None:

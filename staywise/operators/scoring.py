@@ -127,25 +127,19 @@ def batch_summary(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-# Number of tasks that merge the newest rows of all partitions before the last one does.
-MERGE_TASKS = 64
-
-
 def newest_requests(log: DataFrame, rows: int) -> DataFrame:
     """The newest rows of the log, by time and id.
 
-    Every partition keeps at most ``rows`` before the shuffle, the merge tasks do the same, so the last task sees no more
-    than ``MERGE_TASKS * rows`` rows, however many partitions the log has.
+    Rows are counted per day first (one record a day), which gives the day that the newest ``rows`` cannot reach behind.
+    From there on every task keeps its newest ``rows`` only and hands those to the last one; older files are not read.
     """
-    latest = [F.desc("ts"), F.desc("request_id")]
-    lane = Window.partitionBy("_lane").orderBy(*latest)
-    kept = (
-        log.withColumn("_lane", F.spark_partition_id() % MERGE_TASKS)
-        .withColumn("_place", F.row_number().over(lane))
-        .filter(F.col("_place") <= rows)
-        .drop("_lane", "_place")
-    )
-    return kept.orderBy(*latest).limit(rows)
+    newest_first = Window.orderBy(F.desc("day"))
+    days = log.groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    reached = days.withColumn("before", F.sum("n").over(newest_first) - F.col("n")).filter(F.col("before") < rows)
+    edge = reached.agg(F.min("day").alias("day"), F.count_if(F.col("day").isNull()).alias("undated")).first()
+    if edge["day"] is not None and not edge["undated"]:
+        log = log.filter(F.col("ts") >= F.lit(edge["day"]).cast(log.schema["ts"].dataType))
+    return log.orderBy(F.desc("ts"), F.desc("request_id")).limit(rows)
 
 
 def serving_metrics(log: DataFrame, buffer: int = config.LATENCY_BUFFER) -> DataFrame:

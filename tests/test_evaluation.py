@@ -1,6 +1,7 @@
 """Metrics, drift, gates, registry and scoring invariants."""
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -146,6 +147,17 @@ def test_serving_metrics_of_an_empty_log(spark):
     assert (r.total_predictions, r.avg_response_time_ms, r.cache_hit_rate, r.error_rate) == (0, 0.0, 0.0, 0.0)
 
 
+@pytest.mark.parametrize("rows", (1, 7, 40, 1001, 5000))
+def test_newest_requests_at_any_buffer(spark, rows):
+    start = datetime(2024, 1, 1)
+    log = [(k, start + timedelta(hours=k * 7 % 900)) for k in range(2000)] + [(9001, None), (9002, None)]
+    df = spark.createDataFrame(log, "request_id long, ts timestamp_ntz").repartition(8)
+    newest = scoring.newest_requests(df, rows)
+    assert "TakeOrderedAndProject" in newest._jdf.queryExecution().executedPlan().toString()
+    want = sorted(log, key=lambda r: (r[1] is not None, r[1] or start, r[0]), reverse=True)[:rows]
+    assert sorted(r.request_id for r in newest.collect()) == sorted(k for k, _ in want)
+
+
 def test_quality_of_duplicates(spark):
     df = spark.createDataFrame([("a", 1), ("a", -1), (None, None), ("b", 5)], "id string, v int")
     r = quality.quality_summary(df, "id", {"v": (0, None)}).first()

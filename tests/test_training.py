@@ -105,6 +105,17 @@ def test_numeric_fit_uses_interpolated_median_and_population_deviation(spark):
     assert fit.deviation["x"] == pytest.approx(math.sqrt(sum((v - mean) ** 2 for v in values) / 5))
 
 
+def test_training_prepares_numbers_as_the_checked_query_does(spark):
+    rows = [(1.0, 5.0, None), (2.0, 5.0, None), (None, 5.0, None), (float("nan"), 5.0, None), (9.5e-7, None, None)]
+    df = spark.createDataFrame(rows, "x double, same double, none double")
+    names = ["x", "same", "none"]
+    fit = ml.fit_numeric(df, names)
+    assert fit.median["x"] == 1.0
+    model = ml.preparation(ml.FeatureColumns(names, []), fit).fit(df)
+    got = sorted(r[0] for r in model.transform(df).select(vector_to_array("features")).collect())
+    assert got == sorted(list(r) for r in ml.apply_numeric(df, fit).select(*names).collect())
+
+
 def test_draws_are_seeded_and_unique():
     grid = ml.FULL.grids["random_forest"]
     first, second = ml.drawn(grid, 20), ml.drawn(grid, 20)
