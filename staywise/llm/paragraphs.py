@@ -7,9 +7,10 @@ other lines or run over several. An anchor is the word whose five-word shingle h
 1. One pass makes the paragraphs of at least ``BLOCK`` words: position, fingerprint of the words, MinHash bands. Lines have ``LINE_BANDS`` bands of
    ``ROWS`` rows (98.6 % recall at similarity 0.8), blocks have one band: they serve exact repeats, which always collide.
 2. A band key found in more than one text ties its paragraphs to its first one. Keys are counted with map-side combining; a hot key is never
-   gathered, each paragraph is only joined with the key's leader.
-3. Paragraphs with equal fingerprints are one node. Ties of different nodes are verified by exact Jaccard similarity of their five-word shingles,
-   then components of verified ties are the clusters.
+   gathered, each paragraph is first joined with the key's leader.
+3. Paragraphs with equal fingerprints are one node. Ties of different nodes are verified by exact Jaccard similarity of their five-word shingles.
+   Nodes of a key that the verified ties leave in more than one component are then compared pair by pair, in tasks of two chunks of
+   ``CHUNK`` nodes. Components of all verified ties are the clusters.
 4. In a cluster that spans texts the first paragraph (smallest id, then position) stays, the others are removed. Overlapping
    spans of a text are merged.
 
@@ -20,6 +21,7 @@ out, since a removal could not name them. Empty tables give empty results. Offse
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -37,6 +39,7 @@ REACH = 20
 ROWS = 3
 LINE_BANDS = 6
 PERCENT = 80
+CHUNK = 2048
 SEEDS = mix(np.arange(1, 1 + ROWS * LINE_BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -121,6 +124,54 @@ def _similar(source: Iterator[tuple]) -> Iterator[tuple]:
             yield a, b
 
 
+def _cell_links(source: Iterator[tuple]) -> Iterator[tuple]:
+    """Links between parts of each cell (key, x, y); those that join nothing new in the cell are left out."""
+    for (_, x, y), group in groupby(source, key=lambda r: r[:3]):
+        members = list(group)
+        chunk = np.array([r[3] for r in members])
+        sets = [np.frombuffer(r[6], np.int64) for r in members]
+        sizes = np.array([len(v) for v in sets])
+        names, part = np.unique([r[5] for r in members], return_inverse=True)
+        n_parts = len(names)
+        tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owners = tokens[order], owners[order]
+        for i, v in enumerate(sets):
+            if n_parts == 1:
+                break
+            low = np.searchsorted(tokens, v, "left")
+            many = np.searchsorted(tokens, v, "right") - low
+            at = np.repeat(low - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
+            both = np.bincount(owners[at], minlength=len(sets))
+            near = (100 * both >= PERCENT * (sizes + len(v) - both)) & (part != part[i])
+            if x != y:
+                near &= chunk != chunk[i]
+            for j in np.flatnonzero(near).tolist():
+                if part[j] != part[i]:
+                    part[part == part[j]] = part[i]
+                    n_parts -= 1
+                    yield members[i][4], members[j][4]
+
+
+def _open_links(tied: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame:
+    """Links of the nodes of a key that are in different components. ``tied``: (key, print) without the leaders, which have met all."""
+    labelled = tied.join(part.withColumnRenamed("node", "print"), "print", "left").select(
+        "key", "print", F.coalesce("component", "print").alias("part")
+    )
+    labelled = written(labelled, "labelled")
+    open_keys = labelled.groupBy("key").agg(F.count("*").alias("many"), F.min("part").alias("p"), F.max("part").alias("q"))
+    k = F.ceil(F.col("many") / CHUNK).cast("int")
+    dealt = labelled.join(open_keys.where("p <> q").select("key", k.alias("k")), "key").withColumn(
+        "c", F.pmod(F.xxhash64("print"), F.col("k")).cast("int")
+    )
+    cells = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")).select(
+        "key", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"), "c", "print", "part"
+    )
+    cell = ["key", "x", "y"]
+    placed = cells.join(sets, "print").select(*cell, "c", "print", "part", "v").repartition(*cell).sortWithinPartitions(*cell)
+    return map_rows(placed, _cell_links, "a long, b long")
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, start, end, cluster, removed): spans that repeat across texts; the first of a cluster is not removed.
 
@@ -139,12 +190,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shared = keyed.groupBy("key").agg(
         F.min(F.struct("id", "start", "end", "print")).alias("leader"), F.max("id").alias("last")
     ).where("leader.id <> last")
-    members = written(keyed.join(shared.drop("last"), "key").drop("key"), "members")
+    members = written(keyed.join(shared.drop("last"), "key"), "members")
 
-    ties = members.where(F.col("leader.print") != F.col("print")).select(
-        F.col("print").alias("a"), F.col("leader.print").alias("b")
-    ).distinct()
-    ties = written(ties, "ties")
+    tied = members.where(F.col("leader.print") != F.col("print")).select("key", "print", F.col("leader.print").alias("b")).distinct()
+    tied = written(tied, "tied")
+    ties = written(tied.select(F.col("print").alias("a"), "b").distinct(), "ties")
     nodes = ties.select(F.col("a").alias("print")).union(ties.select("b")).distinct()
     # A leader is a member of its own key, so members hold an example of every node. Reduced first: a hot print leaves each task as one row.
     examples = members.groupBy("print").agg(F.min(F.struct("id", "start", "end")).alias("p")).join(nodes, "print", "left_semi")
@@ -158,7 +208,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     left = sets.select(F.col("print").alias("a"), F.col("v").alias("x"))
     right = sets.select(F.col("print").alias("b"), F.col("v").alias("y"))
     near = written(map_rows(ties.join(left, "a").join(right, "b").select("a", "b", "x", "y"), _similar, "a long, b long"), "near")
-    part = written(components(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "clusters")
+    part = written(components(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "leader-clusters")
+    more = written(_open_links(tied.select("key", "print"), sets, part), "more")
+    edges = part.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more.select("a", "b"))
+    part = written(components(edges), "clusters")
 
     placed = members.select("id", "start", "end", "print").distinct().join(
         part.withColumnRenamed("node", "print"), "print", "left"

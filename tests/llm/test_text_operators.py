@@ -1,5 +1,6 @@
 """Operators over texts against plain versions on small tables with nulls, empty and long texts, repeats and clashing columns."""
 
+import itertools
 import re
 from collections import Counter
 
@@ -137,6 +138,52 @@ def test_repeated_passages_are_found_wherever_they_stand(docs):
     assert paragraphs.repeats(docs.limit(0)).count() == 0
 
 
+def lines_behind_foreign_leaders():
+    """Lines alike at 0.8 or more, and for every band key they share an earlier line that is unlike them."""
+    import random
+
+    draw = random.Random(5)
+
+    def fresh(n):
+        return [f"w{draw.randrange(10**9)}" for _ in range(n)]
+
+    def keys(words):
+        return [set(p[4]) for p in paragraphs.paragraphs(" ".join(words))]
+
+    family = []
+    while len(family) != 3 or any(len(keys(x)) != 1 for x in family):
+        base = fresh(36)
+        family = [base, base[:-1] + fresh(1), base[:-2] + fresh(2)]
+    shared = [x & y for x, y in itertools.combinations([keys(x)[0] for x in family], 2)]
+    leaders, wanted = [], set().union(*shared)
+    while wanted:
+        # Some runs of a member between foreign words may have the minima of a band.
+        some = draw.choice(family)
+        other, kept = fresh(36), set()
+        for at in draw.sample(range(28), 3):
+            kept.update(range(at, at + 9))
+        other = [some[k] if k in kept else other[k] for k in range(36)]
+        met = wanted.intersection(*[set().union(*keys(other))])
+        if met:
+            leaders.append(other)
+            wanted -= met
+    return [" ".join(x) for x in leaders], [" ".join(x) for x in family]
+
+
+@pytest.mark.parametrize("chunk", [2048, 1])
+def test_links_behind_foreign_leaders_are_found(spark, monkeypatch, chunk):
+    monkeypatch.setattr(paragraphs, "CHUNK", chunk, raising=False)
+    leaders, family = lines_behind_foreign_leaders()
+    texts = dict(enumerate(leaders + family))
+    runs = {k: {tuple(t.split()[i : i + 5]) for i in range(32)} for k, t in texts.items()}
+    pairs = {(a, b) for a, b in itertools.combinations(texts, 2) if len(runs[a] & runs[b]) >= 0.8 * len(runs[a] | runs[b])}
+    n = len(leaders)
+    assert pairs == {(n, n + 1), (n, n + 2), (n + 1, n + 2)}
+    out = paragraphs.repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.removed) for r in out) == [(n, False), (n + 1, True), (n + 2, True)]
+    assert len({r.cluster for r in out}) == 1
+
+
 def test_secret_spans_keep_the_base_and_are_whole(docs):
     text = dict(TEXTS)[13]
     assert [(text[s:e], k) for s, e, k in secrets.base_spans(text)] == [
