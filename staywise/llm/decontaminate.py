@@ -5,7 +5,8 @@ block is sent to the tasks, ``BLOCKS_A_PASS`` at a time, and all texts are searc
 the item's score against itself: a passage that holds the item's words scores 1, whatever the item's length. Inside a block items lie in ranges
 (``RANGE`` items of similar weight); every term has a maximal impact per range, the block maxima.
 
-Search. Passages are windows of ``2 * HALF`` words, one every ``HALF`` words, over whole texts. The sum of block maxima over a window's words bounds
+Search. Passages are windows of ``2 * half`` words, one every ``half`` words, over whole texts; ``half`` is ``HALF`` doubled until an item fits,
+and a block holds items of one ``half`` only. So a passage of an item's words lies whole in some window, at any offset. The sum of block maxima over a window's words bounds
 every score from above; it is taken for all windows and ranges of a text at once. Windows it cannot rule out go to block-max WAND, which returns
 all items at or above the threshold. Nothing else is cut off: no top k, no cap on candidates.
 
@@ -13,7 +14,7 @@ Verification. Around a hit (a window and an item's length to either side) the sh
 counted; both must reach ``OVERLAP``. Items given as one text use their last quarter of words (three at least) as the answer. Items of
 fewer than ``SHORT`` words must occur word by word.
 
-Edge cases: null or empty texts and items hit nothing; repeated items (same id and text) count once; null ids are carried; repeated rows are judged
+Edge cases: null or empty texts and items hit nothing; repeated items (same id and words) count once; null ids are carried; repeated rows are judged
 one by one. Empty tables give empty results. Words are lower-cased runs of letters and digits.
 """
 
@@ -69,12 +70,20 @@ def split_item(words: list[str]) -> tuple[list[str], list[str]]:
     return (words[:cut], words[cut:]) if cut > 0 else (words, [])
 
 
+def half_of(n_words: int) -> int:
+    half = HALF
+    while half < n_words:
+        half *= 2
+    return half
+
+
 class Index:
     """One block of items: postings with impacts, range maxima, and the items' words for verification."""
 
     def __init__(self, items: list[tuple[int | None, list[str], list[str], dict[str, float]]], threshold: float = THRESHOLD):
         """``items``: id, question words, answer words, impact of each term (summing to 1)."""
         self.threshold = threshold
+        self.half = max([half_of(len(q) + len(a)) for _, q, a, _ in items], default=HALF)
         items = sorted(items, key=lambda x: -max(x[3].values()))
         self.items = [(i, q, a) for i, q, a, _ in items]
         self.terms: dict[str, int] = {}
@@ -139,7 +148,7 @@ class Index:
         if not len(at):
             return
         size = len(self.lists)
-        keys = np.unique((at // HALF) * size + ids[at])
+        keys = np.unique((at // self.half) * size + ids[at])
         cells, terms = keys // size, keys % size
         heads = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
         bounds = np.zeros((int(cells[-1]) + 3, self.maxima.shape[1]), np.float32)
@@ -150,7 +159,7 @@ class Index:
             low, high = edges[max(0, k - 1)], edges[min(k + 1, len(edges) - 1)]
             inside = np.unique(terms[low:high])
             if self.fine[inside].sum(axis=0).max() >= self.threshold - 1e-4:
-                yield max(0, k - 1) * HALF, inside.tolist()
+                yield max(0, k - 1) * self.half, inside.tolist()
 
     def hits(self, words: list[str]) -> list[tuple[int | None, int, float, float, float]]:
         """(item id, first word of the best window, score, question overlap, answer overlap) of verified items."""
@@ -160,7 +169,7 @@ class Index:
             for item, score in self.search(terms):
                 _, question, answer = self.items[item]
                 n = len(question) + len(answer)
-                region = words[max(0, start - n) : start + 2 * HALF + n]
+                region = words[max(0, start - n) : start + 2 * self.half + n]
                 shares = overlap(question, region), overlap(answer, region)
                 if n < SHORT:
                     whole = question + answer
@@ -186,9 +195,9 @@ def index_blocks(items: DataFrame, threshold: float = THRESHOLD, block_postings:
                 yield item, question, rest, list(counts), list(counts.values())
 
     schema = "item_id long, question array<string>, answer array<string>, terms array<string>, counts array<int>"
-    parts = written(map_rows(items.distinct(), cut, schema), "items")
+    parts = written(map_rows(items.distinct(), cut, schema).dropDuplicates(["item_id", "question", "answer"]), "items")
     totals = parts.agg(
-        F.count("*").alias("n"), F.avg(F.size("question") + F.size("answer")).alias("length"), F.sum(F.size("terms")).alias("postings")
+        F.count("*").alias("n"), F.avg(F.size("question") + F.size("answer")).alias("length")
     ).first()
     if not totals["n"]:
         return
@@ -196,22 +205,24 @@ def index_blocks(items: DataFrame, threshold: float = THRESHOLD, block_postings:
     idf = F.log(1 + (F.lit(totals["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     size = F.size("question") + F.size("answer")
     one = parts.select(
-        F.xxhash64("item_id", "question", "answer").alias("key"),
+        F.xxhash64("item_id", F.size("question"), "question", "answer").alias("key"),
         size.alias("size"),
         F.explode(F.arrays_zip("terms", "counts")).alias("t"),
     ).select("key", "size", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
     weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.lit(totals["length"])))
     weighted = one.join(df.select("term", idf.alias("idf")), "term").select("key", "term", weight.alias("w"))
     impacts = weighted.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("w"))
-    n_blocks = math.ceil(totals["postings"] / block_postings)
+    half = F.udf(half_of, "int")
+    sizes = {r["half"]: r["n"] for r in parts.groupBy(half(size).alias("half")).agg(F.sum(F.size("terms")).alias("n")).collect()}
     ready = written(
-        parts.select("item_id", "question", "answer", F.xxhash64("item_id", "question", "answer").alias("key"))
+        parts.select("item_id", "question", "answer", half(size).alias("half"), F.xxhash64("item_id", F.size("question"), "question", "answer").alias("key"))
         .join(impacts, "key")
-        .select("item_id", "question", "answer", "w", F.pmod("key", F.lit(n_blocks)).alias("block")),
+        .select("item_id", "question", "answer", "w", "half", "key"),
         "impacts",
     )
-    for block in range(n_blocks):
-        rows = ready.where(F.col("block") == block).drop("block").collect()  # a bounded block
+    blocks = [(h, many, b) for h in sorted(sizes) for many in [math.ceil(sizes[h] / block_postings)] for b in range(many)]
+    for h, many, block in blocks:
+        rows = ready.where((F.col("half") == h) & (F.pmod("key", F.lit(many)) == block)).collect()  # a bounded block
         items_of = []
         for r in rows:
             total = sum(r["w"].values())

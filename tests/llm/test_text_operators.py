@@ -111,6 +111,27 @@ def test_leaks_match_containment(spark, docs):
     assert decontaminate.leaks(docs, none).count() == 0 and decontaminate.without_leaks(docs, none).count() == len(TEXTS)
 
 
+def test_long_items_are_found_at_all_offsets(spark):
+    sizes = (100, 150, 500)
+    words = {n: [f"long{n}x{k}" for k in range(n)] for n in sizes}
+    items = spark.createDataFrame([(n, " ".join(w)) for n, w in words.items()], "item_id long, text string")
+    indexes = list(decontaminate.index_blocks(items))
+    for n in sizes:
+        for offset in range(0, 2 * n):
+            text = [f"before{k}" for k in range(offset)] + words[n] + ["after"] * 700
+            (hit,) = [h for index in indexes for h in index.hits(text)]
+            assert hit[0] == n and hit[2] == pytest.approx(1)
+
+
+def test_items_with_the_same_words_count_once(spark):
+    rows = [(1, "One two three four five six seven eight nine"), (1, "one, two, three four five six seven eight NINE"),
+            (None, "Red green blue and a grey one there too"), (None, "red green blue, and a grey one there too")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    found = [(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()]
+    assert sorted(found, key=str) == [(0, 1), (1, 1), (2, None), (3, None)]
+
+
 def test_wand_finds_what_a_full_scan_finds():
     import random
 
