@@ -115,3 +115,93 @@ select page_id, payload_bytes, payload_digest,
     case when payload_bytes >= 1000 and page_id is distinct from kept then kept end as refers_to
 from k
 """
+
+_CUTS = " union all ".join(
+    f"select lang, ws, a, {k} as k, list_slice(ws, 1, {k}) as x, list_slice(ws, {k + 1}, len(ws)) as y from cand where len(ws) > {k}"
+    for k in (1, 2, 3)
+)
+_INSIDE = " union all ".join(
+    f"select lang, list_slice(ws, {i}, {i + size - 1}) as ws, a as f from cand where len(ws) >= {max(size + 1, i + size - 1)}"
+    for size in (2, 3)
+    for i in range(1, 6 - size)
+)
+_PHRASES = " union all ".join(f"select lang, list_slice(ws, i, i + {k - 1}) as ws from places where i + {k - 1} <= len(ws)" for k in (1, 2, 3, 4))
+
+ORACLES["op12_collocations"] = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+        unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents where text is not null
+),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+places as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from words),
+totals as (select lang, sum(len(ws))::bigint as n from words group by lang),
+f as (select lang, ws, count(*) as f from ({_PHRASES}) group by all having count(*) >= 30),
+cand as (select lang, ws, f as a from f where len(ws) > 1),
+cuts as ({_CUTS}),
+scored as (
+    select c.lang, c.ws, c.a, c.k, fx.f as l, fy.f as r, ((2000000::hugeint * c.a) // (fx.f + fy.f))::bigint as score
+    from cuts c join f fx on fx.lang = c.lang and fx.ws = c.x join f fy on fy.lang = c.lang and fy.ws = c.y
+),
+best as (select * from scored qualify row_number() over (partition by lang, ws order by score, k) = 1),
+inside as (select lang, ws, max(f) as f from ({_INSIDE}) group by all),
+kept as (
+    select b.lang, array_to_string(b.ws, ' ') as phrase, b.a, b.l, b.r, b.score
+    from best b left join inside i on i.lang = b.lang and i.ws = b.ws where i.f is null or 100 * i.f < 80 * b.a
+),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+ORACLES["op13_spelling_variants"] = r"""
+with recursive steps as (
+    select x as b, x as v, 0 as k from range(256) t(x)
+    union all
+    select b, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from steps where k < 8
+),
+crc as (select list(v order by b) as t from steps where k = 8),
+runs as (
+    select coalesce(doc_id::varchar, '') as id,
+        translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from documents
+),
+one as (select id, run, count(*) as times from runs where length(run) >= 7 group by all),
+hashed as (
+    select run, times, xor(4294967295, list_reduce(
+        list_transform(regexp_extract_all(hex(encode(id || ':' || run)), '..'), lambda c: ('0x' || c)::bigint),
+        lambda acc, c: xor(acc >> 8, t[(xor(acc, c) & 255) + 1]), 4294967295::bigint)) as h
+    from one, crc
+),
+noisy as (
+    select case when h % 31 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, times
+    from hashed
+),
+w as (select word, sum(times)::bigint as n from noisy where length(word) >= 7 group by word having sum(times) >= 2),
+gone as (
+    select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+    from (select word, n, unnest(range(1, length(word) + 1)) as i from w)
+),
+near as (
+    select distinct a.word, b.word as other, b.n as other_n from gone a join gone b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+    union
+    select distinct a.word, b.word, b.n from gone a join w b on a.rest = b.word
+    union
+    select distinct b.word, a.word, a.n from gone a join w b on a.rest = b.word
+),
+ranked as (
+    select *, count(*) over (partition by word) as n_near, row_number() over (partition by word order by other_n desc, encode(other)) as place from near
+),
+best as (select word, n_near, other, other_n from ranked where place = 1),
+forms as (
+    select w.word, w.n, coalesce(n_near, 0)::bigint as n_near,
+        case when best.other_n >= 10 * w.n then best.other end as form, case when best.other_n >= 10 * w.n then best.other_n end as form_n
+    from w left join best using (word)
+),
+chain as (
+    select word, form as at from forms where form is not null
+    union all
+    select chain.word, forms.form from chain join forms on forms.word = chain.at where forms.form is not null
+),
+ends as (select chain.word, chain.at as root from chain join forms on forms.word = chain.at where forms.form is null)
+select word, form, coalesce(root, word) as root, n, n_near, form_n from forms left join ends using (word)
+"""

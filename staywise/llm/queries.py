@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staywise.session import fresh_path, written
 
-from . import chat, decontaminate, jaccard, mixing, paragraphs, pii, qda, rules, secrets, warc
+from . import bpe, chat, collocations, decontaminate, jaccard, mixing, paragraphs, pii, qda, rules, secrets, spelling, warc
 from .oracle import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,21 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_repeated_paragraphs")
 def op5_repeated_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     return paragraphs.repeats(table(spark, folder, "documents"))
+
+
+@query("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(table(spark, folder, "documents"), vocabulary)
+
+
+@query("op12_collocations")
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents")).drop("cut")
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
