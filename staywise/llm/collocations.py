@@ -30,6 +30,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ MOST_SLOTS = 1 << 18
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
 BITS_A_PREFIX = 16
 HELD = 400_000  # distinct keys a map task adds up before it hands them on
-PLACES = 1 << 21  # word places of which a map task adds up the two-word prefixes at once
+PLACES = 1 << 20  # word places of which a map task adds up the two-word prefixes at once
 
 # Bytes of a text after folding: word separator, piece separator. Words that hold these bytes themselves are escaped first, so that keys sort
 # word by word as bytes.
@@ -56,7 +57,6 @@ _FOLD[0x20] = _FOLD[0x09] = WORD_END
 for _separator in (*b".,;:!?", *range(0x0A, 0x0E)):
     _FOLD[_separator] = PIECE_END
 _FOLD = bytes(_FOLD)
-_GAPS = re.compile(rb"[\x00\x0a]+")
 _RUNS = re.compile(rb"\x00{2,}")
 
 
@@ -69,27 +69,31 @@ def phrase_of(key: bytes) -> str:
     return key.replace(b"\x00", b" ").replace(b"\x01\x02", b"\x00").replace(b"\x01\x03", b"\x01").decode()
 
 
-def folded(text: str) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    """The folded text, starts and ends of its words, and how many further words of the same piece follow each.
-
-    Words of a piece have exactly one separator between them, so a slice from a start to a later end is the key of that phrase.
-    """
+def folded(text: str) -> bytes:
+    """The folded text: exactly one separator between the words of a piece, so that a slice over some of them is the key of that phrase."""
     data = text.encode()
     if b"\x00" in data or b"\x01" in data:
         data = _escaped(data)
-    data = _GAPS.sub(lambda gap: b"\n" if b"\n" in gap[0] else b"\x00", data.translate(_FOLD))
+    data = data.translate(_FOLD)
+    if b"\x00\x00" in data:
+        data = _RUNS.sub(b"\x00", data)
+    return data.replace(b"\x00\n", b"\n").replace(b"\n\x00", b"\n")
+
+
+def places(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a folded text, and how many further words of the same piece follow each."""
     row = np.frombuffer(data, np.uint8)
     between = np.ones(len(row) + 2, bool)
     between[1:-1] = (row == WORD_END) | (row == PIECE_END)
     edges = np.flatnonzero(between[1:] != between[:-1])
     starts, ends = edges[0::2], edges[1::2]
     n = len(starts)
+    if not n:
+        return starts, ends, np.empty(0, np.int64)
     last = np.ones(n, bool)
-    if n:
-        last[:-1] = row[ends[:-1]] == PIECE_END
+    last[:-1] = row[ends[:-1]] == PIECE_END
     stop = np.flatnonzero(last)
-    after = stop[np.searchsorted(stop, np.arange(n))] - np.arange(n) if n else np.empty(0, np.int64)
-    return data, starts, ends, after
+    return starts, ends, np.repeat(stop, np.diff(stop, prepend=-1)) - np.arange(n)
 
 
 @lru_cache(maxsize=1024)
@@ -142,24 +146,43 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text")).where("text is not null")
 
 
+def _map_arrays(df: DataFrame, arrays: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """``arrays`` gets the rows of a partition and yields result columns, whole arrays or lists at a time."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    target = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def source() -> Iterator[tuple]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    yield from zip(*(c.slice(at, 256).to_pylist() for c in batch.columns), strict=True)
+
+        for columns in arrays(source()):
+            made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+            for at in range(0, made.num_rows, 1 << 16):
+                yield made.slice(at, 1 << 16)
+
+    return df.mapInArrow(stream, schema)
+
+
 def _word_rows(source: Iterator[tuple]) -> Iterator[tuple]:
     """(lang, word, h, n) with the words of one task added up."""
     counts: dict[str, Counter] = {}
 
     def out() -> Iterator[tuple]:
         for lang, of_lang in counts.items():
+            of_lang.pop(b"", None)
             if not of_lang:
                 continue
             keys = list(of_lang)
             ends = np.cumsum([len(k) for k in keys])
             starts = np.concatenate([[0], ends[:-1]])
-            for key, h in zip(keys, signed(_prefix_hashes(b"".join(keys), starts, ends, lang)).tolist(), strict=True):
-                yield lang, key, h, of_lang[key]
+            yield [lang] * len(keys), keys, signed(_prefix_hashes(b"".join(keys), starts, ends, lang)), list(of_lang.values())
         counts.clear()
 
     for lang, text in source:
-        data = folded(text)[0]
-        counts.setdefault(lang, Counter()).update(w for w in data.replace(b"\n", b"\x00").split(b"\x00") if w)
+        counts.setdefault(lang, Counter()).update(folded(text).replace(b"\n", b"\x00").split(b"\x00"))
         if sum(map(len, counts.values())) >= HELD:
             yield from out()
     yield from out()
@@ -174,35 +197,30 @@ def _pair_rows(words) -> Callable[[Iterator[tuple]], Iterator[tuple]]:
         n = 0
 
         def out() -> Iterator[tuple]:
-            if held:
-                both, many = _added(held)
-                yield from zip(signed(both[0]).tolist(), signed(both[1]).tolist(), many.tolist(), strict=True)
-                held.clear()
+            both = np.concatenate(held, axis=1)
+            _, at, many = np.unique(both[0], return_index=True, return_counts=True)
+            yield signed(both[0][at]), signed(both[1][at]), many
+            held.clear()
 
         for lang, text in source:
-            data, starts, ends, after = folded(text)
+            data = folded(text)
+            starts, ends, after = places(data)
             if len(starts) < 2:
                 continue
             one = _prefix_hashes(data, starts, ends, lang)
             fit = frequent.has(one)
-            keep = fit[:-1] & fit[1:] & (after[:-1] > 0)
-            held.append(np.stack([_pairs(one)[keep], one[:-1][keep]]))
-            n += held[-1].shape[1]
+            keep = np.flatnonzero(fit[:-1] & fit[1:] & (after[:-1] > 0))
+            held.append(np.stack([_pairs(one)[keep], one[keep]]))
+            n += len(keep)
             if n >= PLACES:
                 yield from out()
                 n = 0
-        yield from out()
+        if held:
+            yield from out()
 
     return rows
 
 
-def _added(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct columns by their first row, with their number."""
-    both = np.concatenate(held, axis=1)
-    _, at, many = np.unique(both[0], return_index=True, return_counts=True)
-    return both[:, at], many
-
-
 def _slot(one: np.ndarray, two: np.ndarray, three: np.ndarray, heavy: np.ndarray, heavier: np.ndarray, slots: int) -> np.ndarray:
     """The slot of a suffix: by its first word, by two if that is too frequent, by three if those are."""
     key = np.where(_in(heavier, two), three, np.where(_in(heavy, one), two, one))
@@ -221,86 +239,81 @@ def _leaf_rows(pairs, plan, words: int) -> Callable[[Iterator[tuple]], Iterator[
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         frequent = _Bits(pairs.value)
         heavy, heavier, group_of = plan.value
-        counts: dict[tuple[str, int, bool], Counter] = {}
-        held = 0
+        counts: dict[str, Counter] = {}
 
         def out() -> Iterator[tuple]:
-            for (lang, group, part), of_group in counts.items():
-                for key, n in of_group.items():
-                    yield group, lang, key, part, n
+            for lang, of_lang in counts.items():
+                if not of_lang:
+                    continue
+                keys = list(of_lang)
+                blob = b"\n".join(keys)
+                starts, ends, after = places(blob)
+                one = _prefix_hashes(blob, starts, ends, lang)
+                # The first word of each key: one that does not follow another of its piece.
+                at = np.flatnonzero(np.append(True, after[:-1] == 0))
+                two = _pairs(one)[at]
+                third = np.where(after[at] > 1, one[np.minimum(at + 2, len(one) - 1)], np.uint64(0))
+                slots = _slot(one[at], two, mix(two * _THIRD + third), heavy, heavier, len(group_of))
+                yield group_of[slots], [lang] * len(keys), keys, _in(heavier, two), list(of_lang.values())
             counts.clear()
 
+        held = 0
         for lang, text in source:
-            data, starts, ends, after = folded(text)
+            data = folded(text)
+            starts, ends, after = places(data)
             if len(starts) < 2:
                 continue
             one = _prefix_hashes(data, starts, ends, lang)
-            two = np.append(_pairs(one), np.uint64(0))
-            go_on = np.append(frequent.has(two[:-1]), False) & (after > 0)
+            go_on = np.append(frequent.has(_pairs(one)), False) & (after > 0)
             # Words of the leaf after the first: as long as each next two words are frequent together.
             more = go_on.astype(np.int64)
             for k in range(1, min(words - 1, len(more))):
                 more[: len(more) - k] += (more[: len(more) - k] == k) & go_on[k:]
             at = np.flatnonzero(more)
-            if not len(at):
-                continue
-            reach = more[at]
-            third = np.where(reach > 1, one[np.minimum(at + 2, len(one) - 1)], np.uint64(0))
-            three = mix(two[at] * _THIRD + third)
-            part = _in(heavier, two[at])
-            group = group_of[_slot(one[at], two[at], three, heavy, heavier, len(group_of))]
-            begin, end = starts[at].tolist(), ends[at + reach].tolist()
-            for s, e, g, p in zip(begin, end, group.tolist(), part.tolist(), strict=True):
-                of_group = counts.get((lang, g, p))
-                if of_group is None:
-                    of_group = counts[lang, g, p] = Counter()
-                of_group[data[s:e]] += 1
-            held += len(begin)
-            if held >= HELD and sum(map(len, counts.values())) >= HELD:
-                yield from out()
-                held = 0
-            elif held >= HELD:
-                held = HELD // 2
+            bounds = zip(starts[at].tolist(), ends[at + more[at]].tolist(), strict=True)
+            counts.setdefault(lang, Counter()).update([data[s:e] for s, e in bounds])
+            held += len(at)
+            if held >= HELD:
+                held = sum(map(len, counts.values()))
+                if held >= HELD:
+                    yield from out()
+                    held = 0
         yield from out()
 
     return rows
 
 
 def _node_rows(least: int) -> Callable[[Iterator[tuple]], Iterator[tuple]]:
-    """(lang, key, words, n): nodes of two words or more, from leaves in the order of group, language and key.
+    """(lang, key, words, n): nodes of two words or more, from the leaves of each group in order of language and key.
 
     Nodes that stand in other groups too (``part`` and two words) go on whatever their total.
     """
 
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
-        place: tuple | None = None
-        path: list[bytes] = []  # keys of the open nodes, by depth from two words on
-        totals: list[int] = []
-        split = False
+        last: list[bytes] = []
+        totals = [0] * (WORDS + 1)  # by depth; open are those down to the last leaf's
+        place, split = None, False
 
         def close(depth: int) -> Iterator[tuple]:
-            while len(path) > depth:
-                key, n = path.pop(), totals.pop()
-                if totals:
-                    totals[-1] += n
-                if n >= least or split and not path:
-                    yield place[1], key, len(path) + 2, n
-
-        for group, lang, key, part, n in source:
+            """Nodes deeper than ``depth`` are complete; each adds its total to the one above."""
+            for d in range(len(last), max(depth, 1), -1):
+                n, totals[d] = totals[d], 0
+                totals[d - 1] += n
+                if n >= least or split and d == 2:
+                    yield place, b"\x00".join(last[:d]), d, n
+
+        for lang, key, part, n in source:
             words = key.split(b"\x00")
-            prefixes = [b"\x00".join(words[:k]) for k in range(2, len(words) + 1)]
-            if (group, lang) != place:
-                yield from close(0)
-                place = (group, lang)
             shared = 0
-            while shared < min(len(path), len(prefixes)) and path[shared] == prefixes[shared]:
-                shared += 1
+            if lang == place:
+                for mine, theirs in zip(words, last):  # noqa: B905
+                    if mine != theirs:
+                        break
+                    shared += 1
             yield from close(shared)
-            for prefix in prefixes[shared:]:
-                path.append(prefix)
-                totals.append(0)
-            totals[-1] += n
-            split = part
+            last, place, split = words, lang, part
+            totals[1] = 0
+            totals[len(words)] += n
         yield from close(0)
 
     return rows
@@ -362,7 +375,7 @@ def phrase_counts(
     texts = _texts(docs, text_col, lang_col)
     context = docs.sparkSession.sparkContext
     single = (
-        map_rows(texts, _word_rows, "lang string, key binary, h long, n long")
+        _map_arrays(texts, _word_rows, "lang string, key binary, h long, n long")
         .groupBy("lang", "key", "h")
         .agg(F.sum("n").alias("n"))
     )
@@ -370,17 +383,17 @@ def phrase_counts(
     per_lang = single.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = single.where(F.col("n") >= least)
     word_bits = context.broadcast(_bitmap(frequent.select("h")))
-    pairs = map_rows(texts, _pair_rows(word_bits), "h long, first long, n long").groupBy("h").agg(
+    pairs = _map_arrays(texts, _pair_rows(word_bits), "h long, first long, n long").groupBy("h").agg(
         F.sum("n").alias("n"), F.min("first").alias("first")
     )
     pairs = written(pairs.where(F.col("n") >= least), "pairs")
     pair_bits = context.broadcast(_bitmap(pairs.select("h")))
     *plan, groups = plan_groups(frequent.select("h", "n"), pairs, budget)
     shared = context.broadcast(tuple(plan))
-    leaves = map_rows(texts, _leaf_rows(pair_bits, shared, words), "grp int, lang string, key binary, part boolean, n long")
+    leaves = _map_arrays(texts, _leaf_rows(pair_bits, shared, words), "grp int, lang string, key binary, part boolean, n long")
     order = ["grp", "lang", "key"]
     # Leaves that several tasks have in common are added up by the task that walks the subtree: they stand side by side there.
-    placed = leaves.repartition(groups, "grp").sortWithinPartitions(*order)
+    placed = leaves.repartition(groups, "grp").sortWithinPartitions(*order).select("lang", "key", "part", "n")
     nodes = map_rows(placed, _node_rows(least), "lang string, key binary, words int, n long")
     nodes = nodes.groupBy("lang", "key", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     nodes = written(nodes, "nodes")
