@@ -539,12 +539,20 @@ _STORE = (
     "behavior AS (SELECT * FROM engaged_all WHERE login_count_90d IS NOT NULL)",
 )
 ORACLES["feature_table_pk_check"] = _with(
-    *_STORE,
+    CUSTOMERS,
+    TRANSACTIONS,
+    EVENTS,
+    f"behavior AS (SELECT * FROM ev WHERE event_date >= DATE '{AS_OF}' - 30 AND event_date <= DATE '{AS_OF}')",
+    f"spending AS (SELECT * FROM tx WHERE transaction_date >= DATE '{AS_OF}' - 30 AND transaction_date <= DATE '{AS_OF}')",
     select=" UNION ALL ".join(
         f"""SELECT '{name}' AS table_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
         count(*) FILTER (n > 1) AS duplicate_keys, count(*) FILTER (n > 1) = 0 AS is_unique
         FROM (SELECT customer_id, count(*) AS n FROM {source} GROUP BY customer_id)"""
-        for name, source in (("demographics", "customers"), ("behavior", "behavior"), ("transactions", "spending"))
+        for name, source in (
+            ("demographics", "customers"),
+            ("behavior", "(SELECT DISTINCT customer_id FROM behavior)"),
+            ("transactions", "(SELECT DISTINCT customer_id FROM spending)"),
+        )
     ),
 )
 ORACLES["feature_upsert"] = _with(
@@ -558,10 +566,11 @@ both_versions AS (
   SELECT customer_id, login_count_30d, content_minutes_30d, '{LABEL_DATE}' AS version_date FROM earlier
   WHERE login_count_30d IS NOT NULL
   UNION ALL
-  SELECT customer_id, login_count_30d, content_minutes_30d, '{AS_OF}' FROM now WHERE login_count_30d IS NOT NULL)""",
+  SELECT customer_id, login_count_30d, content_minutes_30d, '{AS_OF}' FROM now WHERE login_count_30d IS NOT NULL
+    AND customer_id IN (SELECT customer_id FROM ev WHERE event_date = DATE '{AS_OF}' - 1))""",
     select="""SELECT customer_id, login_count_30d, content_minutes_30d, version_date FROM both_versions
     QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY version_date DESC) = 1""",
-).replace("then AS (SELECT", '"then" AS (SELECT')
+)
 ORACLES["feature_lookup"] = _with(
     *_STORE,
     select="""SELECT s.customer_id, s.age, s.city_type, s.subscription_tier, login_count_90d, features_used_90d,
@@ -726,6 +735,45 @@ SELECT event_id AS request_id, e.customer_id, round(probability, 4) AS churn_pro
        row_number() OVER (PARTITION BY e.customer_id ORDER BY ts, event_id) > 1 AS cache_hit
 FROM ev e JOIN inputs i ON i.customer_id = e.customer_id"""
 )
+# Customers stand for their records: the id is part of the fingerprint.
+ORACLES["score_reuse_ttl"] = (
+    "WITH RECURSIVE "
+    + scoring()
+    + """,
+asked AS (SELECT event_id AS request_id, e.customer_id, ts, probability FROM ev e JOIN inputs i ON i.customer_id = e.customer_id),
+onward AS (
+  SELECT DISTINCT customer_id, ts, min(ts) OVER (PARTITION BY customer_id ORDER BY ts
+         RANGE BETWEEN INTERVAL 1 HOUR FOLLOWING AND UNBOUNDED FOLLOWING) AS next_ts
+  FROM asked),
+made AS (
+  SELECT customer_id, min(ts) AS ts FROM asked GROUP BY customer_id
+  UNION ALL
+  SELECT m.customer_id, o.next_ts FROM made m JOIN onward o ON o.customer_id = m.customer_id AND o.ts = m.ts
+  WHERE o.next_ts IS NOT NULL),
+used AS (
+  SELECT a.*, m.ts AS scored_at FROM asked a ASOF JOIN made m ON m.customer_id = a.customer_id AND a.ts >= m.ts)
+SELECT arg_min(request_id, (ts, request_id)) AS request_id, customer_id, strftime(scored_at, '%Y-%m-%d %H:%M:%S') AS scored_at,
+       count(*) AS requests, round(any_value(probability), 4) AS churn_probability
+FROM used GROUP BY customer_id, used.scored_at"""
+)
+ORACLES["score_store_runs"] = (
+    "WITH "
+    + scoring()
+    + """,
+asked AS (
+  SELECT event_id AS request_id, e.customer_id, ts, round(probability, 4) AS churn_probability,
+         CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 1 WHEN ts < TIMESTAMP '2024-01-18' THEN 2 ELSE 3 END AS nr
+  FROM ev e JOIN inputs i ON i.customer_id = e.customer_id WHERE ts < TIMESTAMP '2024-01-24'),
+one AS (SELECT DISTINCT customer_id FROM asked WHERE nr = 1),
+two AS (SELECT DISTINCT customer_id FROM asked WHERE nr = 2 AND customer_id NOT IN (SELECT customer_id FROM one)),
+known AS (
+  SELECT *, CASE nr WHEN 1 THEN false WHEN 2 THEN customer_id IN (SELECT customer_id FROM one)
+                    ELSE customer_id IN (SELECT customer_id FROM two) END AS stored
+  FROM asked)
+SELECT CASE nr WHEN 1 THEN '2024-01-10' WHEN 2 THEN '2024-01-18' ELSE '2024-01-24' END AS run, request_id, customer_id,
+       churn_probability, stored OR row_number() OVER (PARTITION BY nr, customer_id ORDER BY ts, request_id) > 1 AS cache_hit
+FROM known"""
+)
 ORACLES["score_summary"] = (
     "WITH "
     + scoring()

@@ -6,20 +6,23 @@ Dates are reported as text and arrays as joined text, so that results compare eq
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staywise import config
 from staywise.functions import rules, scores
-from staywise.operators import drift, feature_store, metrics, profile, quality, registry, scoring
+from staywise.operators import drift, feature_store, metrics, profile, quality, registry, reuse, scoring
 from staywise.operators.engagement import (
     engagement_columns,
     engagement_windows,
     with_engagement_score,
     with_engagement_windows,
 )
-from staywise.operators.rfm import rfm_columns, with_rfm_scores, with_transaction_windows
+from staywise.operators.rfm import rfm_columns, transaction_windows, with_rfm_scores, with_transaction_windows
+from staywise.operators.store import KeyedStore, ResultStore
 from staywise.plans import features as feature_plans
 from staywise.plans import frames
 from staywise.session import fresh_path, written
@@ -302,24 +305,55 @@ def _store_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {"demographics": demographics, "behavior": behavior, "transactions": spending}
 
 
+def _stored_features(spark: SparkSession, folder: str) -> dict[str, KeyedStore]:
+    """The three stored tables of the 30-day features, filled with today's version."""
+    today = F.lit(AS_OF).alias("version_date")
+    spending = transaction_windows(frames.history(spark, folder, days=30), AS_OF, (30,))
+    rows = {
+        "demographics": adapters.customers(spark, folder),
+        "behavior": engagement_windows(adapters.engagement(spark, folder), AS_OF, (30,)),
+        "transactions": spending,
+    }
+    stores = {}
+    for name, described in feature_store.TABLES.items():
+        store = KeyedStore(fresh_path(spark, name), described.primary_keys, "version_date", described.schema)
+        store.create(spark).merge(described.conform(rows[name].select("*", today)))
+        stores[name] = store
+    return stores
+
+
 @query
 def feature_table_pk_check(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _store_tables(spark, folder)
-    return feature_store.key_report({name: (df, ["customer_id"]) for name, df in tables.items()})
+    """Key checks of the stored tables themselves."""
+    stores = _stored_features(spark, folder)
+    return feature_store.key_report({name: (s.current(spark), s.keys) for name, s in stores.items()})
+
+
+VERSIONED = T.StructType(
+    [
+        T.StructField("customer_id", T.StringType()),
+        T.StructField("version_date", T.DateType()),
+        T.StructField("login_count_30d", T.LongType()),
+        T.StructField("content_minutes_30d", T.DoubleType()),
+    ]
+)
 
 
 def _behavior_version(spark: SparkSession, folder: str, day) -> DataFrame:
     return engagement_windows(adapters.engagement(spark, folder), day, (30,)).select(
-        "customer_id", "login_count_30d", "content_minutes_30d", F.lit(day).alias("version_date")
+        "customer_id", F.lit(day).alias("version_date"), "login_count_30d", "content_minutes_30d"
     )
 
 
 @query
 def feature_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    stored = _behavior_version(spark, folder, frames.LABEL_DATE)
-    updates = _behavior_version(spark, folder, AS_OF)
-    df = feature_store.merged(stored, updates, ["customer_id"], "version_date")
-    return df.select("customer_id", "login_count_30d", "content_minutes_30d", _text("version_date"))
+    """Behaviour as of the label date, stored; today's version of the customers seen on the newest day merged into their buckets."""
+    store = KeyedStore(fresh_path(spark, "behavior"), ("customer_id",), "version_date", VERSIONED).create(spark)
+    store.merge(_behavior_version(spark, folder, frames.LABEL_DATE))
+    newest_day = F.date_sub(F.lit(AS_OF), 1)
+    seen = adapters.engagement(spark, folder).filter(F.col("event_date") == newest_day).select("customer_id").distinct()
+    store.merge(_behavior_version(spark, folder, AS_OF).join(seen, "customer_id", "left_semi"))
+    return store.current(spark).select("customer_id", "login_count_30d", "content_minutes_30d", _text("version_date"))
 
 
 @query
@@ -335,9 +369,19 @@ def feature_lookup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+DAILY_VERSIONS = T.StructType(
+    [
+        T.StructField("customer_id", T.StringType()),
+        T.StructField("version_date", T.DateType()),
+        T.StructField("events", T.LongType()),
+        T.StructField("minutes", T.DoubleType()),
+    ]
+)
+
+
 @query
 def feature_lookup_asof(spark: SparkSession, folder: str) -> DataFrame:
-    """Newest daily feature version on or before each request."""
+    """Newest stored daily version on or before each request; versions are merged in two steps, as two days' jobs would."""
     versions = (
         adapters.engagement(spark, folder)
         .groupBy("customer_id", F.col("event_date").alias("version_date"))
@@ -346,13 +390,15 @@ def feature_lookup_asof(spark: SparkSession, folder: str) -> DataFrame:
             F.coalesce(F.sum("duration_minutes"), F.lit(0)).cast("double").alias("minutes"),
         )
     )
+    store = KeyedStore(fresh_path(spark, "versions"), ("customer_id",), "version_date", DAILY_VERSIONS, history=True)
+    earlier = F.col("version_date") <= F.lit(frames.LABEL_DATE)
+    store.create(spark).merge(versions.filter(earlier))
+    store.merge(versions.filter(~earlier))
     # The version must be older than the request day itself, or the request would see its own event.
     requests = adapters.request_log(spark, folder).select(
         "request_id", "customer_id", F.date_sub(F.col("ts").cast("date"), 1).alias("known_until")
     )
-    df = feature_store.as_of_lookup(
-        requests, versions, "customer_id", "known_until", "version_date", ["events", "minutes"]
-    )
+    df = store.as_of(requests, "known_until", ["events", "minutes"])
     return df.select(
         "request_id", "customer_id", _text("known_until"), _text("version_date"), "events", "minutes"
     )
@@ -495,6 +541,68 @@ def score_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return answered.select("request_id", "customer_id", "churn_probability", "cache_hit")
 
 
+REUSE_FOR = timedelta(hours=1)
+
+
+def _utc(column: str):
+    """The stored time as an instant."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col(column)))
+
+
+def _asked(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests of known customers with their scoring inputs; ``ts`` as an instant."""
+    inputs = written(frames.scoring_inputs(spark, folder).select(*scoring.INPUT_FIELDS), "inputs")
+    requests = adapters.request_log(spark, folder).select("request_id", "customer_id", _utc("ts").alias("ts"))
+    return requests.join(inputs, "customer_id")
+
+
+@query
+def score_reuse_ttl(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per scoring that a result lifetime of one hour asks for, with the requests that its result serves."""
+    asked = written(_asked(spark, folder).withColumn("fingerprint", scoring.fingerprint(scoring.INPUT_FIELDS)), "asked")
+    log = asked.select("request_id", "fingerprint", "ts")
+    made = written(reuse.misses(log, "fingerprint", "ts", REUSE_FOR), "misses")
+    served = reuse.served(log, made, "fingerprint", "ts", REUSE_FOR)
+    used = served.groupBy("fingerprint", "miss_at").agg(
+        F.count("*").alias("requests"), F.min_by("request_id", F.struct("ts", "request_id")).alias("request_id")
+    )
+    records = asked.select("request_id", "customer_id", F.round(scoring.formula_probability(), 4).alias("churn_probability"))
+    return used.join(records, "request_id").select(
+        "request_id",
+        "customer_id",
+        F.date_format("miss_at", "yyyy-MM-dd HH:mm:ss").alias("scored_at"),
+        "requests",
+        "churn_probability",
+    )
+
+
+# Runs over one store of results, ten days' lifetime: the third finds results of the second, while those of the first have expired.
+RUN_DAYS = (date(2024, 1, 10), date(2024, 1, 18), date(2024, 1, 24))
+RESULT_DAYS = 10
+
+
+@query
+def score_store_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three scoring runs, each over the requests since the run before, with results kept in one store."""
+    store = ResultStore(fresh_path(spark, "results"), timedelta(days=RESULT_DAYS))
+    asked = written(_asked(spark, folder), "asked")
+    day = F.col("ts").cast("date")
+    runs, since = None, None
+    for until in RUN_DAYS:
+        part = asked.filter(day < F.lit(until) if since is None else (day < F.lit(until)) & (day >= F.lit(since)))
+        answered = store.answer(
+            part,
+            scoring.INPUT_FIELDS,
+            lambda rows: rows.withColumn("churn_probability", F.round(scoring.formula_probability(), 4)),
+            datetime.combine(until, time()),
+        )
+        answered = answered.select(
+            F.lit(until.isoformat()).alias("run"), "request_id", "customer_id", "churn_probability", "cache_hit"
+        )
+        runs, since = answered if runs is None else runs.unionByName(answered), until
+    return runs
+
+
 @query
 def score_summary(spark: SparkSession, folder: str) -> DataFrame:
     scored = scoring.decided(frames.scored_inputs(spark, folder))
