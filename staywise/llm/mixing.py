@@ -8,7 +8,8 @@ their cell: budget x weight / tokens of the cell. Expectations above 1 give whol
 Chance is the md5 of the id, so a draw can be repeated anywhere; rows with one id share it. Null ids share one draw as well.
 
 Targets: ``Targets`` gives each dimension an exponent (1 keeps the observed share, 0 makes all values equal) or explicit weights; both are normalised.
-Values without an explicit weight get none. Null sources and languages count as empty strings. Texts without words
+Values without an explicit weight get none. Raking goes on until the marginals are met; targets that the
+cells cannot meet together raise an error. Null sources and languages count as empty strings. Texts without words
 weigh nothing and are not drawn. Empty tables give empty results. Input columns are kept in one struct, so no name can clash.
 """
 
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from staywise.session import written
 
 DIMENSIONS = ("source", "lang", "topic")
-MOST_SWEEPS = 50
 TOLERANCE = 1e-9
+# Targets that cannot be met together leave the largest step where it is; so many sweeps without a lower one end the raking with an error.
+STALLED = 40
 # A table of so many cells is below 1 MB an executor can hold; more cells are joined by a shuffle.
 BROADCAST_CELLS = 20_000
 
@@ -84,12 +86,14 @@ def rake(cells: DataFrame, targets: Targets = Targets()) -> DataFrame:
         now = now.join(goal, name)
     now = written(now.withColumn("moved", F.lit(0.0)), "cells")
     few = now.count() <= BROADCAST_CELLS
-    for _ in range(MOST_SWEEPS):
+    least, since = float("inf"), 0
+    while since < STALLED:
         now = written(_sweep(now, few), "cells")
         moved = now.agg(F.max("moved")).first()[0]
         if moved is None or moved < TOLERANCE:
-            break
-    return now.select(*DIMENSIONS, "tokens", "weight")
+            return now.select(*DIMENSIONS, "tokens", "weight")
+        least, since = (moved, 0) if moved < 0.999 * least else (least, since + 1)
+    raise ValueError(f"the targets cannot be met together: sums still move by {least:.3g} of themselves")
 
 
 def _sweep(now: DataFrame, few: bool) -> DataFrame:

@@ -94,7 +94,7 @@ with d as (
 ),
 cells as (select source, lang, topic, sum(n_tokens)::double as tokens from d group by all having sum(n_tokens) > 0),
 k0 as (select *, tokens as w from cells),
-{_raking(25)},
+{_raking(90)},
 p as (select source, lang, topic, 0.5 * sum(tokens) over () * w / tokens as e from raked),
 j as (
     select doc_id, d.topic, n_tokens, case when n_tokens > 0 then coalesce(e, 0.0) else 0.0 end as e,
