@@ -78,7 +78,7 @@ def _targets(cells: DataFrame, name: str, targets: Targets) -> DataFrame:
     return shares.join(F.broadcast(total)).select("value", (F.col("raw") / F.col("total")).alias("goal"))  # one row
 
 
-def rake(cells: DataFrame, targets: Targets = Targets()) -> DataFrame:
+def rake(cells: DataFrame, targets: Targets = Targets(), stalled: int = STALLED) -> DataFrame:
     """``cells`` (dimensions, tokens > 0) with ``weight``, summing to 1, whose marginals meet the targets."""
     now = cells.select(*DIMENSIONS, "tokens", F.col("tokens").cast("double").alias("weight"))
     for name in DIMENSIONS:
@@ -87,7 +87,7 @@ def rake(cells: DataFrame, targets: Targets = Targets()) -> DataFrame:
     now = written(now.withColumn("moved", F.lit(0.0)), "cells")
     few = now.count() <= BROADCAST_CELLS
     least, since = float("inf"), 0
-    while since < STALLED:
+    while since < stalled:
         now = written(_sweep(now, few), "cells")
         moved = now.agg(F.max("moved")).first()[0]
         if moved is None or moved < TOLERANCE:
