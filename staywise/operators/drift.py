@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staywise import config
-from staywise.operators.ranking import exact_quantiles, running_totals
+from staywise.operators.ranking import quantiles_of_counts, running_totals
 from staywise.session import written
 
 SHARE_FLOOR = 1e-4
@@ -28,26 +28,34 @@ def stacked_features(sides: dict[str, DataFrame], features: Sequence[str]) -> Da
     return result
 
 
+def value_counts(stacked: DataFrame) -> DataFrame:
+    """(side, feature, value, n): exact counts of every value, NULL included. Counts of disjoint rows add up."""
+    return stacked.groupBy("side", "feature", "value").agg(F.count("*").alias("n"))
+
+
 def psi(stacked: DataFrame, shares: Sequence[float] = DECILES) -> DataFrame:
-    """Population stability index per feature.
+    """Population stability index per feature, from stacked rows."""
+    return psi_of_counts(written(value_counts(stacked), "drift"), shares)
+
+
+def psi_of_counts(counts: DataFrame, shares: Sequence[float] = DECILES) -> DataFrame:
+    """Population stability index per feature, from counted values (side, feature, value, n).
 
     Bins are cut at the baseline deciles with open ends; NULLs form a bin of their own; a share is at least 1e-4.
-    The rows are needed twice, for the edges and for the bins, so they are written once.
     """
-    stacked = written(stacked, "drift")
     edges = (
-        exact_quantiles(stacked.filter(F.col("side") == BASELINE), ["feature"], "value", shares)
+        quantiles_of_counts(counts.filter(F.col("side") == BASELINE), ["feature"], "value", shares)
         .groupBy("feature")
         .agg(F.collect_list("quantile").alias("edges"))  # one short array per feature
     )
     value = F.col("value")
     below = F.size(F.filter("edges", lambda edge: edge < value))
     counted = (
-        stacked.join(F.broadcast(edges), "feature", "left")
+        counts.join(F.broadcast(edges), "feature", "left")
         .groupBy("feature", F.when(value.isNotNull(), below).alias("bin"))
         .agg(
-            F.count_if(F.col("side") == BASELINE).alias("baseline_rows"),
-            F.count_if(F.col("side") == CURRENT).alias("current_rows"),
+            _rows_of(BASELINE).alias("baseline_rows"),
+            _rows_of(CURRENT).alias("current_rows"),
         )
     )
     totals = counted.groupBy("feature").agg(
@@ -62,15 +70,21 @@ def psi(stacked: DataFrame, shares: Sequence[float] = DECILES) -> DataFrame:
     )
 
 
+def _rows_of(side: str) -> Column:
+    return F.sum(F.when(F.col("side") == side, F.col("n")).otherwise(F.lit(0)))
+
+
 def ks(stacked: DataFrame) -> DataFrame:
     """Largest gap between the two empirical distributions, per feature; NULLs are left out."""
+    return ks_of_counts(value_counts(stacked))
+
+
+def ks_of_counts(counts: DataFrame) -> DataFrame:
+    """The same from counted values (side, feature, value, n)."""
     counted = (
-        stacked.filter(F.col("value").isNotNull())
+        counts.filter(F.col("value").isNotNull())
         .groupBy("feature", "value")
-        .agg(
-            F.count_if(F.col("side") == BASELINE).alias("b"),
-            F.count_if(F.col("side") == CURRENT).alias("c"),
-        )
+        .agg(_rows_of(BASELINE).alias("b"), _rows_of(CURRENT).alias("c"))
     )
     placed = running_totals(counted, ["feature"], ["value"], ["b", "c"])
     gap = F.abs(

@@ -118,8 +118,12 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, shares: Seq
     The built-in exact percentile keeps all distinct values of a group in one buffer. Here equal values are
     counted first, and each wanted position is looked up in the running counts.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
-    placed = running_totals(counted, group, [value], ["n"])
+    return quantiles_of_counts(df.groupBy(*group, value).agg(F.count("*").alias("n")), group, value, shares)
+
+
+def quantiles_of_counts(counted: DataFrame, group: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """The same from counted values: one row per group and value, with its number of rows ``n``."""
+    placed = running_totals(counted.filter(F.col(value).isNotNull()), group, [value], ["n"])
     wanted = F.array(*[F.lit(float(s)) for s in shares])
     # 0-based positions covered by this value: [n_upto - n, n_upto - 1]
     first, last = F.col("n_upto") - F.col("n"), F.col("n_upto") - 1

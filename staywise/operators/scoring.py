@@ -87,6 +87,26 @@ def score_with_model(model, inputs: DataFrame, features: Sequence[str]) -> DataF
     return decided(model.transform(ready).withColumn("churn_p", probability), "churn_p")
 
 
+def scored_or_quarantined(inputs: DataFrame, path: str, fields: Sequence[str], probability: Callable[[], Column]) -> DataFrame:
+    """Validate, score and store in one pass: rows that may be scored and rows that may not go to two partitions of one commit.
+
+    Every row keeps its fingerprint; a quarantined row has its errors and no score. Returns the stored table.
+    """
+    checked = checked_inputs(inputs.withColumn("fingerprint", fingerprint(fields)))
+    p = F.when(F.col("is_valid"), probability())
+    rows = checked.select(
+        "fingerprint",
+        "customer_id",
+        "errors",
+        F.round(p, 4).alias("churn_probability"),
+        F.when(F.col("is_valid"), rules.risk_level(p)).alias("risk_level"),
+        F.lit(config.MODEL_VERSION).alias("model_version"),
+        F.when(F.col("is_valid"), "scored").otherwise("quarantined").alias("outcome"),
+    )
+    rows.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    return inputs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def fingerprint(columns: Sequence[str]) -> Column:
     """md5 of the record as key-sorted JSON, missing values written out."""
     record = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from staywise import config
 from staywise.functions import rules
 from staywise.operators.engagement import with_engagement_score, with_engagement_windows
+from staywise.operators.histograms import HistogramStore
 from staywise.operators.rfm import with_transaction_windows
 from staywise.operators.scoring import formula_probability
+from staywise.session import work_folder
 from staywise.sources import adapters
+from staywise.sources.readers import input_state
 
 AS_OF = adapters.AS_OF
 OUTCOME_DAYS = 90
@@ -127,10 +130,22 @@ def candidate_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def drift_sides(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Feature tables of the label date (baseline) and of today (current), missing values left as they are."""
-    days = {"baseline": LABEL_DATE, "current": AS_OF}
-    return {side: _with_score(windowed(spark, folder, day, windows=(30,))) for side, day in days.items()}
+DRIFT_DAYS = {"baseline": LABEL_DATE, "current": AS_OF}
+
+
+def drift_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Value counts of the drift features on the label date (baseline) and today (current), missing values left as they are.
+
+    Each day is counted once and kept in the work folder under a name made from the state of the input files; a changed file
+    leads to another name. Later calls read two stored partitions.
+    """
+    state = input_state(spark, [f"{folder}/{name}.parquet" for name in ("customer", "orders", "lineitem", "events")])
+    store = HistogramStore(f"{work_folder(spark).rstrip('/')}/histograms-{state}")
+    known = store.days(spark)
+    for day in DRIFT_DAYS.values():
+        if day.isoformat() not in known:
+            store.put(_with_score(windowed(spark, folder, day, windows=(30,))), DRIFT_FEATURES, day)
+    return store.compared(spark, DRIFT_DAYS)
 
 
 def _with_score(raw: DataFrame) -> DataFrame:

@@ -1133,3 +1133,39 @@ SELECT coalesce(subscription_tier, 'all') AS subscription_tier, count(*) AS batc
 FROM (SELECT subscription_tier, round(probability, 4) AS p, {_RISK3} AS risk FROM inputs)
 GROUP BY ROLLUP (subscription_tier)"""
 )
+
+ORACLES["stream_serving_totals"] = ORACLES["serving_metrics"]
+ORACLES["score_with_quarantine"] = _with(
+    INTAKE,
+    select=f"""SELECT md5(CAST(to_json(struct_pack({', '.join(f'{c} := {c}' for c in sorted(_INTAKE_COLUMNS))})) AS VARCHAR)) AS fingerprint,
+    customer_id, errors, CASE WHEN errors = '' THEN round(probability, 4) END AS churn_probability,
+    CASE WHEN errors = '' THEN {_RISK3} END AS risk_level, '1.0.0' AS model_version,
+    CASE WHEN errors = '' THEN 'scored' ELSE 'quarantined' END AS outcome
+    FROM (SELECT *, {_errors()} AS errors,
+                 least(greatest((recency_30d / 100e0) * 0.3e0 + (1e0 / (frequency_30d + 1e0)) * 0.3e0
+                                + (1e0 - engagement_score) * 0.4e0, 0e0), 1e0) AS probability FROM intake)""",
+)
+ORACLES["live_accuracy_logged"] = (
+    "WITH "
+    + LABELLED
+    + f""",
+logged AS (
+  SELECT label = prediction AS hit,
+         CAST(DATE '{LABEL_DATE}' + 3 - CAST(CAST(substr(customer_id, 2) AS BIGINT) % 12 AS INTEGER) AS DATE) AS d FROM labelled),
+closed AS (SELECT * FROM logged WHERE d <= DATE '{AS_OF}' - 90)
+SELECT 'day' AS scope, strftime(d, '%Y-%m-%d') AS day, '1.0.0' AS model_version, count(*) AS predictions,
+       CAST(count(*) FILTER (hit) AS DOUBLE) / count(*) AS accuracy FROM closed GROUP BY d
+UNION ALL
+SELECT 'last 7 days', strftime(CAST(DATE '{AS_OF}' - 90 AS DATE), '%Y-%m-%d'), '1.0.0', count(*),
+       CAST(count(*) FILTER (hit) AS DOUBLE) / count(*) FROM closed WHERE d > DATE '{AS_OF}' - 97"""
+)
+ORACLES["ingest_text"] = _with(
+    CUSTOMERS,
+    select="""SELECT outcome, CASE WHEN outcome <> 'corrupt' THEN city_type END AS city_type,
+    CASE WHEN outcome <> 'corrupt' AND nr % 37 = 0 THEN 'c' || (nr % 5) END AS campaign,
+    count(*) AS customers, count(*) FILTER (outcome = 'ok') AS dated,
+    CAST(sum(date_diff('day', DATE '2020-01-01', signup_date)) FILTER (outcome = 'ok') AS BIGINT) AS days,
+    max(CASE WHEN outcome = 'corrupt' THEN '{"customer_id":"C0' END) AS line
+    FROM (SELECT *, CASE WHEN nr % 29 = 0 THEN 'corrupt' WHEN nr % 31 = 0 THEN 'bad_date' ELSE 'ok' END AS outcome
+          FROM (SELECT *, CAST(substr(customer_id, 2) AS BIGINT) AS nr FROM customers)) GROUP BY 1, 2, 3""",
+)

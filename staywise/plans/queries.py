@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staywise import config
+from staywise import config, schemas
 from staywise.functions import rules, scores
-from staywise.operators import drift, feature_store, metrics, profile, quality, registry, reuse, scoring
+from staywise.operators import drift, feature_store, metrics, prediction_log, profile, quality, registry, reuse, scoring
 from staywise.operators.engagement import (
     engagement_columns,
     engagement_windows,
@@ -26,7 +26,7 @@ from staywise.operators.store import KeyedStore, ResultStore
 from staywise.plans import features as feature_plans
 from staywise.plans import frames
 from staywise.session import fresh_path, written
-from staywise.sources import adapters, sinks
+from staywise.sources import adapters, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,6 +55,28 @@ def customers_adapter(spark: SparkSession, folder: str) -> DataFrame:
     return df.select(*[_text(c) if c == "signup_date" else c for c in df.columns])
 
 
+@query
+def ingest_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer table written as JSON lines with planted faults (cut lines, impossible dates, unknown columns) and read back."""
+    number = F.substring("customer_id", 2, 20).cast("bigint")
+    df = adapters.customers(spark, folder).withColumns(
+        {
+            "signup_date": F.when(number % 31 == 0, "2023-02-31").otherwise(F.col("signup_date").cast("string")),
+            "campaign": F.when(number % 37 == 0, F.concat(F.lit("c"), (number % 5).cast("string"))),
+        }
+    )
+    line = F.to_json(F.struct(*df.columns))
+    path = fresh_path(spark, "lines")
+    df.select(F.when(number % 29 == 0, F.substring(line, 1, 18)).otherwise(line)).write.text(path)
+    rows = readers.read_rescued(spark, path, schemas.CUSTOMERS, dates=["signup_date"])
+    return rows.groupBy("outcome", "city_type", F.col(readers.EXTRAS)["campaign"].alias("campaign")).agg(
+        F.count("*").alias("customers"),
+        F.count("signup_date").alias("dated"),
+        F.sum(F.datediff("signup_date", F.lit(adapters.SIGNUP_START)).cast("bigint")).alias("days"),
+        F.max(readers.CORRUPT).alias("line"),
+    )
+
+
 @query
 def customer_trend(spark: SparkSession, folder: str) -> DataFrame:
     df = with_transaction_windows(
@@ -496,6 +518,14 @@ def score_customers(spark: SparkSession, folder: str) -> DataFrame:
     return df.select(*[_joined_actions() if c == "recommended_actions" else c for c in df.columns])
 
 
+@query
+def score_with_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Unchecked requests validated, scored and stored in one pass, scored and quarantined rows apart."""
+    inputs = adapters.intake(spark, folder).select(*scoring.INPUT_FIELDS)
+    stored = scoring.scored_or_quarantined(inputs, fresh_path(spark, "scored"), scoring.INPUT_FIELDS, scoring.formula_probability)
+    return stored.withColumn("errors", F.array_join("errors", "; "))
+
+
 @query
 def risk_bands4(spark: SparkSession, folder: str) -> DataFrame:
     p = F.col("probability")
@@ -690,6 +720,19 @@ def live_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def live_accuracy_logged(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy of logged predictions per closed day and over the newest seven; predictions of three days are still open."""
+    day = F.date_sub(F.date_add(F.lit(frames.LABEL_DATE), 3), (F.substring("customer_id", 2, 20).cast("bigint") % 12).cast("int"))
+    known = written(frames.labelled(spark, folder).select("customer_id", "prediction", "probability", "label"), "predicted")
+    path = fresh_path(spark, "log")
+    made = known.select("customer_id", "prediction", "probability", F.lit(config.MODEL_VERSION).alias("model_version"), day.alias("day"))
+    # Two runs of the scoring job, one after the other.
+    for part in (F.col("day") <= F.lit(frames.LABEL_DATE), F.col("day") > F.lit(frames.LABEL_DATE)):
+        prediction_log.append(made.filter(part).withColumn("day", F.col("day").cast("string")), path)
+    return prediction_log.accuracy(prediction_log.read(spark, path), known, AS_OF, frames.OUTCOME_DAYS)
+
+
 # ---- drift, gates, registry ------------------------------------------------------------------------------
 
 
@@ -710,29 +753,25 @@ def performance_drift(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _drift_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.stacked_features(frames.drift_sides(spark, folder), frames.DRIFT_FEATURES)
-
-
 @query
 def feature_drift_psi(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.psi(_drift_rows(spark, folder))
+    return drift.psi_of_counts(frames.drift_counts(spark, folder))
 
 
 @query
 def feature_drift_ks(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.ks(_drift_rows(spark, folder))
+    return drift.ks_of_counts(frames.drift_counts(spark, folder))
 
 
 @query
 def drift_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.drift_alerts(drift.psi(_drift_rows(spark, folder)), "psi")
+    return drift.drift_alerts(drift.psi_of_counts(frames.drift_counts(spark, folder)), "psi")
 
 
 @query
 def retrain_decision(spark: SparkSession, folder: str) -> DataFrame:
     """Decision per subscription tier; the data drift is the largest KS gap of any feature."""
-    worst = drift.ks(_drift_rows(spark, folder)).agg(F.max("ks").alias("drift_score"))
+    worst = drift.ks_of_counts(frames.drift_counts(spark, folder)).agg(F.max("ks").alias("drift_score"))
     rows = _accuracy_by_tier(spark, folder).withColumn("baseline_accuracy", _baseline())
     # One row per tier next to a single value.
     joined = rows.withColumn("_one", F.lit(1)).join(F.broadcast(worst.withColumn("_one", F.lit(1))), "_one").drop("_one")

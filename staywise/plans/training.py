@@ -13,7 +13,7 @@ from staywise.plans import frames
 from staywise.plans.queries import AS_OF, query
 from staywise.schemas import RAW_EVENTS
 from staywise.session import fresh_path, written
-from staywise.streaming import daily, jobs
+from staywise.streaming import daily, jobs, rolling
 
 TRAINING_FIELDS = (
     "recency_30d",
@@ -163,6 +163,16 @@ def stream_behavior_features(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.features_from_daily(rows, AS_OF)
 
 
+@query
+def stream_serving_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Serving figures from the state that the stream of requests carries along; the log is not read again."""
+    arrived, path, state = fresh_path(spark, "arrived"), fresh_path(spark, "rolling"), None
+    for rows in _arrivals(spark, folder):
+        rows.write.mode("append").parquet(arrived)
+        state = rolling.run(jobs.as_requests(jobs.event_stream(spark, arrived, files="*.parquet")), path)
+    return rolling.figures(state).withColumn("last_prediction", F.date_format("last_prediction", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def stream_scores(spark: SparkSession, folder: str) -> DataFrame:
     inputs = written(frames.scoring_inputs(spark, folder).select(*scoring.INPUT_FIELDS), "inputs")
