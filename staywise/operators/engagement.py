@@ -24,6 +24,13 @@ EVENT_COUNTS = {
     "reviews": "review_submission",
 }
 
+# Output column -> SQL text of the member that it counts once.
+MEMBERS = {
+    "active_days": "IF(event_type = 'login', CAST(event_date AS STRING), NULL)",
+    "features_used": "IF(event_type = 'feature_usage', feature_name, NULL)",
+    "unique_content": "IF(event_type = 'content_view', CAST(content_id AS STRING), NULL)",
+}
+
 # The five components, each in [0, 1]; without tickets support counts as neutral.
 COMPONENTS = {
     "login_engagement": "least(login_count_30d / 30D, 1D)",
@@ -56,10 +63,12 @@ def engagement_windows(
     as_of: date,
     windows: Sequence[int] = config.ENGAGEMENT_WINDOWS,
     weight: str = "1",
+    members: bool = True,
 ) -> DataFrame:
     """All windowed engagement features of the customers with an event in the longest window.
 
-    ``weight`` is the number of events a row stands for, for rows that are already partial sums.
+    ``weight`` is the number of events a row stands for, for rows that are already partial sums. Without ``members`` the
+    distinct counts are left out, and with them their copy of the rows and one shuffle.
     """
     edges = bands.band_edges(windows)
     records = bands.band_records(
@@ -73,15 +82,13 @@ def engagement_windows(
             **{name: f"sum(IF(event = '{event}', events, 0L))" for name, event in EVENT_COUNTS.items()},
             "content_minutes": "sum(minutes)",
         },
-        members={
-            "active_days": "IF(event_type = 'login', CAST(event_date AS STRING), NULL)",
-            "features_used": "IF(event_type = 'feature_usage', feature_name, NULL)",
-            "unique_content": "IF(event_type = 'content_view', CAST(content_id AS STRING), NULL)",
-        },
+        members=MEMBERS if members else {},
     )
     columns = {}
     for days in windows:
         for name in engagement_columns(days):
+            if not members and name.rsplit("_", 1)[0] in MEMBERS:
+                continue
             total = bands.up_to(days, name.rsplit("_", 1)[0])
             columns[name] = f"CAST({total} AS DOUBLE)" if name.startswith("content_minutes") else total
     return bands.over_windows(records, KEY, columns)

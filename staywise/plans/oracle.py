@@ -1169,3 +1169,27 @@ ORACLES["ingest_text"] = _with(
     FROM (SELECT *, CASE WHEN nr % 29 = 0 THEN 'corrupt' WHEN nr % 31 = 0 THEN 'bad_date' ELSE 'ok' END AS outcome
           FROM (SELECT *, CAST(substr(customer_id, 2) AS BIGINT) AS nr FROM customers)) GROUP BY 1, 2, 3""",
 )
+
+# Counts of this size are held exactly by the sketches.
+ORACLES["rfm_distinct_sketch"] = _with(
+    TRANSACTIONS,
+    select="SELECT customer_id, "
+    + ", ".join(
+        f"count(DISTINCT CASE WHEN transaction_date >= DATE '{AS_OF}' - {w} THEN product_category END) AS category_diversity_{w}d"
+        for w in config.TRANSACTION_WINDOWS
+    )
+    + f""" FROM tx WHERE transaction_date >= DATE '{AS_OF}' - {max(config.TRANSACTION_WINDOWS)} AND transaction_date <= DATE '{AS_OF}'
+    GROUP BY customer_id""",
+)
+_COUNTED_ONCE = {"active_days": ("login", "event_date"), "features_used": ("feature_usage", "feature_name"), "unique_content": ("content_view", "content_id")}
+ORACLES["engagement_distinct_sketch"] = _with(
+    EVENTS,
+    select="SELECT customer_id, "
+    + ", ".join(
+        f"count(DISTINCT CASE WHEN event_type = '{kind}' AND event_date >= DATE '{AS_OF}' - {w} THEN {member} END) AS {name}_{w}d"
+        for w in config.ENGAGEMENT_WINDOWS
+        for name, (kind, member) in _COUNTED_ONCE.items()
+    )
+    + f""" FROM ev WHERE event_date >= DATE '{AS_OF}' - {max(config.ENGAGEMENT_WINDOWS)} AND event_date <= DATE '{AS_OF}'
+    GROUP BY customer_id""",
+)

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from staywise import config, schemas
 from staywise.functions import rules, scores
-from staywise.operators import drift, feature_store, metrics, prediction_log, profile, quality, registry, reuse, scoring
+from staywise.operators import drift, feature_store, metrics, prediction_log, profile, quality, registry, reuse, scoring, sketches
 from staywise.operators.engagement import (
+    MEMBERS,
     engagement_columns,
     engagement_windows,
     with_engagement_score,
@@ -282,6 +283,23 @@ def affinity_features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def rfm_distinct_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Category diversity of every window from stored daily sketches."""
+    rows = sketches.daily_sketches(
+        frames.history(spark, folder), "customer_id", "transaction_date", {"category_diversity": "product_category"}
+    )
+    daily = written(rows, "sketches")
+    return sketches.united(daily, "customer_id", AS_OF, config.TRANSACTION_WINDOWS, ["category_diversity"])
+
+
+@query
+def engagement_distinct_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Active days, used features and seen contents of every window from stored daily sketches."""
+    rows = sketches.daily_sketches(adapters.engagement(spark, folder), "customer_id", "event_date", MEMBERS)
+    return sketches.united(written(rows, "sketches"), "customer_id", AS_OF, config.ENGAGEMENT_WINDOWS, list(MEMBERS))
+
+
 @query
 def demographic_features(spark: SparkSession, folder: str) -> DataFrame:
     columns = profile.demographic_columns(AS_OF)
@@ -362,7 +380,7 @@ VERSIONED = T.StructType(
 
 
 def _behavior_version(spark: SparkSession, folder: str, day) -> DataFrame:
-    return engagement_windows(adapters.engagement(spark, folder), day, (30,)).select(
+    return engagement_windows(adapters.engagement(spark, folder), day, (30,), members=False).select(
         "customer_id", F.lit(day).alias("version_date"), "login_count_30d", "content_minutes_30d"
     )
 
