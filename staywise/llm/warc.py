@@ -27,6 +27,8 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staywise.session import written
+
 from .text import map_rows
 
 CHUNK_BYTES = 1 << 20
@@ -43,7 +45,8 @@ def verdicts(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     large = named.where(F.col("size") >= least_bytes).groupBy("size", "digest").agg(
         F.max("page_id").alias("kept"), F.count("*").alias("n")
     )
-    shared = large.where("n > 1 and kept is not null").drop("n")
+    # Written first: a payload that very many pages share is then split between tasks when it is joined.
+    shared = written(large.where("n > 1 and kept is not null").drop("n"), "shared")
     joined = named.join(shared, ["size", "digest"], "left")
     revisit = F.col("kept").isNotNull() & ~F.col("kept").eqNullSafe(F.col("page_id"))
     return joined.select("page_id", "url", "html", "size", "digest", F.when(revisit, F.col("kept")).alias("refers_to"))
@@ -136,7 +139,10 @@ class Parser:
                 self.held = self.held[end + 4 :]
                 if not lines[0].startswith("WARC/"):
                     raise ValueError(f"no WARC record starts with {lines[0][:60]!r}")
-                self.fields = dict(re.split(r":[ \t]*", line, maxsplit=1) for line in lines[1:])
+                named = [re.split(r":[ \t]*", line, maxsplit=1) for line in lines[1:]]
+                if any(len(pair) < 2 for pair in named) or "Content-Length" not in dict(named):
+                    raise ValueError(f"the archive is damaged or ends inside a record: header {lines[:4]}")
+                self.fields = dict(named)
                 self.left = int(self.fields["Content-Length"]) + 4  # the blank line belongs to the record
             take = self.held[: self.left]
             # A piece may stop inside the blank line, which is not part of the block.
@@ -159,11 +165,17 @@ RECORD = (
 def _record_rows(source: Iterator[tuple], keep: bool) -> Iterator[tuple]:
     parser, at = Parser(), None
     running, size, number, of, header_left = hashlib.sha1(usedforsecurity=False), 0, 0, None, b""
+
+    def ended() -> None:
+        """An archive may not stop inside a record or before the last segment of one."""
+        open_chain = of is not None and of["WARC-Type"] == "response" and (of["_head"] == "open" or size < int(of["X-Payload-Length"]))
+        if parser.held.strip(b"\r\n") or parser.fields or open_chain:
+            raise ValueError(f"archive {at} ends inside a record")
+
     for file, piece in source:
         if file != at:
-            if parser.held or parser.fields:
-                raise ValueError(f"archive {at} ends inside a record")
-            parser, at = Parser(), file
+            ended()
+            parser, at, of = Parser(), file, None
         for fields, body, done in parser.feed(piece + b"\r\n\r\n"):
             kind = fields["WARC-Type"]
             if kind not in ("response", "revisit", "continuation"):
@@ -195,6 +207,7 @@ def _record_rows(source: Iterator[tuple], keep: bool) -> Iterator[tuple]:
                     stated if revisit else size, whole if revisit else digest, last,
                 )
                 number += 1
+    ended()
 
 
 def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:

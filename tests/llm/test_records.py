@@ -1,9 +1,13 @@
 """Archives and chat logs: exact round trips."""
 
+import gzip
 import hashlib
+import os
 import random
 from collections import Counter
 
+import pytest
+
 from staywise.llm import chat, warc
 
 
@@ -40,6 +44,28 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.read_records(spark, path + "-none").count() == 0
 
 
+@pytest.mark.parametrize("cut", [1, 5, 40, 600, 2500])
+def test_cut_archives_raise(spark, tmp_path, cut):
+    pages = spark.createDataFrame([(i, f"u{i}", chr(97 + i) * 3000) for i in range(3)], "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "archive")
+    warc.write_archive(pages, path, chunk=1000)
+    (name,) = [f for f in os.listdir(path) if f.startswith("part-") and f.endswith(".gz")]
+    with gzip.open(f"{path}/{name}") as whole:
+        data = whole.read().rstrip(b"\r\n")
+    (tmp_path / "cut").mkdir()
+    with gzip.open(tmp_path / "cut" / "a.txt.gz", "wb") as out:
+        out.write(data[:-cut])
+    with pytest.raises(Exception, match="ends inside a record"):
+        warc.read_records(spark, str(tmp_path / "cut")).collect()
+    # Between two segments of a record too.
+    last = data.rindex(b"WARC/1.1")
+    (tmp_path / "segment").mkdir()
+    with gzip.open(tmp_path / "segment" / "a.txt.gz", "wb") as out:
+        out.write(data[:last])
+    with pytest.raises(Exception, match="ends inside a record"):
+        warc.read_records(spark, str(tmp_path / "segment")).collect()
+
+
 LOG = "conv_id long, seq long, message long, kind string, role string, text string, formatted string"
 
 
