@@ -192,9 +192,9 @@ def index_blocks(items: DataFrame, threshold: float = THRESHOLD, block_postings:
             question, rest = (words_of(text), words_of(answer)) if answer is not None else split_item(words_of(text))
             if question or rest:
                 counts = Counter(question + rest)
-                yield item, question, rest, list(counts), list(counts.values())
+                yield item, question, rest, list(counts), list(counts.values()), half_of(len(question) + len(rest))
 
-    schema = "item_id long, question array<string>, answer array<string>, terms array<string>, counts array<int>"
+    schema = "item_id long, question array<string>, answer array<string>, terms array<string>, counts array<int>, half int"
     parts = written(map_rows(items.distinct(), cut, schema).dropDuplicates(["item_id", "question", "answer"]), "items")
     totals = parts.agg(
         F.count("*").alias("n"), F.avg(F.size("question") + F.size("answer")).alias("length")
@@ -212,10 +212,9 @@ def index_blocks(items: DataFrame, threshold: float = THRESHOLD, block_postings:
     weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.lit(totals["length"])))
     weighted = one.join(df.select("term", idf.alias("idf")), "term").select("key", "term", weight.alias("w"))
     impacts = weighted.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("w"))
-    half = F.udf(half_of, "int")
-    sizes = {r["half"]: r["n"] for r in parts.groupBy(half(size).alias("half")).agg(F.sum(F.size("terms")).alias("n")).collect()}
+    sizes = {r["half"]: r["n"] for r in parts.groupBy("half").agg(F.sum(F.size("terms")).alias("n")).collect()}
     ready = written(
-        parts.select("item_id", "question", "answer", half(size).alias("half"), F.xxhash64("item_id", F.size("question"), "question", "answer").alias("key"))
+        parts.select("item_id", "question", "answer", "half", F.xxhash64("item_id", F.size("question"), "question", "answer").alias("key"))
         .join(impacts, "key")
         .select("item_id", "question", "answer", "w", "half", "key"),
         "impacts",
@@ -245,7 +244,9 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
                     for hit in index.hits(words):
                         yield doc, *hit
 
-        found = map_rows(texts, rows, schema)
+        # Written pass by pass, so that one pass's index is in memory at a time.
+        found = written(map_rows(texts, rows, schema), "leaks")
+        held.destroy()
         out = found if out is None else out.union(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
