@@ -20,10 +20,11 @@ out, since a removal could not name them. Empty tables give empty results. Offse
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +41,8 @@ ROWS = 3
 LINE_BANDS = 6
 PERCENT = 80
 CHUNK = 2048
+MIXED_AT_ONCE = 1 << 20
+FLUSH = 1 << 15  # paragraphs a task hands on at once
 SEEDS = mix(np.arange(1, 1 + ROWS * LINE_BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -56,18 +59,22 @@ def anchors(shingles: np.ndarray, n_words: int) -> np.ndarray:
 
 def _bands(minima: np.ndarray) -> np.ndarray:
     """Band keys from (paragraphs x ROWS * bands) minima."""
-    n, width = minima.shape
-    keys = np.empty((n, width // ROWS), np.uint64)
-    for b in range(width // ROWS):
-        key = np.full(n, b + 1, np.uint64)
-        for r in range(ROWS):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + minima[:, b * ROWS + r])
-        keys[:, b] = key
+    rows = minima.reshape(len(minima), minima.shape[1] // ROWS, ROWS)
+    keys = np.broadcast_to(np.arange(1, rows.shape[1] + 1, dtype=np.uint64), rows.shape[:2])
+    for r in range(ROWS):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, r])
     return keys
 
 
-def paragraphs(text: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
-    """(start, end, words, fingerprint, band keys) of a text's lines and blocks of enough words."""
+def _minima(shingles: np.ndarray, seeds: np.ndarray, least: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """(paragraphs x seeds): ``least`` of the shingles mixed with each seed, each shingle once. Long texts take few seeds at a time."""
+    step = max(1, MIXED_AT_ONCE // len(shingles))
+    parts = [least(mix(shingles ^ seeds[k : k + step, None])) for k in range(0, len(seeds), step)]
+    return np.concatenate(parts).T
+
+
+def paragraph_arrays(text: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays (start, end, words, fingerprint, band keys: a row each) of a text's blocks and of its lines of enough words."""
     data = as_bytes(text)
     starts, ends = word_bounds(data)
     n = len(starts)
@@ -82,23 +89,58 @@ def paragraphs(text: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
     heads, sizes = heads[sizes >= BLOCK], sizes[sizes >= BLOCK]
     running = np.r_[np.uint64(0), np.cumsum(mix(shingles), dtype=np.uint64)]
     blocks = anchors(shingles, n)
-    views = np.lib.stride_tricks.sliding_window_view(shingles, BLOCK - WIDTH + 1)[blocks]
-    block_minima = np.stack([mix(views ^ s).min(axis=1) for s in SEEDS[:ROWS]], axis=1)
+    block_minima = _minima(
+        shingles, SEEDS[:ROWS], lambda m: np.lib.stride_tricks.sliding_window_view(m, BLOCK - WIDTH + 1, axis=1)[:, blocks].min(axis=2)
+    )
     groups = [(blocks, np.full(len(blocks), BLOCK), _bands(block_minima) ^ np.uint64(0x5555555555555555))]
     if len(heads):
         cuts = np.stack([heads, heads + sizes - WIDTH + 1], axis=1).ravel()
-        minima = []
-        for s in SEEDS:
-            padded = np.r_[mix(shingles ^ s), np.full(1, 2**64 - 1, np.uint64)]
-            minima.append(np.minimum.reduceat(padded, cuts)[0::2])
-        groups.append((heads, sizes, _bands(np.stack(minima, axis=1))))
+        # A last cut at the very end needs one more column, which no paragraph takes.
+        line_minima = _minima(shingles, SEEDS, lambda m: np.minimum.reduceat(np.pad(m, ((0, 0), (0, 1))), cuts, axis=1)[:, 0::2])
+        groups.append((heads, sizes, _bands(line_minima)))
     for first, many, keys in groups:
         # Order matters in a fingerprint: shingles carry it, their sum does not lose them.
         print_of = mix(running[first + many - WIDTH + 1] - running[first] + many.astype(np.uint64))
         from_, to = points[0][first], points[1][first + many - 1]
-        yield from zip(
-            from_.tolist(), to.tolist(), many.tolist(), signed(print_of).tolist(), signed(keys).tolist(), strict=True
-        )
+        yield from_, to, many, signed(print_of), signed(keys)
+
+
+def paragraphs(text: str) -> Iterator[tuple[int, int, int, int, list[int]]]:
+    """The same, one paragraph at a time."""
+    for group in paragraph_arrays(text):
+        yield from zip(*(column.tolist() for column in group), strict=True)
+
+
+def _found(texts: DataFrame) -> DataFrame:
+    """(id, start, end, words, print, keys) of the paragraphs of all texts; whole arrays go to the JVM."""
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        n = 0
+
+        def out() -> pa.RecordBatch:
+            columns = [np.concatenate([h[k] for h in held]) for k in range(5)]
+            widths = np.concatenate([np.full(len(h[0]), h[5].shape[1]) for h in held])
+            flat = np.concatenate([h[5].ravel() for h in held])
+            offsets = np.r_[0, np.cumsum(widths)].astype(np.int32)
+            keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
+            columns[3] = columns[3].astype(np.int32)
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns), keys], ["id", "start", "end", "words", "print", "keys"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                ids, rows = (c.slice(at, 256).to_pylist() for c in batch.columns)
+                for doc, text in zip(ids, rows, strict=True):
+                    for group in paragraph_arrays(text):
+                        held.append((np.full(len(group[0]), doc, np.int64), *group))
+                        n += len(group[0])
+                    if n >= FLUSH:
+                        yield out()
+                        held, n = [], 0
+        if held:
+            yield out()
+
+    return texts.mapInArrow(stream, "id long, start long, end long, words int, print long, keys array<long>")
 
 
 def _shingles_of(text: str, start: int, end: int) -> tuple[int, np.ndarray]:
@@ -179,13 +221,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     texts = id_and_text(docs, id_col, text_col).where("id is not null")
 
-    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
-        for doc, text in source:
-            for paragraph in paragraphs(text):
-                yield doc, *paragraph
-
-    schema = "id long, start long, end long, words int, print long, keys array<long>"
-    found = written(map_rows(texts, rows, schema), "paragraphs")
+    found = written(_found(texts.select(F.col("id").cast("long").alias("id"), "text")), "paragraphs")
     keyed = found.select("id", "start", "end", "print", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(
         F.min(F.struct("id", "start", "end", "print")).alias("leader"), F.max("id").alias("last")
