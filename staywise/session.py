@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +59,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Paths written since each open ``scratch`` began, the innermost last.
+_levels: ContextVar[tuple[list[str], ...]] = ContextVar("levels", default=())
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a result once and read it back.
 
@@ -63,5 +70,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     the work, each reading only the columns it needs.
     """
     path = fresh_path(df.sparkSession, name)
+    if levels := _levels.get():
+        levels[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables ``written`` inside are removed at the end, also after an error; the function it gives writes a table that stays.
+
+    What stays must be written before the end, so that nothing left depends on a removed table. Blocks may be nested: what
+    an inner one keeps belongs to the outer one.
+    """
+    outer, own = _levels.get(), []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        token = _levels.set(outer)
+        try:
+            return written(df, name)
+        finally:
+            _levels.reset(token)
+
+    token = _levels.set((*outer, own))
+    try:
+        yield keep
+    finally:
+        _levels.reset(token)
+        for path in own:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
