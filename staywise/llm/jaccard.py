@@ -9,8 +9,9 @@
    and common passages stand last. One shuffle by token counts frequencies; everything after it is small.
 4. Tiles: a token and a size band. Sizes of linked sets differ by the threshold at most, so a tile meets itself and the next.
    First each set is compared with the tile's leader only (linear in the tile), and links found are merged into components. Then
-   sets of one tile that are still in different components are compared: in small tiles as joined pairs, in larger ones inside tasks, chunk by
-   chunk, where only pairs that the bitmaps allow become rows. A group of linked near copies thus costs its size, not its square.
+   sets of one tile that are still in different components are compared: in small tiles as joined pairs; in larger ones inside tasks, chunk by
+   chunk, with their arrays at hand, and only links that join two components become rows. A group of near copies thus gives
+   fewer rows than it has members, however many of its pairs are links. Of tiles with the same rows only one is compared.
 5. A pair is tested first by its bitmaps: each bit in which they differ is at least one element in which the sets differ, which
    bounds the overlap from above. Bitmaps are folded to the narrower width. Only then the sorted arrays are intersected.
 
@@ -30,13 +31,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staywise.session import written
+from staywise.session import scratch, written
 
 from .components import components
 from .text import as_bytes, id_and_text, map_rows, mix, shingle_hashes, signed, word_bounds, word_hashes
 
 SMALL_TILE = 16  # larger tiles are compared inside tasks
-CHUNK = 1024
+CHUNK = 1 << 20  # elements of all sets of a chunk; a task holds two chunks
+BLOCK = 32  # sets intersected at once
 KEY_ZONE = 0.2  # share of the hash space whose tokens serve as join keys; a wider zone only costs more rows
 
 
@@ -172,27 +174,34 @@ def _arrays(width: int):
     return rows
 
 
-def _verified(pairs: DataFrame, heads: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold, written."""
+def _allowed(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their bitmaps allow to reach the threshold, written."""
     sides = heads.select("row", "n", "bits")
     left = sides.select(F.col("row").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
     right = sides.select(F.col("row").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
     tested = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb")
-    allowed = written(map_rows(tested, _bound(percent), "a long, b long"), "allowed")
-    ends = allowed.select(F.col("a").alias("row")).union(allowed.select("b")).distinct()
-    ends = heads.join(ends, "row", "left_semi").select("row", F.col("id").alias("of"), "low", "high")
+    return written(map_rows(tested, _bound(percent), "a long, b long"), "allowed")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("row")).union(pairs.select("b"))
+
+
+def _arrays_of(rows: DataFrame, heads: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(row, v): the sorted array of each row named, written."""
+    ends = heads.join(rows.distinct(), "row", "left_semi").select("row", F.col("id").alias("of"), "low", "high")
     wanted = texts.join(ends.select("of").distinct(), texts["id"].eqNullSafe(F.col("of")), "left_semi")
     # A row is found again by its id and the digest of its set, so nothing depends on the order of a second scan.
-    sets = written(
-        map_rows(wanted.select("id", "text"), _arrays(width), "low long, high long, v binary", 256)
-        .join(ends, ["low", "high"])
-        .select("row", "v"),
-        "arrays",
-    )
-    joined = allowed.join(sets.select(F.col("row").alias("a"), F.col("v").alias("va")), "a").join(
-        sets.select(F.col("row").alias("b"), F.col("v").alias("vb")), "b"
+    arrays = map_rows(wanted.select("id", "text"), _arrays(width), "low long, high long, v binary", 256)
+    return written(arrays.join(ends, ["low", "high"]).select("row", "v"), "arrays")
+
+
+def _linked(allowed: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that reach the threshold."""
+    joined = allowed.join(arrays.select(F.col("row").alias("a"), F.col("v").alias("va")), "a").join(
+        arrays.select(F.col("row").alias("b"), F.col("v").alias("vb")), "b"
     )
-    return written(map_rows(joined.select("a", "b", "va", "vb"), _exact(percent), "a long, b long"), "links")
+    return map_rows(joined.select("a", "b", "va", "vb"), _exact(percent), "a long, b long")
 
 
 def _near_sizes(n: str, m: str, percent: int) -> Column:
@@ -200,16 +209,32 @@ def _near_sizes(n: str, m: str, percent: int) -> Column:
 
 
 def _offered(labelled: DataFrame) -> DataFrame:
-    """Rows of each tile: those of its own band, and those of the next band as the other side only; with the tile's size."""
+    """Rows of each tile: those of its own band, and those of the next band as the other side only; with the tile's size. Written.
+
+    Of tiles of one band with the same rows one is enough; the rows are told apart by 128 bits.
+    """
     own = labelled.withColumn("own", F.lit(True))
     offered = own.union(labelled.withColumn("band", F.col("band") - 1).withColumn("own", F.lit(False)))
-    sizes = offered.groupBy("token", "band").agg(F.count("*").alias("many"), F.max("own").alias("any_own"))
-    return offered.join(sizes.where("many > 1 and any_own").drop("any_own"), ["token", "band"])
+    sizes = written(
+        offered.groupBy("token", "band")
+        .agg(
+            F.count("*").alias("many"),
+            F.max("own").alias("any_own"),
+            F.min("row").alias("least"),
+            F.bit_xor(F.xxhash64("row", "own")).alias("x"),
+            F.bit_xor(F.xxhash64("own", "row", F.lit(1))).alias("y"),
+        )
+        .where("many > 1 and any_own")
+        .groupBy("band", "many", "least", "x", "y")
+        .agg(F.min("token").alias("token")),
+        "tile_sizes",
+    )
+    return written(offered.join(sizes.select("token", "band", "many", "least"), ["token", "band"]), "offered")
 
 
-def _small_tiles(labelled: DataFrame, percent: int) -> DataFrame:
+def _small_tiles(offered: DataFrame, percent: int) -> DataFrame:
     """Pairs of tiles of up to ``SMALL_TILE`` rows: at most so many partners a row."""
-    small = _offered(labelled).where(F.col("many") <= SMALL_TILE)
+    small = offered.where(F.col("many") <= SMALL_TILE)
     left = small.where("own").select("token", "band", *(F.col(c).alias(f"{c}_a") for c in ("row", "n", "part")))
     right = small.select("token", "band", "own", *(F.col(c).alias(f"{c}_b") for c in ("row", "n", "part")))
     return (
@@ -217,66 +242,84 @@ def _small_tiles(labelled: DataFrame, percent: int) -> DataFrame:
         .where("part_a <> part_b and (not own or row_a < row_b)")
         .where(_near_sizes("n_a", "n_b", percent))
         .select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b"))
+        .distinct()
     )
 
 
-def _large_tiles(labelled: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """Pairs of larger tiles that their bitmaps allow. A tile is dealt to tasks as pairs of chunks of ``CHUNK`` rows.
+def _large_tiles(offered: DataFrame, heads: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of larger tiles that join components: fewer than a cell has rows, however many of its pairs are links.
 
-    Pairs are compared inside the tasks and only those that may be links become rows.
+    Tokens of one shared passage have nearly the same rows, so the tiles of a band that have their least row in common are united: a
+    row goes where that passage is compared once, not once a token. A united tile is dealt to tasks as pairs of chunks;
+    ``CHUNK`` elements of sets bound a chunk, so long sets make it shorter.
     """
-    large = _offered(labelled).where(F.col("many") > SMALL_TILE)
-    k = F.ceil(F.col("many") / CHUNK).cast("int")
-    dealt = large.join(heads.select("row", "bits"), "row").select(
-        "token", "band", "row", "n", "part", "own", "bits", k.alias("k"), F.pmod(F.xxhash64("row"), k).cast("int").alias("c")
-    )
-    cells = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")).select(
-        "token", "band", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"),
-        "c", "row", "n", "part", "own", "bits",
+    large = offered.where(F.col("many") > SMALL_TILE)
+    large = written(large.select("least", "band", "row", "n", "part", "own").distinct(), "united")
+    sizes = large.groupBy("least", "band").agg(F.sum("n").alias("sum"), F.min("part").alias("p"), F.max("part").alias("q"))
+    k = F.ceil(F.col("sum") / CHUNK).cast("int").alias("k")
+    sizes = written(sizes.where("p <> q").select("least", "band", k), "united_sizes")
+    dealt = large.join(sizes, ["least", "band"]).withColumn("c", F.pmod(F.xxhash64("row"), "k").cast("int"))
+    cells = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+    cells = cells.join(heads.select("row", "bits"), "row").join(arrays, "row").select(
+        "least", "band", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"),
+        "c", "row", "n", "part", "own", "bits", "v",
     )
-    key = ["token", "band", "x", "y"]
+    key = ["least", "band", "x", "y"]
     placed = cells.repartition(*key).sortWithinPartitions(*key)
-    return map_rows(placed, _cell_pairs(percent), "a long, b long")
+    return map_rows(placed, _cell_links(percent), "a long, b long")
 
 
-def _cell_pairs(percent: int):
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps (rows x bytes) folded to ``width`` bytes."""
+    return bits if bits.shape[1] == width else np.bitwise_or.reduce(bits.reshape(len(bits), -1, width), axis=1)
+
+
+def _cell_links(percent: int):
     from itertools import groupby
 
-    def fits(n: np.ndarray, m: int, apart: np.ndarray) -> np.ndarray:
-        most = (n + m - apart) // 2
-        return 100 * most >= percent * (n + m - most)
+    def reach(both: np.ndarray, sizes: np.ndarray, n: int) -> np.ndarray:
+        return 100 * both >= percent * (n + sizes - both)
+
+    def of_cell(within: bool, members: list[tuple]) -> Iterator[tuple]:
+        # By bitmap width, so that bitmaps of one width are compared as one array.
+        members.sort(key=lambda r: len(r[9]))
+        cs, ids, sizes, parts, owns = (np.array([r[k] for r in members]) for k in (4, 5, 6, 7, 8))
+        sets = [np.frombuffer(r[10], np.int64) for r in members]
+        widths = np.array([len(r[9]) for r in members])
+        groups = []
+        for width in np.unique(widths).tolist():
+            first, end = np.searchsorted(widths, [width, width + 1])
+            data = b"".join(r[9] for r in members[first:end])
+            groups.append((int(first), int(end), np.frombuffer(data, np.uint8).reshape(end - first, width)))
+        for i in np.flatnonzero(owns).tolist():
+            mine = np.frombuffer(members[i][9], np.uint8)[None]
+            # Two rows of one chunk meet in that chunk's own cell only; own pairs are met once.
+            ask = (parts != parts[i]) & (~owns | (ids > ids[i]))
+            ask &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
+            if not within:
+                ask &= cs != cs[i]
+            near = []
+            for first, end, bits in groups:
+                at = np.flatnonzero(ask[first:end])
+                if len(at):
+                    width = min(bits.shape[1], mine.shape[1])
+                    apart = np.bitwise_count(_folded(bits[at], width) ^ _folded(mine, width)).sum(axis=1, dtype=np.int64)
+                    at += first
+                    near.append(at[reach((sizes[at] + sizes[i] - apart) // 2, sizes[at], sizes[i])])
+            left = np.concatenate(near) if near else np.empty(0, np.int64)
+            while len(left := left[parts[left] != parts[i]]):
+                block, left = left[:BLOCK], left[BLOCK:]
+                values = np.concatenate([sets[j] for j in block])
+                place = np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)
+                both = np.add.reduceat(sets[i][place] == values, np.cumsum(sizes[block]) - sizes[block], dtype=np.int64)
+                for j in block[reach(both, sizes[block], sizes[i])].tolist():
+                    if parts[j] != parts[i]:
+                        yield int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))
+                        parts[parts == parts[j]] = parts[i]
 
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         for (_, _, x, y), group in groupby(source, key=lambda r: r[:4]):
-            # By bitmap width, so that bitmaps of one width are compared as one array.
-            sides: dict[int, list[tuple]] = {}
-            members = list(group)
-            for r in members:
-                sides.setdefault(len(r[9]), []).append(r)
-            packed = []
-            for width, side in sides.items():
-                bits = np.frombuffer(b"".join(r[9] for r in side), np.uint8).reshape(len(side), width)
-                packed.append((width, bits, *(np.array([r[k] for r in side]) for k in (4, 5, 6, 7, 8))))
-            for _, _, _, _, c, row, n, part, own, data in members:
-                if not own:
-                    continue
-                mine = np.frombuffer(data, np.uint8)
-                for width, bits, cs, ids, sizes, parts, owns in packed:
-                    # Two rows of one chunk meet in that chunk's own cell only; own pairs are met once.
-                    ask = np.flatnonzero(
-                        (parts != part) & ((cs != c) if x != y else True) & (~owns | (ids > row))
-                        & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
-                    )
-                    if not len(ask):
-                        continue
-                    theirs, ours = bits[ask], mine
-                    if width > len(ours):
-                        theirs = np.bitwise_or.reduce(theirs.reshape(len(ask), -1, len(ours)), axis=1)
-                    elif width < len(ours):
-                        ours = np.bitwise_or.reduce(ours.reshape(-1, width), axis=0)
-                    apart = np.bitwise_count(theirs ^ ours).sum(axis=1, dtype=np.int64)
-                    for other in ids[ask[fits(sizes[ask], n, apart)]].tolist():
-                        yield min(row, other), max(row, other)
+            yield from of_cell(x == y, list(group))
 
     return rows
 
@@ -284,7 +327,8 @@ def _cell_pairs(percent: int):
 def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(class members: row, head), (component of linked heads: node, component)."""
     whole = signed_sets.where("n > 0")
-    classes = whole.groupBy("n", "low", "high").agg(F.min("row").alias("head"))
+    # Aggregates are written before they are joined back: only then can AQE split a hot key.
+    classes = written(whole.groupBy("n", "low", "high").agg(F.min("row").alias("head")), "heads")
     members = written(
         whole.select("row", "n", "low", "high").join(classes, ["n", "low", "high"]).select("row", "head"), "classes"
     )
@@ -293,7 +337,7 @@ def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) ->
     tiles = written(_prefixes(heads, percent), "tiles")
     slim = heads.select("row", "id", "n", "low", "high", "bits")
 
-    leaders = tiles.groupBy("token", "band").agg(F.min(F.struct("row", "n")).alias("leader"))
+    leaders = written(tiles.groupBy("token", "band").agg(F.min(F.struct("row", "n")).alias("leader")), "leaders")
     # A tile's leader also meets the leader of the next band's tile, so neighbouring tiles are tied early.
     first = (
         tiles.join(leaders, ["token", "band"])
@@ -303,16 +347,21 @@ def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) ->
         .select("a", "b")
         .distinct()
     )
-    found = _verified(first, slim, texts, width, percent)
+    allowed = _allowed(first, slim, percent)
+    found = written(_linked(allowed, _arrays_of(_ends(allowed), slim, texts, width), percent), "links")
     merged = written(components(found.select(F.col("a").alias("u"), F.col("b").alias("v"))), "merged")
 
     labelled = tiles.join(merged.withColumnRenamed("node", "row"), "row", "left").select(
         "row", "n", "token", "band", F.coalesce("component", "row").alias("part")
     )
     open_tokens = labelled.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q")
-    labelled = written(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
-    rest = _small_tiles(labelled, percent).union(_large_tiles(labelled, slim, percent)).distinct()
-    more = _verified(rest, slim, texts, width, percent)
+    open_tokens = written(open_tokens.select("token"), "open")
+    offered = _offered(labelled.join(open_tokens, "token", "left_semi"))
+    allowed = _allowed(_small_tiles(offered, percent), slim, percent)
+    in_large = offered.where(F.col("many") > SMALL_TILE).select("row")
+    arrays = _arrays_of(_ends(allowed).union(in_large), slim, texts, width)
+    more = _linked(allowed, arrays, percent).union(_large_tiles(offered, slim, arrays, percent))
+    more = written(more, "links")
     edges = merged.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more.select("a", "b"))
     return members, components(edges)
 
@@ -324,26 +373,28 @@ def jaccard_components(
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.
     """
-    sets = signatures(docs, width, percent, id_col, text_col)
-    texts = id_and_text(docs, id_col, text_col)
-    members, linked = links(sets, texts, width, percent)
-    # Rows with one id are one document.
-    twins = sets.where("id is not null").groupBy("id").agg(F.min("row").alias("first"), F.count("*").alias("n_rows"))
-    same = sets.join(twins.where("n_rows > 1"), "id").select(F.col("row").alias("u"), F.col("first").alias("v"))
-    edges = (
-        members.where("row <> head")
-        .select(F.col("row").alias("u"), F.col("head").alias("v"))
-        .union(linked.select("node", "component"))
-        .union(same)
-    )
-    part = written(components(edges), "parts")
-    labelled = written(
-        sets.select("row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
-        .join(part.select(F.col("node").alias("row"), "component"), "row", "left")
-        .withColumn("component", F.coalesce("component", "row")),
-        "labelled",
-    )
-    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    with scratch(docs.sparkSession) as keep:
+        sets = signatures(docs, width, percent, id_col, text_col)
+        texts = id_and_text(docs, id_col, text_col)
+        members, linked = links(sets, texts, width, percent)
+        # Rows with one id are one document.
+        twins = sets.where("id is not null").groupBy("id").agg(F.min("row").alias("first"), F.count("*").alias("n_rows"))
+        twins = written(twins.where("n_rows > 1"), "twins")
+        same = sets.join(twins, "id").select(F.col("row").alias("u"), F.col("first").alias("v"))
+        edges = (
+            members.where("row <> head")
+            .select(F.col("row").alias("u"), F.col("head").alias("v"))
+            .union(linked.select("node", "component"))
+            .union(same)
+        )
+        part = written(components(edges), "parts")
+        labelled = keep(
+            sets.select("row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
+            .join(part.select(F.col("node").alias("row"), "component"), "row", "left")
+            .withColumn("component", F.coalesce("component", "row")),
+            "labelled",
+        )
+    least = written(labelled.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     return labelled.join(least, "component").select("doc_id", "n_shingles", "component_id")
 
 

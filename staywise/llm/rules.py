@@ -184,3 +184,12 @@ def apply_rules(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...]
             base_failed = base_failed | F.col(f"v.{r.name}")
     out = verdicts.select("*", failed.alias("failed"), base_failed.alias("base_failed")).drop("v")
     return out.withColumn("kept", F.size("failed") == 0)
+
+
+def kept_rows(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows that no rule rejects, all columns as they are; a narrow pass.
+
+    The verdict goes through a generator: a filter cannot be moved across it, where it would work out the counts again.
+    """
+    judged = apply_rules(docs, text_col, rules).select(F.inline(F.array(F.struct("row", "kept"))))
+    return judged.where("kept").select("row.*")

@@ -81,7 +81,7 @@ def test_jaccard_components_match_all_pairs(docs, width, percent):
 
 def test_large_tiles_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "SMALL_TILE", 2)
-    monkeypatch.setattr(jaccard, "CHUNK", 3)
+    monkeypatch.setattr(jaccard, "CHUNK", 200)  # elements: three to five sets
     base = [f"w{k}" for k in range(60)]
     texts = [(d, " ".join(base[: 60 - d % 9] + [f"own{d}x{k}" for k in range(d % 7)])) for d in range(60)]
     sets = [(d, {tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)}) for d, t in texts]
