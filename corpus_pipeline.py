@@ -14,8 +14,7 @@ from staywise.session import written
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    # Written first, so that the filter is not planned together with the counts (not shown to be the whole cause of slow runs).
-    return written(rules.apply_rules(docs).select("row", "kept"), "verdicts").where("kept").select("row.*")
+    return rules.kept_rows(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
