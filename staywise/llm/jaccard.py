@@ -193,6 +193,7 @@ def _arrays_of(rows: DataFrame, heads: DataFrame, texts: DataFrame, width: int)
     wanted = texts.join(ends.select("of").distinct(), texts["id"].eqNullSafe(F.col("of")), "left_semi")
     # A row is found again by its id and the digest of its set, so nothing depends on the order of a second scan.
     arrays = map_rows(wanted.select("id", "text"), _arrays(width), "low long, high long, v binary", 256)
+    arrays = arrays.dropDuplicates(["low", "high"])
     return written(arrays.join(ends, ["low", "high"]).select("row", "v"), "arrays")
 
 
@@ -246,7 +247,7 @@ def _small_tiles(offered: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _large_tiles(offered: DataFrame, heads: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def _large_tiles(offered: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of larger tiles that join components: fewer than a cell has rows, however many of its pairs are links.
 
     Tokens of one shared passage have nearly the same rows, so the tiles of a band that have their least row in common are united: a
@@ -260,9 +261,10 @@ def _large_tiles(offered: DataFrame, heads: DataFrame, arrays: DataFrame, percen
     sizes = written(sizes.where("p <> q").select("least", "band", k), "united_sizes")
     dealt = large.join(sizes, ["least", "band"]).withColumn("c", F.pmod(F.xxhash64("row"), "k").cast("int"))
     cells = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-    cells = cells.join(heads.select("row", "bits"), "row").join(arrays, "row").select(
+    # Bitmaps are made again from the arrays: that costs less than sending them along.
+    cells = cells.join(arrays, "row").select(
         "least", "band", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"),
-        "c", "row", "n", "part", "own", "bits", "v",
+        "c", "row", "n", "part", "own", "v",
     )
     key = ["least", "band", "x", "y"]
     placed = cells.repartition(*key).sortWithinPartitions(*key)
@@ -281,18 +283,19 @@ def _cell_links(percent: int):
         return 100 * both >= percent * (n + sizes - both)
 
     def of_cell(within: bool, members: list[tuple]) -> Iterator[tuple]:
-        # By bitmap width, so that bitmaps of one width are compared as one array.
+        # By size, so that bitmaps of one width lie together and are compared as one array.
         members.sort(key=lambda r: len(r[9]))
         cs, ids, sizes, parts, owns = (np.array([r[k] for r in members]) for k in (4, 5, 6, 7, 8))
-        sets = [np.frombuffer(r[10], np.int64) for r in members]
-        widths = np.array([len(r[9]) for r in members])
+        sets = [np.frombuffer(r[9], np.int64) for r in members]
+        maps = [bitmap(v.view(np.uint64)) for v in sets]
+        widths = np.array([len(m) for m in maps])
         groups = []
         for width in np.unique(widths).tolist():
             first, end = np.searchsorted(widths, [width, width + 1])
-            data = b"".join(r[9] for r in members[first:end])
+            data = b"".join(maps[first:end])
             groups.append((int(first), int(end), np.frombuffer(data, np.uint8).reshape(end - first, width)))
         for i in np.flatnonzero(owns).tolist():
-            mine = np.frombuffer(members[i][9], np.uint8)[None]
+            mine = np.frombuffer(maps[i], np.uint8)[None]
             # Two rows of one chunk meet in that chunk's own cell only; own pairs are met once.
             ask = (parts != parts[i]) & (~owns | (ids > ids[i]))
             ask &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
@@ -324,6 +327,22 @@ def _cell_links(percent: int):
     return rows
 
 
+def _merged_by_leaders(tiles: DataFrame, heads: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) after each row was compared with the leaders of its tiles only."""
+    leaders = written(tiles.groupBy("token", "band").agg(F.min(F.struct("row", "n")).alias("leader")), "leaders")
+    first = (
+        tiles.join(leaders, ["token", "band"])
+        .where(F.col("leader.row") != F.col("row"))
+        .select(F.col("leader.row").alias("a"), F.col("row").alias("b"), F.col("leader.n").alias("na"), "n")
+        .where(_near_sizes("na", "n", percent))
+        .select("a", "b")
+        .distinct()
+    )
+    allowed = _allowed(first, heads, percent)
+    found = written(_linked(allowed, _arrays_of(_ends(allowed), heads, texts, width), percent), "links")
+    return components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+
 def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(class members: row, head), (component of linked heads: node, component)."""
     whole = signed_sets.where("n > 0")
@@ -337,19 +356,8 @@ def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) ->
     tiles = written(_prefixes(heads, percent), "tiles")
     slim = heads.select("row", "id", "n", "low", "high", "bits")
 
-    leaders = written(tiles.groupBy("token", "band").agg(F.min(F.struct("row", "n")).alias("leader")), "leaders")
-    # A tile's leader also meets the leader of the next band's tile, so neighbouring tiles are tied early.
-    first = (
-        tiles.join(leaders, ["token", "band"])
-        .where(F.col("leader.row") != F.col("row"))
-        .select(F.col("leader.row").alias("a"), F.col("row").alias("b"), F.col("leader.n").alias("na"), "n")
-        .where(_near_sizes("na", "n", percent))
-        .select("a", "b")
-        .distinct()
-    )
-    allowed = _allowed(first, slim, percent)
-    found = written(_linked(allowed, _arrays_of(_ends(allowed), slim, texts, width), percent), "links")
-    merged = written(components(found.select(F.col("a").alias("u"), F.col("b").alias("v"))), "merged")
+    with scratch(texts.sparkSession) as keep:
+        merged = keep(_merged_by_leaders(tiles, slim, texts, width, percent), "merged")
 
     labelled = tiles.join(merged.withColumnRenamed("node", "row"), "row", "left").select(
         "row", "n", "token", "band", F.coalesce("component", "row").alias("part")
@@ -360,7 +368,7 @@ def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) ->
     allowed = _allowed(_small_tiles(offered, percent), slim, percent)
     in_large = offered.where(F.col("many") > SMALL_TILE).select("row")
     arrays = _arrays_of(_ends(allowed).union(in_large), slim, texts, width)
-    more = _linked(allowed, arrays, percent).union(_large_tiles(offered, slim, arrays, percent))
+    more = _linked(allowed, arrays, percent).union(_large_tiles(offered, arrays, percent))
     more = written(more, "links")
     edges = merged.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more.select("a", "b"))
     return members, components(edges)
