@@ -1,4 +1,4 @@
-"""Training, comparison, evaluation and storage of churn classifiers with Spark ML.
+"""Preparation, search spaces, evaluation and storage of churn classifiers with Spark ML; ``search`` trains and compares them.
 
 Known differences from single-machine libraries, none of which can be removed here: boosted trees are first order
 and sample columns per node; the minimum leaf size counts rows; there is no minimum split size; the neural network
@@ -9,13 +9,10 @@ regularisation of the logistic regression is converted with ``regParam = 1 / (C
 from __future__ import annotations
 
 import itertools
-import logging
 import random
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -23,7 +20,6 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     OneHotEncoder,
     SQLTransformer,
@@ -31,16 +27,12 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staywise import config
 from staywise.operators import metrics, quality
 from staywise.operators.ranking import exact_quantiles, global_rank
-from staywise.session import written
-
-logger = logging.getLogger(__name__)
 
 NUMERIC_TYPES = ("int", "bigint", "float", "double")
 CATEGORICAL_TYPES = ("string", "boolean")
@@ -58,6 +50,7 @@ class Preset:
     parallelism: int = 4
 
 
+# The search spaces to match.
 FULL = Preset(
     grids={
         "gradient_boosting": {
@@ -101,6 +94,21 @@ SHORT = Preset(
     iterations=1000,
 )
 
+# Models of full size at a few points of ``FULL``: what the registered queries train. README has the times of all three.
+BRIEF = Preset(
+    grids={
+        "gradient_boosting": {"maxIter": [100], "maxDepth": [6], "stepSize": [0.1], "subsamplingRate": [0.8, 1.0]},
+        "random_forest": {"numTrees": [100, 200], "maxDepth": [10], "minInstancesPerNode": [1, 4]},
+        "neural_network": {"hidden": [(100,)], "stepSize": [0.01, 0.1]},
+        "logistic_regression": {"C": [0.1, 1, 10], "mix": [1.0, 0.0]},
+    },
+    draws=None,
+    folds=5,
+    iterations=100,
+    parallelism=8,
+)
+
+# For tests only.
 TINY = Preset(
     grids={
         "gradient_boosting": {"maxIter": [3, 5], "maxDepth": [2, 3]},
@@ -210,7 +218,7 @@ def drawn(grid: dict[str, list], draws: int | None, seed: int = config.SPLIT_SEE
     return random.Random(seed).sample(combinations, draws)
 
 
-def _estimator(name: str, iterations: int, seed: int):
+def estimator(name: str, iterations: int, seed: int):
     if name == "gradient_boosting":
         return GBTClassifier(seed=seed)
     if name == "random_forest":
@@ -222,7 +230,7 @@ def _estimator(name: str, iterations: int, seed: int):
     raise ValueError(f"unknown model {name}")
 
 
-def _param_map(name: str, estimator, chosen: dict, rows: int, width: int) -> dict:
+def param_map(name: str, estimator, chosen: dict, rows: int, width: int) -> dict:
     if name == "neural_network":
         return {
             estimator.layers: [width, *chosen["hidden"], 2],
@@ -255,71 +263,6 @@ def with_probability(predicted: DataFrame) -> DataFrame:
     return predicted.withColumn("probability", p)
 
 
-def train_and_compare(
-    df: DataFrame,
-    target: str,
-    preset: Preset = FULL,
-    split: str = "split",
-    ignore: Sequence[str] = (),
-    seed: int = config.SPLIT_SEED,
-) -> TrainingResult:
-    """Search every model on the train rows by ROC-AUC, evaluate on train and validation rows.
-
-    The winner has the highest validation accuracy, the earlier model on a tie. A model that fails is recorded
-    with its error and the others go on. Everything collected here is a handful of metrics per model.
-    """
-    df = written(df, "training")
-    columns = choose_columns(df.filter(F.col(split) == "train"), target, [split, *ignore])
-    labelled = indexed_target(df, target)
-    train = labelled.filter(F.col(split) == "train")
-    prepared = preparation(columns, fit_numeric(train, columns.numeric)).fit(train)
-    # Iterative training reads these rows many times; a lost executor rebuilds its part from the written table.
-    ready = prepared.transform(labelled).select(split, "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    train, val = ready.filter(F.col(split) == "train"), ready.filter(F.col(split) == "val")
-    rows, width = train.count(), len(slot_names(prepared, columns))
-    models, runs, best, best_accuracy = {}, [], None, 0.0
-    for name in [m for m in MODEL_ORDER if m in preset.grids]:
-        started = time.time()
-        try:
-            estimator = _estimator(name, preset.iterations, seed)
-            choices = drawn(preset.grids[name], preset.draws if name != "logistic_regression" else None, seed)
-            maps = [_param_map(name, estimator, c, rows, width) for c in choices]
-            search = CrossValidator(
-                estimator=estimator,
-                estimatorParamMaps=maps,
-                evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-                numFolds=preset.folds,
-                seed=seed,
-                parallelism=preset.parallelism,
-            ).fit(train)
-            chosen = max(range(len(maps)), key=lambda i: (search.avgMetrics[i], -i))
-            model = search.bestModel
-            stability = CrossValidator(
-                estimator=estimator,
-                estimatorParamMaps=[maps[chosen]],
-                evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-                numFolds=preset.folds,
-                seed=seed,
-                parallelism=preset.parallelism,
-            ).fit(train)
-            run = evaluated(model, ready.filter(F.col(split) != "test"), split)
-            run |= {
-                "cv_mean": float(stability.avgMetrics[0]),
-                "cv_std": float(stability.stdMetrics[0]),
-                "training_time": time.time() - started,
-            }
-            runs.append({"model": name, "params": str(choices[chosen]), "error": None, "metrics": run})
-            models[name] = model
-            if run["val_accuracy"] > best_accuracy:
-                best, best_accuracy = name, run["val_accuracy"]
-        except Exception as problem:  # noqa: BLE001 - one model must not stop the comparison
-            logger.exception("training of %s failed", name)
-            runs.append({"model": name, "params": None, "error": str(problem), "metrics": {}})
-    ready.unpersist()
-    test = prepared.transform(labelled.filter(F.col(split) == "test"))
-    return TrainingResult(columns, prepared, models, runs, best, test)
-
-
 def evaluated(model, ready: DataFrame, split: str) -> dict[str, float]:
     """Train and validation metrics and their gaps."""
     rows = with_probability(model.transform(ready)).select(split, "label", "prediction", "probability")

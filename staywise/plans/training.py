@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staywise.functions import rules
-from staywise.operators import ml, scoring
+from staywise.operators import ml, scoring, search
 from staywise.plans import frames
 from staywise.plans.queries import AS_OF, query
 from staywise.schemas import RAW_EVENTS
-from staywise.session import fresh_path, written
+from staywise.session import fresh_path, work_folder, written
+from staywise.sources.readers import input_state
 from staywise.streaming import daily, jobs, rolling
 
 TRAINING_FIELDS = (
@@ -26,22 +28,19 @@ TRAINING_FIELDS = (
     "value_tier",
 )
 
-# Trained models of this session. Training takes far longer than any report on it, so the reports share it.
-_TRAINED: dict[tuple[str, str], ml.TrainingResult] = {}
-
-
 def training_frame(spark: SparkSession, folder: str) -> DataFrame:
     return frames.labelled(spark, folder).select(
         "customer_id", "split", *TRAINING_FIELDS, F.col("label").alias("churned")
     )
 
 
-def trained(spark: SparkSession, folder: str, preset: ml.Preset = ml.TINY) -> ml.TrainingResult:
-    """Models trained on the labelled frame, once per session and folder. ``TINY`` keeps the demonstration short."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _TRAINED:
-        _TRAINED[key] = ml.train_and_compare(training_frame(spark, folder), "churned", preset, ignore=["customer_id"])
-    return _TRAINED[key]
+def trained(spark: SparkSession, folder: str, preset: ml.Preset = ml.BRIEF) -> ml.TrainingResult:
+    """Models of the labelled frame. The search is stored in the work folder under a digest of the input files and the features:
+    whoever asks again, also after a restart, gets what is finished from there."""
+    state = input_state(spark, [f"{folder}/{t}.parquet" for t in ("customer", "orders", "lineitem", "events")])
+    fields = hashlib.md5(",".join(TRAINING_FIELDS).encode()).hexdigest()[:8]
+    path = f"{work_folder(spark).rstrip('/')}/search-{state}-{fields}"
+    return search.train_and_compare(training_frame(spark, folder), "churned", preset, path, ignore=["customer_id"])
 
 
 @query

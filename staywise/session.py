@@ -59,6 +59,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to this path to its end."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
 # Paths written since each open ``scratch`` began, the innermost last.
 _levels: ContextVar[tuple[list[str], ...]] = ContextVar("levels", default=())
 

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from staywise.functions import rules
-from staywise.operators import ml, scoring
+from staywise.operators import ml, scoring, search
 
 SCHEMA = (
     "customer_id string, recency_30d double, frequency_30d double, monetary_total_30d double, monetary_avg_30d double,"
@@ -36,9 +36,10 @@ def rows(spark):
 
 
 @pytest.fixture(scope="module")
-def result(rows):
+def result(rows, tmp_path_factory):
     preset = replace(ml.TINY, grids={**ml.TINY.grids, "neural_network": {"hidden": [(0,)], "stepSize": [0.1]}})
-    return ml.train_and_compare(rows, "churned", preset, ignore=["customer_id"])
+    path = str(tmp_path_factory.mktemp("search") / "store")
+    return search.train_and_compare(rows, "churned", preset, path, ignore=["customer_id"])
 
 
 def test_one_failing_model_does_not_stop_the_others(result):
@@ -121,3 +122,66 @@ def test_draws_are_seeded_and_unique():
     first, second = ml.drawn(grid, 20), ml.drawn(grid, 20)
     assert first == second and len({str(c) for c in first}) == 20
     assert len(ml.drawn(ml.SHORT.grids["random_forest"], None)) == 27
+
+
+def _trees(parts, **changes):
+    return replace(ml.TINY, grids={m: ml.TINY.grids[m] for m in parts}, **changes)
+
+
+def test_a_search_in_pieces_trains_no_cell_twice(rows, tmp_path, monkeypatch):
+    preset, path, trained = _trees(["random_forest", "logistic_regression"], parallelism=1), str(tmp_path / "store"), []
+    put = search.SearchStore.put
+    monkeypatch.setattr(search.SearchStore, "put", lambda self, *a: (trained.append(a[:3]), put(self, *a))[1])
+    begin = lambda p=preset: search.Search(rows, "churned", p, path, ignore=["customer_id"])
+    first = begin()
+    assert first.advance(most=3) == 5
+    with pytest.raises(ValueError, match="unfinished"):
+        first.result()
+    first.close()
+    # A new start, as after a crash: what is stored stays, the rest is trained.
+    assert begin().advance(seconds=0.0001) == 5 - (len(trained) - 3)
+    second = begin()
+    assert second.advance() == 0
+    cells = [t for t in trained if t[0] == "cells"]
+    assert len(cells) == len(set(cells)) == 8
+    in_pieces = second.result()
+    # Finished: nothing is fitted again, models and figures come from the store.
+    monkeypatch.setattr(search.Search, "_fit", None)
+    again = search.train_and_compare(rows, "churned", preset, path, ignore=["customer_id"])
+    assert again.runs == in_pieces.runs and again.best_model == in_pieces.best_model
+    key = ["customer_id"]
+    assert sorted(map(str, again.scored_test().select(*key, "probability").collect())) == sorted(
+        map(str, in_pieces.scored_test().select(*key, "probability").collect())
+    )
+
+
+def test_pieces_and_one_call_agree(rows, tmp_path):
+    preset = _trees(["random_forest"])
+    whole = search.train_and_compare(rows, "churned", preset, str(tmp_path / "a"), ignore=["customer_id"])
+    pieces = search.Search(rows, "churned", preset, str(tmp_path / "b"), ignore=["customer_id"])
+    while pieces.advance(most=1):
+        pass
+    drop = lambda r: {k: v for k, v in r["metrics"].items() if k != "training_time"}
+    parts = pieces.result()
+    assert [r["params"] for r in whole.runs] == [r["params"] for r in parts.runs]
+    for a, b in zip(whole.runs, parts.runs, strict=True):
+        assert drop(a) == pytest.approx(drop(b))
+
+
+def test_equal_rows_are_in_one_fold_and_folds_do_not_depend_on_partitions(rows, tmp_path):
+    preset = _trees(["logistic_regression"])
+    twice = rows.union(rows)
+    fold = lambda df, name: {
+        str(r[:-1]): r[-1]
+        for r in search.Search(df, "churned", preset, str(tmp_path / name), ignore=["customer_id"])
+        .ready.select("split", "label", vector_to_array("features"), "fold").collect()
+    }
+    one, other = fold(twice, "one"), fold(twice.repartition(7), "other")
+    assert len(one) <= 600 and sorted(one.values()) == sorted(other.values())
+
+
+def test_larger_search_reuses_the_cells_of_a_smaller_one(rows, tmp_path):
+    path, small = str(tmp_path / "store"), _trees(["logistic_regression"])
+    search.train_and_compare(rows, "churned", small, path, ignore=["customer_id"])
+    larger = replace(small, grids={"logistic_regression": {"C": [1, 10, 100], "mix": [0.0]}})
+    assert len(search.Search(rows, "churned", larger, path, ignore=["customer_id"]).missing()) == 2
