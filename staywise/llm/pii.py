@@ -1,16 +1,19 @@
 """Personal data: a skip-chain conditional random field with loopy message passing.
 
 Tokens are runs that contain a digit or an at sign, with the marks that join their parts. Labels: outside, email, ip, card, phone.
-Neighbouring tokens are tied by a chain potential. Distant tokens that repeat (same characters but for separators and case) share an
-entity: a hidden variable tied to all of them. That is the skip potential in the form of a star instead of all pairs, so a token repeated
+Neighbouring tokens are tied by a chain potential. Distant tokens that repeat (same characters but for separators and case) or are similar
+(numbers that differ in their prefix only) share an entity: a hidden variable tied to all of them. That is the skip potential in the form of a star instead of all pairs, so a token repeated
 thousands of times in one text costs its number of repeats, not its square. Sum-product messages run over chain and stars, a
-fixed number of rounds with damping, so a clear occurrence carries its label to unclear ones all over the text.
+fixed number of rounds with damping. A token that a base span of the same entity covers is certain: its label enters as evidence, and the
+skip potentials carry it to unclear occurrences all over the text.
 
 Plain tokens have only the label "outside" (a hard constraint of the model) and send no messages; so whole texts are decoded exactly as
 defined without visiting their plain words.
 
-Training: chain and unary weights by penalised likelihood on a bounded sample of texts labelled by the base patterns; the skip
-weight is the log odds that two occurrences of one entity agree there, smoothed.
+Training: chain and unary weights by penalised likelihood on a bounded sample of different texts. Labels come from the base patterns and are
+carried over to all occurrences of the same entity in the text, so a plain repeat does not count against its clear twin. The skip
+weight is the log odds that the base labels of one entity agree within a text; ``PRIOR_AGREE`` agreeing pairs are counted beforehand, so
+consistency holds unless the texts speak against it.
 
 Spans of the base patterns always stay; decoded tokens that no base span touches are added as kind ``model_<label>``. Offsets are code
 points, ends exclusive. Null and empty texts have no spans. Rows are independent: repeated rows, null ids and empty tables are fine.
@@ -36,6 +39,9 @@ TRAIN_TEXTS = 2000
 MOST_CHAINS = 6000
 ROUNDS = 8
 DAMPING = 0.3
+PRIOR_AGREE = 20000
+EVIDENCE = 40.0  # log score of a certain label
+MOST_DIGITS = 19  # of groups joined by spaces into one token; no kind has more
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -95,11 +101,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 # A token starts at a digit, plus sign, bracket or word with an at sign and joins parts by single marks.
 _SPOT = re.compile(r"[0-9@]")
+_GROUP = re.compile(r"[0-9()]*")
 _JOINERS = frozenset("@._%+-()")
 
 
 def open_tokens(text: str) -> list[tuple[int, int]]:
-    """Spans of tokens that may be labelled otherwise than outside, in order; linear in the text."""
+    """Spans of tokens that may be labelled otherwise than outside, in order; linear in the text.
+
+    Groups of digits are joined over single spaces up to ``MOST_DIGITS`` digits, so a row of numbers becomes several tokens.
+    """
     found, at, n = [], 0, len(text)
     for spot in _SPOT.finditer(text):
         if spot.start() < at:
@@ -107,11 +117,17 @@ def open_tokens(text: str) -> list[tuple[int, int]]:
         start = end = spot.start()
         while start > at and (text[start - 1].isalnum() or text[start - 1] in _JOINERS):
             start -= 1
+        digits = 0
         while end < n:
             c = text[end]
             if c.isalnum() or c in _JOINERS:
+                digits += c in "0123456789"
                 end += 1
             elif c == " " and text[end - 1] in "0123456789)" and text[end + 1 : end + 2] in tuple("0123456789("):
+                # The next group is looked at before it is joined; a longer one than any kind has ends the token.
+                ahead = _GROUP.match(text, end + 1, end + 2 + MOST_DIGITS)
+                if digits + sum(d in "0123456789" for d in ahead[0]) > MOST_DIGITS:
+                    break
                 end += 1
             else:
                 break
@@ -137,7 +153,7 @@ _CONTACT = re.compile(r"mail|phone|tel|call|card|visa|host|addr|contact|ip\b", r
 
 
 def features(text: str, start: int, end: int) -> list[int]:
-    token = text[start : min(end, start + 128)]
+    token = text[start:end]
     digits = "".join(c for c in token if c in "0123456789")
     on = ["always", f"dots {min(4, token.count('.'))}", f"dashes {min(3, token.count('-'))}", f"digits {min(21, len(digits))}"]
     if "@" in token:
@@ -169,19 +185,39 @@ def features(text: str, start: int, end: int) -> list[int]:
     return [FEATURES[name] for name in on]
 
 
-def entity(token: str) -> str:
-    """Equal for tokens that differ in separators, brackets or case only."""
-    return "".join(c for c in token.lower() if c.isalnum() or c == "@")
+_TAIL = 9
 
 
-def _labels(spans: list[tuple[int, int]], base: list[tuple[int, int, str]]) -> list[int]:
-    out, at = [], 0
+def entity(token: str) -> str:
+    """Equal for tokens that are one entity: they differ in separators, brackets or case only, or are numbers of the
+    length of a phone that differ in their prefix only. Addresses of hosts are equal to such addresses only."""
+    plain = "".join(c for c in token.lower() if c.isalnum() or c == "@")
+    if plain.isascii() and plain.isdigit():
+        parts = token.split(".")
+        if len(parts) == 4 and all(parts) and all(p.isdigit() and _small(p) for p in parts):
+            return ".".join(p.lstrip("0") for p in parts)
+        if 10 <= len(plain) <= 15:
+            return f"…{plain[-_TAIL:]}"
+    return plain
+
+
+def _known(text: str, spans: list[tuple[int, int]], base: list[tuple[int, int, str]]) -> tuple[list[str], list[int]]:
+    """(entity, certain label or 0) of each token; a token that a base span meets is the entity of that span."""
+    keys, labels, at = [], [], 0
     for start, end in spans:
         while at < len(base) and base[at][1] <= start:
             at += 1
-        hit = next((k for s, e, k in base[at : at + 8] if s < end and start < e), None)
-        out.append(LABELS.index(hit) if hit else 0)
-    return out
+        hit = next((b for b in base[at : at + 8] if b[0] < end and start < b[1]), None)
+        keys.append(entity(text[hit[0] : hit[1]] if hit else text[start:end]))
+        labels.append(LABELS.index(hit[2]) if hit else 0)
+    return keys, labels
+
+
+def _groups(keys: list[str]) -> list[list[int]]:
+    same: dict[str, list[int]] = {}
+    for k, key in enumerate(keys):
+        same.setdefault(key, []).append(k)
+    return [v for v in same.values() if len(v) > 1]
 
 
 class Field:
@@ -222,33 +258,42 @@ class Field:
         out = unary * right * left * skip
         return out / out.sum(axis=1, keepdims=True)
 
-    def decode(self, text: str) -> list[tuple[int, int, str]]:
+    def decode(self, text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+        """Tokens labelled otherwise than outside, given the certain spans."""
         spans = open_tokens(text)
         if not spans:
             return []
         scores = np.array([self.chain.unary[features(text, *s)].sum(axis=0) for s in spans])
         scores[0] += self.chain.first
         scores[-1] += self.chain.last
-        same: dict[str, list[int]] = {}
-        for k, (start, end) in enumerate(spans):
-            same.setdefault(entity(text[start:end]), []).append(k)
-        groups = [np.array(v) for v in same.values() if len(v) > 1]
-        best = self.marginals(scores, groups).argmax(axis=1)
+        keys, known = _known(text, spans, base)
+        certain = np.flatnonzero(known)
+        scores[certain, np.array(known)[certain]] += EVIDENCE
+        best = self.marginals(scores, [np.array(g) for g in _groups(keys)]).argmax(axis=1)
         return [(s, e, f"model_{LABELS[b]}") for (s, e), b in zip(spans, best, strict=True) if b]
 
 
+def _consistent(keys: list[str], known: list[int]) -> tuple[list[int], int, int]:
+    """(labels carried over to all occurrences of an entity, pairs of base labels that agree, that differ)."""
+    labels, agree, differ = list(known), 0, 0
+    for members in _groups(keys):
+        seen = [known[k] for k in members if known[k]]
+        if len(set(seen)) == 1:
+            agree += len(seen) - 1
+            for k in members:
+                labels[k] = seen[0]
+        elif seen:
+            differ += len(seen) - 1
+    return labels, agree, differ
+
+
 def train(docs: DataFrame, text_col: str = "text", most: int = TRAIN_TEXTS) -> Field:
     sample = hashed_sample(docs, text_col, "text rlike '[0-9@]'", most)
 
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         for (text,) in source:
             spans = open_tokens(text)
-            labels = _labels(spans, base_spans(text))
-            same: dict[str, list[int]] = {}
-            for (start, end), label in zip(spans, labels, strict=True):
-                same.setdefault(entity(text[start:end]), []).append(label)
-            agree = sum(len(v) - 1 for v in same.values() if len(set(v)) == 1)
-            differ = sum(len(v) - 1 for v in same.values() if len(set(v)) > 1)
+            labels, agree, differ = _consistent(*_known(text, spans, base_spans(text)))
             for at in range(0, len(spans), 32):
                 yield [features(text, *s) for s in spans[at : at + 32]], labels[at : at + 32], agree, differ
                 agree = differ = 0
@@ -257,14 +302,14 @@ def train(docs: DataFrame, text_col: str = "text", most: int = TRAIN_TEXTS) -> F
     chains = found.orderBy(F.xxhash64("tokens", "labels")).limit(MOST_CHAINS).collect()
     chain = crf.train([(r.tokens, r.labels) for r in chains], len(FEATURES), len(LABELS))
     agree, differ = sum(r.agree for r in chains), sum(r.differ for r in chains)
-    return Field(chain, min(4.0, max(0.5, math.log((agree + 1) / (differ + 1)))))
+    return Field(chain, max(0.5, math.log((agree + PRIOR_AGREE) / (differ + 1))))
 
 
 def all_spans(text: str, field: Field) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """(base spans, all spans)."""
     base, found, at = base_spans(text), [], 0
     reach = sorted((s, e) for s, e, _ in base)
-    for start, end, kind in field.decode(text):
+    for start, end, kind in field.decode(text, base):
         while at < len(reach) and reach[at][1] <= start:
             at += 1
         if not any(s < end and start < e for s, e in reach[max(0, at - 2) : at + 8]):

@@ -1,14 +1,16 @@
 """Secret scan: a linear-chain conditional random field tags tokens as secret begin, inside or outside.
 
 Tokens are runs of ``[A-Za-z0-9+/_.=-]`` and runs of marks between them. Features are the token's shape (length class,
-character classes, mixing, entropy class), the words beside it and features of the whole text (language of keys, density of such tokens).
+character classes, mixing, entropy class, share of vowels), the words beside it (hashed, and whether one names a key), quotes and marks, and
+features of the whole text (key words, density of such tokens).
 
-The field is decoded exactly over whole texts without visiting plain tokens one by one: a token without a digit and shorter
-than ``LONG`` has only the label "outside", by a hard constraint that is part of the model. Such a token splits the chain, and what
-lies between two of them is decoded by Viterbi on its own; a text's best labelling is the union of these.
+The field is decoded exactly over whole texts without visiting plain tokens one by one: a token without a digit, shorter
+than ``LONG`` and not next to a key word has only the label "outside", by a hard constraint that is part of the model. Such a token splits the
+chain, and what lies between two of them is decoded by Viterbi on its own; a text's best labelling is the union of these.
 
-Training: texts of a bounded sample, tokens labelled by the base patterns (the ones that leave no doubt), penalised likelihood. Features
-name no pattern, so the field also finds secrets of shapes that the patterns miss. ``TRAIN_TEXTS`` bounds the sample.
+Training: different texts of a bounded sample, tokens labelled by the base patterns, penalised likelihood. Labels of the patterns alone would only
+teach the patterns, so each secret also enters in changed forms: behind another key word, as letters only, as a long random
+token with its key word masked; and plain words of the same text enter behind key words, and joined to paths, as tokens that are none. ``TRAIN_TEXTS`` bounds the sample.
 
 Spans: those of the base patterns always stay; decoded spans that no base span touches are added as kind ``model``. Offsets are code
 points, ends exclusive. Null and empty texts have no spans. Rows are independent: repeated rows, null ids and empty tables are fine.
@@ -18,7 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +61,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 _BODY = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
 _DIGITS = re.compile(r"[0-9]+")
+KEY_STEMS = "pass|pwd|secret|token|key|auth|cred|sign|bearer"
+# A word that names a key, then quotes, a mark or a space, then the token; the token itself is only looked at.
+_BESIDE_KEY = re.compile(
+    rf"""(?:{KEY_STEMS})[A-Za-z_]{{0,24}}["']?(?:\x20{{0,4}}[:=]|\x20is\b|(?=\x20))\x20{{0,4}}["']?(?=([A-Za-z0-9+/_.=-]{{6}}))""", re.IGNORECASE
+)
 
 
 def open_tokens(text: str) -> list[tuple[int, int]]:
@@ -64,6 +73,7 @@ def open_tokens(text: str) -> list[tuple[int, int]]:
     found, at, n = [], 0, len(text)
     spots = [m.start() for m in _DIGITS.finditer(text)]
     spots += [m.start() for m in LONG_RUN.finditer(text)]
+    spots += [m.start(1) for m in _BESIDE_KEY.finditer(text)]
     for spot in sorted(spots):
         if spot < at:
             continue
@@ -88,6 +98,15 @@ def open_tokens(text: str) -> list[tuple[int, int]]:
 
 
 FEATURES: dict[str, int] = {}
+WORD_BUCKETS = 64
+# A part of a path or name: a word in one case or capitalised, or a short number.
+_PLAIN_PART = re.compile(r"(?<![A-Za-z0-9])(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,8})(?![A-Za-z0-9])")
+_LEFT_WORD = re.compile(r"([^\W\d_]+)[\W_]*$")
+_RIGHT_WORD = re.compile(r"[\W_]*([^\W\d_]+)")
+
+
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.lower().encode()) % WORD_BUCKETS
 
 
 def _feature_names() -> list[str]:
@@ -95,13 +114,14 @@ def _feature_names() -> list[str]:
     names += [f"length {k}" for k in range(8)] + [f"entropy {k}" for k in range(6)]
     names += [f"classes {k}" for k in range(8)] + [f"changes {k}" for k in range(5)]
     names += ["all hex", "all digits", "dots", "dashes", "joined"]
+    names += ["letters only"] + [f"plain parts {k}" for k in range(6)] + [f"vowels {k}" for k in range(6)] + [f"{side} word {k}" for side in ("left", "right") for k in range(WORD_BUCKETS)]
     names += ["key mark before", "quote before", "quote after", "key word before", "key word near", "first of text"]
     names += [f"file open {k}" for k in range(4)] + ["file has key words"]
     return names
 
 
 FEATURES.update({name: k for k, name in enumerate(_feature_names())})
-KEY_WORDS = re.compile(r"pass|pwd|secret|token|key|auth|cred|sign", re.IGNORECASE)
+KEY_WORDS = re.compile(KEY_STEMS, re.IGNORECASE)
 
 
 def _entropy(token: str) -> float:
@@ -110,7 +130,7 @@ def _entropy(token: str) -> float:
 
 
 def features(text: str, start: int, end: int, file: list[int]) -> list[int]:
-    token = text[start : min(end, start + 256)]  # shape of very long runs: their head decides
+    token = text[start:end]
     n = end - start
     upper, lower, digit = (bool(re.search(p, token)) for p in ("[A-Z]", "[a-z]", "[0-9]"))
     kinds = re.sub(r"[A-Z]", "A", re.sub(r"[a-z]", "a", re.sub(r"[0-9]", "0", token)))
@@ -146,6 +166,17 @@ def features(text: str, start: int, end: int, file: list[int]) -> list[int]:
         on.append("key word near")
     if start == 0:
         on.append("first of text")
+    letters = sum(c.isalpha() for c in token)
+    if letters == n:
+        on.append("letters only")
+    if letters:
+        on.append(f"vowels {int(5 * sum(token.count(c) for c in 'aeiouAEIOU') / letters)}")
+    parts = _PLAIN_PART.findall(token)
+    on.append(f"plain parts {int(5 * sum(map(len, parts)) / max(1, len(re.sub('[+/_.=-]', '', token))))}")
+    if left := _LEFT_WORD.search(before):
+        on.append(f"left word {_bucket(left[1])}")
+    if right := _RIGHT_WORD.match(text[end : end + 24]):
+        on.append(f"right word {_bucket(right[1])}")
     return [FEATURES[name] for name in on] + file
 
 
@@ -168,19 +199,63 @@ def chains(text: str) -> list[list[tuple[int, int]]]:
     return runs
 
 
-def _labelled(text: str) -> list[tuple[list[list[int]], list[int]]]:
-    """Training chains of a text: tokens inside a base span are secrets."""
+def _labelled(text: str, spans: list[tuple[int, int]], file: list[int] | None = None) -> Iterator[tuple[list[list[int]], list[int]]]:
+    """Training chains of a text: tokens inside one of the spans are secrets."""
     runs = chains(text)
-    file = file_features(text, sum(map(len, runs)))
-    spans, out = base_spans(text), []
+    if file is None:
+        file = file_features(text, sum(map(len, runs)))
     for run in runs:
         labels = []
         for start, end in run:
-            hit = any(s < end and start < e for s, e, _ in spans)
+            hit = any(s < end and start < e for s, e in spans)
             labels.append((INSIDE if labels and labels[-1] != OUTSIDE else BEGIN) if hit else OUTSIDE)
         for at in range(0, len(run), 32):
-            out.append(([features(text, *span, file) for span in run[at : at + 32]], labels[at : at + 32]))
-    return out
+            yield [features(text, *span, file) for span in run[at : at + 32]], labels[at : at + 32]
+
+
+_KEYS = ("pwd", "pass", "passphrase", "auth", "credential", "client_key", "bearer", "signing key", "secret", "token")
+_MARKS = (": ", "=", " = ", ': "', " ", " is ")
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_MIXED = _LETTERS + _LETTERS.upper() + "0123456789"
+_PLAIN = re.compile(r"(?<![\w.-])[A-Za-z]{6,19}(?![\w.-])")
+_CONTEXT = 60
+
+
+def _changed(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """The surroundings of each secret with the secret in changed forms, and of plain words of the text behind key words; seeded by the text."""
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    pick = lambda letters, low, high: "".join(rng.choices(letters, k=rng.randint(low, high)))
+    plain = [m[0] for m in _PLAIN.finditer(text) if not KEY_WORDS.search(m[0])]
+    for start, end, kind in spans:
+        found = ASSIGN.match(text, start) if kind == KINDS[0] else None
+        value = found[2] if found else text[start:end]
+        before, after = text[max(0, start - _CONTEXT) : start], text[end : end + _CONTEXT]
+        key = lambda: rng.choice(_KEYS) + rng.choice(_MARKS)
+        words = "".join(rng.choice("bcdfghklmnprstvw") + rng.choice("aeiou") + rng.choice(("", "n", "r", "st")) for _ in range(rng.randint(3, 5)))
+        forms = [
+            (key(), value),
+            (key(), pick(_MIXED, 8, 40)),
+            (rng.choice(_KEYS) + rng.choice(_MARKS[:4]), words),
+            (key(), pick(_LETTERS, 8, 16).capitalize()),
+            ("", rng.choice(("", pick(_LETTERS, 2, 4) + "_")) + pick(_MIXED, 30, 60)),
+        ]
+        for lead, secret in forms:
+            at = len(before) + len(lead)
+            yield before + lead + secret + after, [(at, at + len(secret))]
+        for word in rng.sample(plain, min(3, len(plain))):
+            yield f"{before}{rng.choice(_KEYS)} {word}{after}", []
+        for lead in ("https://", "", "/") if len(plain) > 3 else ():
+            # Paths and names made of words are no secrets however long they are.
+            parts = [*rng.sample(plain, rng.randint(2, 4)), *rng.sample(("2024", "01", "15", "v2", "index.html"), 2)]
+            yield f"{before}{lead}{rng.choice('/-_.').join(parts)}{after}", []
+
+
+def _training_chains(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
+    base = base_spans(text)
+    yield from _labelled(text, [(s, e) for s, e, _ in base])
+    file = file_features(text, len(base)) if base else None
+    for changed, secrets in _changed(text, base):
+        yield from _labelled(changed, secrets, file)
 
 
 def hashed_sample(docs: DataFrame, text_col: str, where: str, most: int) -> DataFrame:
@@ -191,7 +266,8 @@ def hashed_sample(docs: DataFrame, text_col: str, where: str, most: int) -> Data
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(where)
     texts = texts.select("text", F.xxhash64("text").alias("h"))
     cut = texts.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    return texts.where(F.col("h") <= F.lit(cut)).select("text")
+    # Copies of a sampled text go before any text is labelled, so that no hot text fills the sample.
+    return texts.where(F.col("h") <= F.lit(cut)).dropDuplicates(["h"]).select("text")
 
 
 def train(docs: DataFrame, text_col: str = "text", most: int = TRAIN_TEXTS) -> crf.Chain:
@@ -200,8 +276,7 @@ def train(docs: DataFrame, text_col: str = "text", most: int = TRAIN_TEXTS) -> c
 
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         for (text,) in source:
-            for tokens, labels in _labelled(text):
-                yield tokens, labels
+            yield from _training_chains(text)
 
     found = map_rows(sample, rows, "tokens array<array<int>>, labels array<int>")
     found = found.orderBy(F.xxhash64("tokens", "labels")).limit(MOST_CHAINS).collect()

@@ -221,6 +221,100 @@ def test_secret_spans_keep_the_base_and_are_whole(docs):
     assert secrets.report(docs.limit(0), secrets.train(docs.limit(0))).count() == 0
 
 
+@pytest.fixture(scope="module")
+def noted(spark):
+    """Texts with the base patterns' secrets and personal data among plain words, to train the fields on."""
+    import random
+
+    rng = random.Random(3)
+    words = "people water history between several another number because through general important system market public".split()
+    token = lambda n, a="abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789": "".join(rng.choices(a, k=n))
+    digits = lambda n: token(n, "0123456789")
+    rows = []
+    for i in range(240):
+        prose = lambda: " ".join(rng.choices(words, k=12))
+        secret = [f"password = {token(12)}", f"api_key: {token(24)}", f"token={token(16)}", token(32, "0123456789abcdef")][i % 4]
+        private = [f"a{i}.{token(4)}@mail.example.org", f"10.{i % 200}.3.14", f"+1 555 {digits(3)} {digits(4)}", "4111 1111 1111 1111"][i % 4]
+        rows.append((i, f"{prose()} {secret} {prose()} {rng.randrange(10**7)} {prose()} {private} {prose()}"))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_field_finds_planted_secrets_that_the_patterns_miss(noted):
+    model = secrets.train(noted)
+    planted = [
+        ("ghp_", "16C7e42F292c6912E7710c838347Ae178B4a", ""),
+        ("use sk_live_", "4eC39HqLyjWDarjtT1zdp7dc", " here"),
+        ("Authorization: Bearer ", "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0", " and on"),
+        ("aws ", "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEYab", " end"),
+        ("pwd: ", "correcthorse", " for people"),
+        ("the client_key: ", "Zx81kd92Lq", " of it"),
+    ]
+    for before, secret, after in planted:
+        text = before + secret + after
+        assert not secrets.base_spans(text)
+        spans = secrets.all_spans(text, model)[1]
+        assert any(s <= len(before) and e >= len(before) + len(secret) for s, e, _ in spans), text
+    for text in (
+        "the key features of the system were published in 2024-01-15 by the authority",
+        "see https://example.org/news/2024/general-report-of-the-market/index.html for the whole report",
+        "internationalization and tokenization are important 1234567 times",
+        "",
+    ):
+        assert secrets.all_spans(text, model) == ([], []), text
+
+
+def test_viterbi_and_marginals_match_enumeration():
+    import numpy as np
+
+    from staywise.llm import crf
+
+    rng = np.random.default_rng(7)
+    for n in range(1, 6):
+        model = crf.Chain(np.zeros((1, 3)), rng.normal(size=(3, 3)), rng.normal(size=3), rng.normal(size=3))
+        scores = rng.normal(size=(n, 3))
+        value = lambda y: (
+            model.first[y[0]] + model.last[y[-1]] + sum(scores[k, y[k]] for k in range(n)) + sum(model.step[a, b] for a, b in zip(y, y[1:], strict=False))
+        )
+        assert crf.viterbi(scores, model) == list(max(itertools.product(range(3), repeat=n), key=value))
+    k = len(pii.LABELS)
+    for trial in range(6):
+        # A star without chain steps and a chain without stars have no loops, so messages must give the exact marginals there.
+        n, star = 4, trial % 2 == 0
+        step = np.zeros((k, k)) if star else rng.normal(size=(k, k))
+        field = pii.Field(crf.Chain(np.zeros((1, k)), step, np.zeros(k), np.zeros(k)), 1.5)
+        scores, groups = rng.normal(size=(n, k)), [np.array([0, 1, 3])] if star else []
+        want = np.zeros((n, k))
+        for y in itertools.product(range(k), repeat=n):
+            p = np.exp(sum(scores[i, y[i]] for i in range(n)) + sum(step[a, b] for a, b in zip(y, y[1:], strict=False)))
+            if star:
+                p *= sum(np.exp(1.5 * sum(y[i] == entity for i in (0, 1, 3))) for entity in range(k))
+            for i in range(n):
+                want[i, y[i]] += p
+        want /= want.sum(axis=1, keepdims=True)
+        assert np.allclose(field.marginals(scores, groups), want, atol=2e-3)
+
+
+def test_repeats_get_the_label_of_their_clear_twin(noted):
+    field = pii.train(noted)
+
+    def added(text):
+        return [(text[s:e], kind) for s, e, kind in pii.all_spans(text, field)[1] if kind.startswith("model")]
+
+    far = " people and water of the market " * 300
+    for first, again in (("+1 555 123 4567", "15551234567"), ("+1 (555) 123-4567", "555 123 4567"), ("+49 30 1234567", "030 1234567")):
+        for text in (f"phone: {first}{far}and {again} too", f"ask {again}{far}that is {first} now"):
+            assert added(text) == [(again, "model_phone")], text[:40]
+    for text in (f"order 20240131 {far} order 20240131", "ip 192.168.1.10 people 192.168.1.10 water", "phone +1 555 123 4567 order 15559876543"):
+        assert added(text) == []
+    assert pii.open_tokens("1234567 " * 1000 + "12") and max(e - s for s, e in pii.open_tokens("1234567 " * 1000)) < 40
+
+
+def test_long_tokens_are_read_whole():
+    assert "at sign" in {n for n, k in pii.FEATURES.items() if k in pii.features("1" * 500 + "@x.org", 0, 506)}
+    on = secrets.features("a" * 400 + "Z9", 0, 402, [])
+    assert secrets.FEATURES["classes 7"] in on
+
+
 def test_private_spans_match_plain_patterns(docs):
     import random
 
