@@ -37,7 +37,7 @@ from .components import components
 from .text import as_bytes, id_and_text, map_rows, mix, shingle_hashes, signed, word_bounds, word_hashes
 
 SMALL_TILE = 16  # larger tiles are compared inside tasks
-CHUNK = 1 << 20  # elements of all sets of a chunk; a task holds two chunks
+CHUNK = 1 << 21  # elements of all sets of a chunk; a task holds two chunks
 BLOCK = 32  # sets intersected at once
 KEY_ZONE = 0.2  # share of the hash space whose tokens serve as join keys; a wider zone only costs more rows
 
