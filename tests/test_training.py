@@ -2,6 +2,7 @@
 
 import math
 import random
+import threading
 from dataclasses import replace
 
 import pytest
@@ -185,3 +186,23 @@ def test_larger_search_reuses_the_cells_of_a_smaller_one(rows, tmp_path):
     search.train_and_compare(rows, "churned", small, path, ignore=["customer_id"])
     larger = replace(small, grids={"logistic_regression": {"C": [1, 10, 100], "mix": [0.0]}})
     assert len(search.Search(rows, "churned", larger, path, ignore=["customer_id"]).missing()) == 2
+
+
+def test_a_final_fit_does_not_wait_for_the_cells_of_other_models(rows, tmp_path, monkeypatch):
+    preset, finished = _trees(["random_forest", "logistic_regression"], parallelism=1), threading.Event()
+    train, finish, early = search.Search._train_cell, search.Search._finished, []
+
+    def cell(self, asked):
+        if asked.model == "logistic_regression":
+            early.append(finished.wait(60))
+        train(self, asked)
+
+    def final(self, name, scored):
+        found = finish(self, name, scored)
+        finished.set()
+        return found
+
+    monkeypatch.setattr(search.Search, "_train_cell", cell)
+    monkeypatch.setattr(search.Search, "_finished", final)
+    result = search.train_and_compare(rows, "churned", preset, str(tmp_path / "store"), ignore=["customer_id"])
+    assert early and all(early) and [r["error"] for r in result.runs] == [None, None]
