@@ -134,3 +134,23 @@ def test_misses_do_not_depend_on_how_the_log_is_cut(spark, cuts):
 def test_fingerprints_of_missing_values_differ_from_empty_ones(spark):
     rows = spark.createDataFrame([(None, "a"), ("", "a")], "x string, y string")
     assert rows.select(scoring.fingerprint(["x", "y"])).distinct().count() == 2
+
+
+def test_every_customer_seen_in_the_window_gets_todays_version(spark, tmp_path):
+    """Not only those seen on the newest day: user 2 was last seen ten days before, user 3 only before the label date."""
+    from datetime import date, datetime, timedelta
+
+    from staywise.plans import frames
+    from staywise.plans.queries import AS_OF, feature_upsert
+
+    at = lambda day, hours=9: datetime(day.year, day.month, day.day, hours)
+    rows = [
+        (4, 1, at(AS_OF - timedelta(days=1)), "click"),
+        (8, 2, at(AS_OF - timedelta(days=10)), "click"),
+        (12, 2, at(frames.LABEL_DATE - timedelta(days=3)), "click"),
+        (16, 3, at(frames.LABEL_DATE - timedelta(days=3)), "click"),
+    ]
+    schema = "event_id bigint, user_id bigint, ts timestamp_ntz, event_type string, value double, props string"
+    spark.createDataFrame([(*r, 1.0, '{"k": 1}') for r in rows], schema).write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.customer_id[-1]: date.fromisoformat(r.version_date) for r in feature_upsert(spark, str(tmp_path)).collect()}
+    assert got == {"1": AS_OF, "2": AS_OF, "3": frames.LABEL_DATE}
