@@ -154,3 +154,18 @@ def test_every_customer_seen_in_the_window_gets_todays_version(spark, tmp_path):
     spark.createDataFrame([(*r, 1.0, '{"k": 1}') for r in rows], schema).write.parquet(f"{tmp_path}/events.parquet")
     got = {r.customer_id[-1]: date.fromisoformat(r.version_date) for r in feature_upsert(spark, str(tmp_path)).collect()}
     assert got == {"1": AS_OF, "2": AS_OF, "3": frames.LABEL_DATE}
+
+
+def test_reuse_of_registered_requests_follows_short_record_numbers(spark, folder, monkeypatch):
+    """The rounds carry a number of the record, not its fingerprint."""
+    from staywise.plans.queries import score_reuse_ttl
+
+    kinds, found = [], reuse.misses
+
+    def misses(log, *rest):
+        kinds.append(dict(log.dtypes))
+        return found(log, *rest)
+
+    monkeypatch.setattr(reuse, "misses", misses)
+    assert score_reuse_ttl(spark, folder).count()
+    assert kinds == [{"request_id": "bigint", "record": "bigint", "ts": "timestamp"}]
