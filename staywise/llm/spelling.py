@@ -73,6 +73,12 @@ def letters(words: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, counts.astype(np.int16 if length < 1 << 14 else np.int32)
 
 
+def narrowed(counts: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """The columns in use, and all others added up: to a row that has none of the others, distances stay the same."""
+    others = counts[:, ~used].sum(axis=1, dtype=counts.dtype)
+    return np.concatenate([counts[:, used], others[:, None]], axis=1)
+
+
 class Tree:
     """A k-d tree over letter counts. ``cut`` is None in a leaf, else (column, threshold): up to it left, above it right."""
 
@@ -246,47 +252,51 @@ def _searched(source: Iterator[tuple]) -> Iterator[tuple]:
             if not words:
                 continue  # no word of the cell to be near to
             if own is None:
-                own, tree, table = _ready(words, n)
+                own, tree, table, used = _ready(words, n)
                 _near(tree, table, own, table, own, True)
             if block and (len(block) >= BLOCK or len(block[0][0]) != length):
-                yield from _asked(block, tree, table, own)
+                yield from _asked(block, tree, table, used, own)
                 block = []
             block.append((word, count))
         if words and own is None:
-            own, tree, table = _ready(words, n)
+            own, tree, table, used = _ready(words, n)
             _near(tree, table, own, table, own, True)
         if block:
-            yield from _asked(block, tree, table, own)
+            yield from _asked(block, tree, table, used, own)
         if own is not None:
             yield from own.rows()
 
 
-def _ready(words: list[str], n: list[int]) -> tuple[_Found, Tree, tuple[np.ndarray, np.ndarray]]:
-    table = letters(words, len(words[0]))
-    return _Found(words, np.array(n, np.int64)), Tree(table[1], np.arange(len(words)), LEAF), table
+def _ready(words: list[str], n: list[int]) -> tuple[_Found, Tree, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Words of a cell with their tree, their rows and counts, and the letters that occur in the cell: most of Latin-1 does not."""
+    rows, counts = letters(words, len(words[0]))
+    used = counts.any(axis=0)
+    counts = narrowed(counts, used)
+    return _Found(words, np.array(n, np.int64)), Tree(counts, np.arange(len(words)), LEAF), (rows, counts), used
 
 
-def _asked(block: list[tuple], tree: Tree, table: tuple, own: _Found) -> Iterator[tuple]:
+def _asked(block: list[tuple], tree: Tree, table: tuple, used: np.ndarray, own: _Found) -> Iterator[tuple]:
     words = [w for w, _ in block]
     found = _Found(words, np.array([n for _, n in block], np.int64))
-    _near(tree, table, own, letters(words, len(words[0])), found, False)
+    rows, counts = letters(words, len(words[0]))
+    _near(tree, table, own, (rows, narrowed(counts, used)), found, False)
     yield from found.rows()
 
 
 def _near(tree: Tree, table: tuple, own: _Found, asked: tuple, found: _Found, same: bool) -> None:
     """All near pairs of a cell's words and the rows asked, added on both sides; ``same``: these are the cell's words themselves."""
     (rows, counts), (theirs, their_counts) = table, asked
-    alike = rows.shape[1] == theirs.shape[1]
+    alike, width = rows.shape[1] == theirs.shape[1], counts.shape[1]
     for first in range(0, len(theirs), BLOCK):
         at = np.arange(first, min(first + BLOCK, len(theirs)))
         one = np.ones(len(at), np.int8)
         for leaf, reached in tree.reached(their_counts, at, one, one if alike else np.zeros_like(one)):
-            step = max(1, MOST_COMPARED // (LETTERS * len(leaf.rows)))
+            step = max(1, MOST_COMPARED // (width * len(leaf.rows)))
             for k in range(0, len(reached), step):
                 part = reached[k : k + step]
-                for m in range(0, len(leaf.rows), MOST_COMPARED // LETTERS):
-                    held = leaf.rows[m : m + MOST_COMPARED // LETTERS]
-                    apart = np.abs(their_counts[part][:, None, :] - counts[held][None, :, :]).sum(axis=2)
+                for m in range(0, len(leaf.rows), MOST_COMPARED // width):
+                    held = leaf.rows[m : m + MOST_COMPARED // width]
+                    apart = np.abs(their_counts[part][:, None, :] - counts[held][None, :, :]).sum(axis=2, dtype=counts.dtype)
                     q, r = np.nonzero(apart == (2 if alike else 1))
                     q, r = part[q], held[r]
                     if same:

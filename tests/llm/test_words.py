@@ -162,3 +162,14 @@ def test_variants_match_all_pairs(spark, sample, cell):
     assert {tuple(r) for r in got} == plain_variants(rows) and len(got) == len(set(got))
     assert any(r.form and r.form != r.root for r in got)
     assert spelling.variants(table_of(spark, rows).limit(0)).count() == 0
+
+
+def test_distances_of_narrowed_counts_are_those_of_all_letters():
+    """A cell's words use few letters; words asked may hold others, which count as they are."""
+    cell, asked = ["abcabca", "abcabcb", "ccccccc"], ["abcabcé", "zzzabca", "éüabcab", "abcabca"]
+    mine, theirs = spelling.letters(cell, 7)[1], spelling.letters(asked, 7)[1]
+    used = mine.any(axis=0)
+    few, others = spelling.narrowed(mine, used), spelling.narrowed(theirs, used)
+    assert few.shape[1] == 4 and not few[:, -1].any()
+    apart = lambda a, b: abs(a[:, None, :] - b[None, :, :]).sum(axis=2).tolist()
+    assert apart(others, few) == apart(theirs, mine)
