@@ -10,7 +10,8 @@
 4. Tiles: a token and a size band. Sizes of linked sets differ by the threshold at most, so a tile meets itself and the next.
    First each set is compared with the tile's leader only (linear in the tile), and links found are merged into components. Then
    sets of one tile that are still in different components are compared: in small tiles as joined pairs; in larger ones inside tasks, chunk by
-   chunk, with their arrays at hand, and only links that join two components become rows. A group of near copies thus gives
+   chunk, first by their bitmaps alone; arrays travel only to where a set meets one of another component that the bitmaps cannot
+   rule out, and only links that join two components become rows. A group of near copies thus gives
    fewer rows than it has members, however many of its pairs are links. Of tiles with the same rows only one is compared.
 5. A pair is tested first by its bitmaps: each bit in which they differ is at least one element in which the sets differ, which
    bounds the overlap from above. Bitmaps are folded to the narrower width. Only then the sorted arrays are intersected.
@@ -38,6 +39,8 @@ from .text import as_bytes, id_and_text, map_rows, mix, shingle_hashes, signed,
 
 SMALL_TILE = 16  # larger tiles are compared inside tasks
 CHUNK = 1 << 20  # elements of all sets of a chunk; a task holds two chunks
+MAP_CHUNK = 1 << 22  # the same for bitmaps, of which an element takes a byte at most
+ROW_COST = 256  # elements that a row counts for beside its own in a chunk of bitmaps, so that short sets are not too many
 BLOCK = 32  # sets intersected at once
 KEY_ZONE = 0.2  # share of the hash space whose tokens serve as join keys; a wider zone only costs more rows
 
@@ -247,28 +250,48 @@ def _small_tiles(offered: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _large_tiles(offered: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of larger tiles that join components: fewer than a cell has rows, however many of its pairs are links.
+KEY = ["least", "band", "x", "y"]
+
+
+def _cells(tiles: DataFrame, weight: Column, chunk: int) -> DataFrame:
+    """Tiles of more than one component, dealt to tasks as pairs of chunks of ``chunk`` at most by the sum of ``weight``."""
+    sizes = tiles.groupBy("least", "band").agg(F.sum(weight).alias("sum"), F.min("part").alias("p"), F.max("part").alias("q"))
+    k = F.ceil(F.col("sum") / chunk).cast("int").alias("k")
+    sizes = written(sizes.where("p <> q").select("least", "band", k), "united_sizes")
+    dealt = tiles.join(sizes, ["least", "band"]).withColumn("c", F.pmod(F.xxhash64("row"), "k").cast("int"))
+    return dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+
+
+def _placed(cells: DataFrame, data: DataFrame) -> DataFrame:
+    """The rows of each cell together, with the last column of ``data`` (row, …)."""
+    cells = cells.join(data, "row").select(
+        "least", "band", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"),
+        "c", "row", "n", "part", "own", data.columns[-1],
+    )
+    return cells.repartition(*KEY).sortWithinPartitions(*KEY)
+
+
+def _meeting(offered: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """Rows of larger tiles that meet a row of another component there which the bitmaps cannot rule out, written.
 
     Tokens of one shared passage have nearly the same rows, so the tiles of a band that have their least row in common are united: a
-    row goes where that passage is compared once, not once a token. A united tile is dealt to tasks as pairs of chunks;
-    ``CHUNK`` elements of sets bound a chunk, so long sets make it shorter.
+    row goes where that passage is compared once, not once a token. Only bitmaps travel, a tenth of the arrays or less, and
+    a tile gives each of its rows once at most, however many of its pairs are near.
     """
     large = offered.where(F.col("many") > SMALL_TILE)
     large = written(large.select("least", "band", "row", "n", "part", "own").distinct(), "united")
-    sizes = large.groupBy("least", "band").agg(F.sum("n").alias("sum"), F.min("part").alias("p"), F.max("part").alias("q"))
-    k = F.ceil(F.col("sum") / CHUNK).cast("int").alias("k")
-    sizes = written(sizes.where("p <> q").select("least", "band", k), "united_sizes")
-    dealt = large.join(sizes, ["least", "band"]).withColumn("c", F.pmod(F.xxhash64("row"), "k").cast("int"))
-    cells = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+    placed = _placed(_cells(large, F.col("n") + ROW_COST, MAP_CHUNK), heads.select("row", "bits"))
+    shape = "least long, band int, row long, n long, part long, own boolean"
+    return written(map_rows(placed, _cell_meetings(percent), shape).distinct(), "meeting")
+
+
+def _large_tiles(meeting: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of larger tiles that join components: fewer than a cell has rows, however many of its pairs are links.
+
+    ``CHUNK`` elements of sets bound a chunk, so long sets make it shorter.
+    """
     # Bitmaps are made again from the arrays: that costs less than sending them along.
-    cells = cells.join(arrays, "row").select(
-        "least", "band", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"),
-        "c", "row", "n", "part", "own", "v",
-    )
-    key = ["least", "band", "x", "y"]
-    placed = cells.repartition(*key).sortWithinPartitions(*key)
-    return map_rows(placed, _cell_links(percent), "a long, b long")
+    return map_rows(_placed(_cells(meeting, F.col("n"), CHUNK), arrays), _cell_links(percent), "a long, b long")
 
 
 def _folded(bits: np.ndarray, width: int) -> np.ndarray:
@@ -276,55 +299,87 @@ def _folded(bits: np.ndarray, width: int) -> np.ndarray:
     return bits if bits.shape[1] == width else np.bitwise_or.reduce(bits.reshape(len(bits), -1, width), axis=1)
 
 
-def _cell_links(percent: int):
-    from itertools import groupby
+def _reach(both: np.ndarray, sizes: np.ndarray, n: int, percent: int) -> np.ndarray:
+    return 100 * both >= percent * (n + sizes - both)
 
-    def reach(both: np.ndarray, sizes: np.ndarray, n: int) -> np.ndarray:
-        return 100 * both >= percent * (n + sizes - both)
 
-    def of_cell(within: bool, members: list[tuple]) -> Iterator[tuple]:
-        # By size, so that bitmaps of one width lie together and are compared as one array.
-        members.sort(key=lambda r: len(r[9]))
-        cs, ids, sizes, parts, owns = (np.array([r[k] for r in members]) for k in (4, 5, 6, 7, 8))
-        sets = [np.frombuffer(r[9], np.int64) for r in members]
-        maps = [bitmap(v.view(np.uint64)) for v in sets]
+class _Cell:
+    """The rows of one cell, by size, so that bitmaps of one width lie together and are compared as one array."""
+
+    def __init__(self, within: bool, members: list[tuple], maps: list[bytes]):
+        self.within = within
+        self.cs, self.ids, self.sizes, self.parts, self.owns = (np.array([r[k] for r in members]) for k in (4, 5, 6, 7, 8))
+        self.maps = maps
         widths = np.array([len(m) for m in maps])
-        groups = []
+        self.groups = []
         for width in np.unique(widths).tolist():
             first, end = np.searchsorted(widths, [width, width + 1])
             data = b"".join(maps[first:end])
-            groups.append((int(first), int(end), np.frombuffer(data, np.uint8).reshape(end - first, width)))
-        for i in np.flatnonzero(owns).tolist():
-            mine = np.frombuffer(maps[i], np.uint8)[None]
-            # Two rows of one chunk meet in that chunk's own cell only; own pairs are met once.
-            ask = (parts != parts[i]) & (~owns | (ids > ids[i]))
-            ask &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
-            if not within:
-                ask &= cs != cs[i]
-            near = []
-            for first, end, bits in groups:
-                at = np.flatnonzero(ask[first:end])
-                if len(at):
-                    width = min(bits.shape[1], mine.shape[1])
-                    apart = np.bitwise_count(_folded(bits[at], width) ^ _folded(mine, width)).sum(axis=1, dtype=np.int64)
-                    at += first
-                    near.append(at[reach((sizes[at] + sizes[i] - apart) // 2, sizes[at], sizes[i])])
-            left = np.concatenate(near) if near else np.empty(0, np.int64)
+            self.groups.append((int(first), int(end), np.frombuffer(data, np.uint8).reshape(end - first, width)))
+
+    def near(self, i: int, percent: int, but: np.ndarray | None = None) -> np.ndarray:
+        """Places of the rows of other components that the bitmaps allow to link with row ``i``, those marked in ``but`` left out."""
+        sizes, n, mine = self.sizes, self.sizes[i], np.frombuffer(self.maps[i], np.uint8)[None]
+        # Two rows of one chunk meet in that chunk's own cell only; own pairs are met once.
+        ask = (self.parts != self.parts[i]) & (~self.owns | (self.ids > self.ids[i]))
+        ask &= 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
+        if not self.within:
+            ask &= self.cs != self.cs[i]
+        if but is not None:
+            ask &= ~but
+        found = []
+        for first, end, bits in self.groups:
+            at = np.flatnonzero(ask[first:end])
+            if len(at):
+                width = min(bits.shape[1], mine.shape[1])
+                apart = np.bitwise_count(_folded(bits[at], width) ^ _folded(mine, width)).sum(axis=1, dtype=np.int64)
+                at += first
+                found.append(at[_reach((sizes[at] + n - apart) // 2, sizes[at], n, percent)])
+        return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
+def _by_cell(of_cell):
+    from itertools import groupby
+
+    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
+        for (_, _, x, y), group in groupby(source, key=lambda r: r[:4]):
+            yield from of_cell(x == y, sorted(group, key=lambda r: r[6]))
+
+    return rows
+
+
+def _cell_meetings(percent: int):
+    def of_cell(within: bool, members: list[tuple]) -> Iterator[tuple]:
+        cell = _Cell(within, members, [r[9] for r in members])
+        met = np.zeros(len(members), bool)
+        for i in np.flatnonzero(cell.owns).tolist():
+            near = cell.near(i, percent, met if met[i] else None)
+            if len(near):
+                met[near] = met[i] = True
+        for i in np.flatnonzero(met).tolist():
+            yield *members[i][:2], *members[i][5:9]
+
+    return _by_cell(of_cell)
+
+
+def _cell_links(percent: int):
+    def of_cell(within: bool, members: list[tuple]) -> Iterator[tuple]:
+        sets = [np.frombuffer(r[9], np.int64) for r in members]
+        cell = _Cell(within, members, [bitmap(v.view(np.uint64)) for v in sets])
+        ids, sizes, parts = cell.ids, cell.sizes, cell.parts
+        for i in np.flatnonzero(cell.owns).tolist():
+            left = cell.near(i, percent)
             while len(left := left[parts[left] != parts[i]]):
                 block, left = left[:BLOCK], left[BLOCK:]
                 values = np.concatenate([sets[j] for j in block])
                 place = np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)
                 both = np.add.reduceat(sets[i][place] == values, np.cumsum(sizes[block]) - sizes[block], dtype=np.int64)
-                for j in block[reach(both, sizes[block], sizes[i])].tolist():
+                for j in block[_reach(both, sizes[block], sizes[i], percent)].tolist():
                     if parts[j] != parts[i]:
                         yield int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))
                         parts[parts == parts[j]] = parts[i]
 
-    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
-        for (_, _, x, y), group in groupby(source, key=lambda r: r[:4]):
-            yield from of_cell(x == y, list(group))
-
-    return rows
+    return _by_cell(of_cell)
 
 
 def _merged_by_leaders(tiles: DataFrame, heads: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -366,9 +421,9 @@ def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) ->
     open_tokens = written(open_tokens.select("token"), "open")
     offered = _offered(labelled.join(open_tokens, "token", "left_semi"))
     allowed = _allowed(_small_tiles(offered, percent), slim, percent)
-    in_large = offered.where(F.col("many") > SMALL_TILE).select("row")
-    arrays = _arrays_of(_ends(allowed).union(in_large), slim, texts, width)
-    more = _linked(allowed, arrays, percent).union(_large_tiles(offered, arrays, percent))
+    meeting = _meeting(offered, slim, percent)
+    arrays = _arrays_of(_ends(allowed).union(meeting.select("row")), slim, texts, width)
+    more = _linked(allowed, arrays, percent).union(_large_tiles(meeting, arrays, percent))
     more = written(more, "links")
     edges = merged.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more.select("a", "b"))
     return members, components(edges)

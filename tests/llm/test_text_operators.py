@@ -95,6 +95,39 @@ def test_large_tiles_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == dict(enumerate(part))
 
 
+def _all_pairs_parts(texts):
+    sets = [{tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)} for _, t in texts]
+    part = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 85 * len(a | b):
+                low, high = sorted((part[i], part[j]))
+                part = [low if p == high else p for p in part]
+    return dict(enumerate(part))
+
+
+def test_arrays_travel_only_where_bitmaps_leave_a_pair_open(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL_TILE", 2)
+    monkeypatch.setattr(jaccard, "CHUNK", 200)
+    monkeypatch.setattr(jaccard, "MAP_CHUNK", 400, raising=False)
+    monkeypatch.setattr(jaccard, "ROW_COST", 0, raising=False)
+    asked, arrays_of = [], jaccard._arrays_of
+
+    def seen(rows, *others):
+        asked.append(rows.distinct().count())
+        return arrays_of(rows, *others)
+
+    monkeypatch.setattr(jaccard, "_arrays_of", seen)
+    passage, base = " ".join(f"p{k}" for k in range(100)), [f"w{k}" for k in range(200)]
+    unlike = [(d, f"{passage} " + " ".join(f"own{d}x{k}" for k in range(40))) for d in range(40)]
+    # A chain in which each is near the next ones only, among strangers that share the passage.
+    chain = [(40 + d, f"{passage} " + " ".join(base[3 * d : 3 * d + 100])) for d in range(20)]
+    out = jaccard.jaccard_components(spark.createDataFrame(unlike + chain, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == _all_pairs_parts(unlike + chain) == {d: min(d, 40) for d in range(60)}
+    # All 60 stand in large tiles of the passage; no bitmap allows a pair of the first 40.
+    assert asked[-1] <= 20
+
+
 def test_one_of_each_keeps_columns_and_one_row_an_id(docs):
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns
