@@ -16,6 +16,9 @@
 5. A pair is tested first by its bitmaps: each bit in which they differ is at least one element in which the sets differ, which
    bounds the overlap from above. Bitmaps are folded to the narrower width. Only then the sorted arrays are intersected.
 
+Texts, bitmaps and arrays are large beside row numbers. Where few of their rows are asked for, ``presence`` picks those that may be,
+so that the others are not shuffled for a join that drops them.
+
 No candidate is dropped: the filters are bounds. Different shingles are told apart by 64 bits, different sets by 128.
 
 Edge cases: null or word-free texts have an empty set and link with nothing, not even each other. Rows are told apart
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from staywise.session import scratch, written
 
 from .components import components
+from .presence import presence
 from .text import as_bytes, id_and_text, map_rows, mix, shingle_hashes, signed, word_bounds, word_hashes
 
 SMALL_TILE = 16  # larger tiles are compared inside tasks
@@ -179,7 +183,8 @@ def _arrays(width: int):
 
 def _allowed(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their bitmaps allow to reach the threshold, written."""
-    sides = heads.select("row", "n", "bits")
+    pairs = written(pairs, "pairs")
+    sides, _ = presence(_ends(pairs))(heads.select("row", "n", "bits"), "row")
     left = sides.select(F.col("row").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
     right = sides.select(F.col("row").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
     tested = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb")
@@ -193,7 +198,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _arrays_of(rows: DataFrame, heads: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """(row, v): the sorted array of each row named, written."""
     ends = heads.join(rows.distinct(), "row", "left_semi").select("row", F.col("id").alias("of"), "low", "high")
-    wanted = texts.join(ends.select("of").distinct(), texts["id"].eqNullSafe(F.col("of")), "left_semi")
+    ends = written(ends, "ends")
+    # Texts are the largest column, so only those that may be wanted travel.
+    perhaps, _ = presence(ends.select("of"))(texts, "id")
+    wanted = perhaps.join(ends.select("of").distinct(), perhaps["id"].eqNullSafe(F.col("of")), "left_semi")
     # A row is found again by its id and the digest of its set, so nothing depends on the order of a second scan.
     arrays = map_rows(wanted.select("id", "text"), _arrays(width), "low long, high long, v binary", 256)
     arrays = arrays.dropDuplicates(["low", "high"])
@@ -264,7 +272,8 @@ def _cells(tiles: DataFrame, weight: Column, chunk: int) -> DataFrame:
 
 def _placed(cells: DataFrame, data: DataFrame) -> DataFrame:
     """The rows of each cell together, with the last column of ``data`` (row, …)."""
-    cells = cells.join(data, "row").select(
+    perhaps, _ = presence(cells.select("row"))(data, "row")
+    cells = cells.join(perhaps, "row").select(
         "least", "band", F.least("c", "other").alias("x"), F.greatest("c", "other").alias("y"),
         "c", "row", "n", "part", "own", data.columns[-1],
     )
@@ -407,9 +416,11 @@ def links(signed_sets: DataFrame, texts: DataFrame, width: int, percent: int) ->
         whole.select("row", "n", "low", "high").join(classes, ["n", "low", "high"]).select("row", "head"), "classes"
     )
     copies = members.where("row <> head").select("row")
-    heads = signed_sets.where("n > 0").join(copies, "row", "left_anti")
+    perhaps, single = presence(copies)(whole, "row")
+    heads = single.union(perhaps.join(copies, "row", "left_anti"))
     tiles = written(_prefixes(heads, percent), "tiles")
-    slim = heads.select("row", "id", "n", "low", "high", "bits")
+    # Joined with rows of ``tiles`` only, so copies need not be left out.
+    slim = whole.select("row", "id", "n", "low", "high", "bits")
 
     with scratch(texts.sparkSession) as keep:
         merged = keep(_merged_by_leaders(tiles, slim, texts, width, percent), "merged")
@@ -472,6 +483,9 @@ def one_of_each(
     gone = labelled.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     again = labelled.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
     again = again.select(F.col("doc_id").alias("_again"))
-    left = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    single = left.join(again, F.col(id_col) == F.col("_again"), "left_anti")
-    return single.union(left.join(again, F.col(id_col) == F.col("_again"), "left_semi").dropDuplicates([id_col]))
+    # Most rows are sure to stay as they are; only the others travel, whole texts and all. No id is in both lists.
+    either = gone.select(F.col("_gone").alias("_id")).union(again)
+    perhaps, sure = presence(either)(docs, id_col)
+    single = perhaps.join(either, F.col(id_col) == F.col("_id"), "left_anti")
+    repeated, _ = presence(again)(docs, id_col)
+    return sure.union(single).union(repeated.join(again, F.col(id_col) == F.col("_again"), "left_semi").dropDuplicates([id_col]))

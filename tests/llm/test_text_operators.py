@@ -5,8 +5,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from staywise.llm import decontaminate, jaccard, mixing, paragraphs, pii, qda, rules, secrets
+from staywise.llm import decontaminate, jaccard, mixing, paragraphs, pii, presence, qda, rules, secrets
 
 PROSE = "the quick brown fox of the old town and a small river ran to the sea in that year as it was for all of them "
 LONG = " ".join(f"word{k % 977} of the {k}" for k in range(30000))
@@ -135,6 +136,45 @@ def test_one_of_each_keeps_columns_and_one_row_an_id(docs):
     assert Counter(ids)[2] == 0 and Counter(ids)[1] == 1 and None in ids and 7 in ids and 8 not in ids
 
 
+def _text_scans(plan, shuffled=False):
+    """Whether the rows of each scan of a text go through a shuffle."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _text_scans(plan.inputPlan(), shuffled)
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    if not children:
+        return [shuffled] if "text#" in plan.output().mkString(" ") else []
+    return [x for c in children for x in _text_scans(c, shuffled or plan.nodeName() == "Exchange")]
+
+
+def test_texts_that_stay_are_not_shuffled(spark, docs):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        kept = jaccard.one_of_each(docs)
+        assert False in _text_scans(kept._jdf.queryExecution().executedPlan())
+        small = sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in kept.collect())
+    finally:
+        spark.conf.set(key, before)
+    assert small == sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in jaccard.one_of_each(docs).collect())
+
+
+@pytest.mark.parametrize("most", [1 << 15, presence.MOST_BITS])
+def test_presence_misses_no_id(spark, monkeypatch, most):
+    monkeypatch.setattr(presence, "MOST_BITS", most)
+    ids = spark.createDataFrame([(k * 7 - 3000,) for k in range(1000)] + [(None,), (0,), (2**63 - 1,), (-(2**63),)], "id long")
+    split = presence.presence(ids)
+    wanted = {r.id for r in ids.collect()}
+    rows = ids.select(F.col("id").alias("key"), F.lit(1).alias("x")).union(spark.range(4000, 10000).selectExpr("id", "2"))
+    for kind in ("bigint", "string"):
+        may, no = split(rows.withColumn("key", F.col("key").cast(kind)), "key")
+        may, no = [(r.key if r.key is None else int(r.key), r.x) for r in may.collect()], [(int(r.key), r.x) for r in no.collect()]
+        assert {k for k, _ in may} >= wanted and not {k for k, _ in no} & wanted
+        assert len(may) + len(no) == rows.count() and len(no) > 5000
+    nothing, everything = presence.presence(ids.limit(0))(rows, "key")
+    assert nothing.count() == 0 and everything.count() == rows.count()
+
+
 def test_leaks_match_containment(spark, docs):
     items = spark.createDataFrame([(1, PASSAGE), (1, PASSAGE), (2, "nothing of this kind occurs anywhere here at all friend"), (3, None), (4, "")], "item_id long, text string")
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()) == [(11, 1), (12, 1)]
