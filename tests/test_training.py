@@ -206,3 +206,31 @@ def test_a_final_fit_does_not_wait_for_the_cells_of_other_models(rows, tmp_path,
     monkeypatch.setattr(search.Search, "_finished", final)
     result = search.train_and_compare(rows, "churned", preset, str(tmp_path / "store"), ignore=["customer_id"])
     assert early and all(early) and [r["error"] for r in result.runs] == [None, None]
+
+
+def test_fits_read_stored_rows_not_blocks_that_one_executor_holds(rows, tmp_path, monkeypatch):
+    fit, given, path = search.Search._fit, [], str(tmp_path / "store")
+    monkeypatch.setattr(search.Search, "_fit", lambda self, name, params, df, n: (given.append(df), fit(self, name, params, df, n))[1])
+    search.train_and_compare(rows, "churned", _trees(["logistic_regression"]), path, ignore=["customer_id"])
+    assert len(given) == 5
+    for df in given:
+        assert df.inputFiles() and all(f"{path}/ready-" in f for f in df.inputFiles())
+        assert "InMemory" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_other_models_get_the_cores_that_the_first_one_leaves(rows, tmp_path, monkeypatch):
+    preset = _trees(["random_forest", "logistic_regression"], folds=6, parallelism=30)
+    started, all_started = [], threading.Event()
+
+    def cell(self, asked):
+        started.append(asked.model)
+        if len(started) == 12:
+            all_started.set()
+        all_started.wait(10)
+
+    monkeypatch.setattr(search.Search, "_train_cell", cell)
+    monkeypatch.setattr(search.Search, "_try_finish", lambda self, name: None)
+    monkeypatch.setattr(search.Search, "result", lambda self: None)
+    assert rows.sparkSession.sparkContext.defaultParallelism < 12
+    search.train_and_compare(rows, "churned", preset, str(tmp_path / "store"), ignore=["customer_id"])
+    assert started == ["random_forest"] * 12 + ["logistic_regression"] * 12
