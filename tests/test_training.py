@@ -215,7 +215,7 @@ def test_fits_read_stored_rows_not_blocks_that_one_executor_holds(rows, tmp_path
     assert len(given) == 5
     for df in given:
         assert df.inputFiles() and all(f"{path}/ready-" in f for f in df.inputFiles())
-        assert "InMemory" not in df._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_other_models_get_the_cores_that_the_first_one_leaves(rows, tmp_path, monkeypatch):
